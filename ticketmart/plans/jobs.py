@@ -1,0 +1,137 @@
+"""The loads. An initial load and a daily one differ in their lower bound only.
+
+An error in any step goes through to the caller; later steps then do not run.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ticketmart import schemas as S
+from ticketmart.operators.own_sales import enrich_own_sales, sold_since
+from ticketmart.operators.third_party import enrich_third_party, normalise
+from ticketmart.operators.union import third_party_as_sales, unite_sales
+from ticketmart.operators.watermark import latest_sales_day, next_file_day
+from ticketmart.plans.mart import Mart
+from ticketmart.session import ENGINE_SETTINGS, scoped_settings
+from ticketmart.sinks import full_refresh, upsert_partitions
+from ticketmart.sources.catalog import list_partitions, partition_day
+from ticketmart.sources.drops import read_daily_sales
+
+
+def refresh_dimension(mart: Mart, name: str) -> None:
+    full_refresh(mart.source(name), mart.name(name))
+
+
+def refresh_dimensions(mart: Mart, names: Sequence[str] = S.DIMENSIONS) -> None:
+    """The dimensions do not depend on each other, so their Spark jobs run side by side."""
+    refresh = inheritable_thread_target(mart.spark)(lambda name: refresh_dimension(mart, name))
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        list(pool.map(refresh, names))
+
+
+def third_party_rows(
+    mart: Mart,
+    day: dt.date | None = None,
+    *,
+    since: dt.date | None = None,
+    days: Sequence[dt.date | None] | None = None,
+) -> DataFrame:
+    drops = read_daily_sales(mart.spark, mart.drops, day, since=since, days=days)
+    return enrich_third_party(normalise(drops), mart.dimensions())
+
+
+def load_third_party(
+    mart: Mart,
+    day: dt.date | None = None,
+    *,
+    since: dt.date | None = None,
+    days: Sequence[dt.date | None] | None = None,
+) -> None:
+    """Load drops into ``sales_csv``: all of them, or those of the given days.
+
+    The table is partitioned by the day of the drop and the day of the sale. The
+    drops of a day are read together, so a load replaces what an earlier one stored
+    for that day and leaves rows from other drops alone.
+    """
+    with scoped_settings(mart.spark, ENGINE_SETTINGS):
+        upsert_partitions(
+            third_party_rows(mart, day, since=since, days=days),
+            mart.name("sales_csv"),
+            S.THIRD_PARTY_PARTITIONS,
+        )
+
+
+def load_third_party_daily(mart: Mart) -> None:
+    """Load the drops of every day after the last one loaded."""
+    load_third_party(mart, since=next_file_day(mart.spark, mart.name("sales_csv")))
+
+
+def load_sales(mart: Mart) -> None:
+    """Build ``sales`` anew from all own and all third-party sales."""
+    with scoped_settings(mart.spark, ENGINE_SETTINGS):
+        own = enrich_own_sales(mart.source("sales"), mart.dimensions())
+        rows = unite_sales(own, mart.table("sales_csv"))
+        full_refresh(rows, mart.name("sales"), S.SALES_PARTITIONS)
+
+
+def load_sales_daily(mart: Mart) -> None:
+    """Add to ``sales`` what is new, reloading each origin's last day whole.
+
+    Origins have partitions of their own, so neither load touches the other's rows.
+    """
+    table = mart.name("sales")
+    own_since = latest_sales_day(mart.spark, table, S.OWN_ORIGIN)
+    third_party_since = latest_sales_day(mart.spark, table, S.THIRD_PARTY_ORIGIN)
+    with scoped_settings(mart.spark, ENGINE_SETTINGS):
+        own = enrich_own_sales(sold_since(mart.source("sales"), own_since), mart.dimensions())
+        third_party = sold_since(mart.table("sales_csv"), third_party_since)
+        upsert_partitions(unite_sales(own, third_party), table, S.SALES_PARTITIONS)
+
+
+def publish_third_party(mart: Mart, file_days: Sequence[dt.date | None]) -> None:
+    """Copy to ``sales`` every third-party sale day that drops of these days touch.
+
+    The sale days come from partition names: as many as there are days.
+    """
+    stored = list_partitions(mart.spark, mart.name("sales_csv")).select(
+        *[partition_day(F.col("partition"), column).alias(column) for column in S.THIRD_PARTY_PARTITIONS]
+    )
+    touched = {row["sale_date"] for row in stored.distinct().collect() if row["file_day"] in file_days}
+    if not touched:
+        return
+    sale_date = F.col("sale_date")
+    wanted = sale_date.isin([day for day in touched if day is not None])
+    if None in touched:
+        wanted = wanted | sale_date.isNull()
+    with scoped_settings(mart.spark, ENGINE_SETTINGS):
+        rows = third_party_as_sales(mart.table("sales_csv").where(wanted))
+        upsert_partitions(rows, mart.name("sales"), S.SALES_PARTITIONS)
+
+
+def initial_load(mart: Mart) -> None:
+    """Dimensions, then all drops, then ``sales``."""
+    refresh_dimensions(mart)
+    load_third_party(mart)
+    load_sales(mart)
+
+
+def daily_refresh(mart: Mart) -> None:
+    """Dimensions, then new drops, then new sales.
+
+    With a checkpoint the drop stream finds the new drops, late ones included.
+    """
+    refresh_dimensions(mart)
+    if mart.checkpoint is None:
+        load_third_party_daily(mart)
+    else:
+        from ticketmart.streaming.drops import ingest_new_drops
+
+        ingest_new_drops(mart).awaitTermination()
+    load_sales_daily(mart)
