@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tests.helpers import mart_of, rows
+from ticketmart import schemas as S
+from ticketmart.datagen import BASE_ROWS, EVENT_TYPES, drop_lines, generate_daily_files, generate_tables
+from ticketmart.plans import jobs
+
+KEYS = {
+    "venues": "venue_id", "organizers": "organizer_id", "resellers": "reseller_id", "customers": "customer_id",
+    "sales_channels": "sales_channel_id", "events": "event_id", "partnerships": "partnership_id", "sales": "sale_id",
+}
+
+
+def test_schemas_counts_and_keys(spark):
+    tables = generate_tables(spark, scale=0.1, seed=7)
+    for name, schema in S.SOURCE_SCHEMAS.items():
+        assert [(f.name, f.dataType) for f in tables[name].schema] == [(f.name, f.dataType) for f in schema]
+        expected = 3 if name == "sales_channels" else max(1, round(BASE_ROWS[name] * 0.1))
+        assert tables[name].count() == tables[name].select(KEYS[name]).distinct().count() == expected
+    sales = tables["sales"]
+    for name in ("events", "venues", "organizers", "resellers", "customers", "sales_channels"):
+        key = KEYS[name]
+        assert sales.where(F.col(key).isNotNull()).join(tables[name], key, "left_anti").isEmpty()
+    assert sales.join(tables["events"], ["event_id", "venue_id"], "left_anti").isEmpty()
+    assert sales.where("reseller_id IS NULL").count() == 167  # rows 0, 3, 6, ... of 500
+
+
+def test_value_domains(spark):
+    tables = generate_tables(spark, seed=1)
+    low = tables["sales"].agg(
+        F.min("ticket_quantity"), F.max("ticket_quantity"), F.min("total_amount") > 0,
+        F.min("sale_date") >= "2019-01-01", F.max("sale_date") < "2023-01-01",
+    ).first()
+    assert tuple(low) == (1, 10, True, True, True)
+    assert {row[0] for row in tables["events"].select("event_type").collect()} <= set(EVENT_TYPES)
+    length = tables["partnerships"].select(F.date_diff("end_date", "start_date").alias("n")).agg(F.min("n"), F.max("n"))
+    assert 720 <= length.first()[0] <= length.first()[1] <= 1080
+
+
+def test_rows_depend_on_the_seed_alone(spark):
+    first = rows(generate_tables(spark, 0.02, seed=3)["sales"])
+    assert rows(generate_tables(spark, 0.02, seed=3)["sales"].repartition(3)) == first
+    assert rows(generate_tables(spark, 0.02, seed=4)["sales"]) != first
+
+
+def test_daily_files_load(spark, database, tmp_path):
+    tables = generate_tables(spark, 0.02, seed=5)
+    mart = mart_of(spark, database, tables, tmp_path)
+    generate_daily_files(spark, mart.drops, 4, 0.02, seed=5)
+    expected = drop_lines(spark, 4, 0.02, seed=5)
+    per_drop = [row["count"] for row in expected.groupBy("drop").count().collect()]
+    assert all(count >= 10 for count in per_drop)
+    jobs.initial_load(mart)
+    stored = mart.table("sales_csv")
+    assert stored.select("sale_id").distinct().count() == expected.count()
+    assert stored.where("event_id IS NULL OR reseller_name IS NULL").isEmpty()
+    assert stored.where("sale_date <> file_day").isEmpty()
+    assert {row[0] for row in stored.select("channel_name").distinct().collect()} <= {"on-the-site", "web", "mobile app"}

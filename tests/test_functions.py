@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ticketmart import functions as C
+
+
+def apply(spark, function, *values):
+    kinds = ", ".join(f"c{i} string" for i in range(len(values)))
+    frame = spark.createDataFrame([values], kinds)
+    return frame.select(function(*[F.col(f"c{i}") for i in range(len(values))])).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("file", "expected"),
+    [
+        ("s3://b/sales/DailySales_05032020_7e01b25a-2255.csv", "7e01b25a-2255"),
+        ("file:/x/drop=DailySales_05032020_r1.csv/part-00000.c000.csv", "r1"),
+        ("DailySales_05032020_r1.CSV", ""),
+        ("DailySales_5032020_r1.csv", ""),
+        ("DailySales_05032020_a.b.csv", ""),
+        (None, None),
+    ],
+)
+def test_reseller_from_file(spark, file, expected):
+    assert apply(spark, C.reseller_from_file, file) == expected
+
+
+@pytest.mark.parametrize(
+    ("file", "expected"),
+    [
+        ("s3://b/DailySales_05032020_r1.csv", dt.date(2020, 5, 3)),
+        ("s3://b/DailySales_13452020_r1.csv", None),
+        ("s3://b/other.csv", None),
+    ],
+)
+def test_drop_day(spark, file, expected):
+    assert apply(spark, C.drop_day, file) == expected
+
+
+@pytest.mark.parametrize(
+    ("parts", "expected"), [(("Kim", "Berg"), "Kim Berg"), ((None, "Berg"), None), (("Kim", None), None)]
+)
+def test_full_name(spark, parts, expected):
+    assert apply(spark, C.full_name, *parts) == expected
+
+
+@pytest.mark.parametrize(
+    ("channel", "expected"),
+    [("office", "on-the-site"), ("Office", "Office"), ("web", "web"), (None, None)],
+)
+def test_normal_channel(spark, channel, expected):
+    assert apply(spark, C.normal_channel, channel) == expected
+
+
+@pytest.mark.parametrize(("reseller", "expected"), [(None, "organizer"), ("r1", "reseller"), ("", "reseller")])
+def test_seller_type(spark, reseller, expected):
+    assert apply(spark, C.seller_type, reseller) == expected
+
+
+def test_sale_day(spark):
+    assert apply(spark, lambda c: C.sale_day(c.cast("timestamp")), "2020-01-02 23:59:59") == dt.date(2020, 1, 2)

@@ -1,0 +1,187 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from tests.helpers import D, T, drop_line, mart_of, own_sale, put_drop, rows, small_source
+from ticketmart import schemas as S
+from ticketmart.plans import jobs
+from ticketmart.plans.mart import Mart
+from pathlib import Path
+
+OWN = [
+    own_sale("s1", T(2020, 1, 1, 9), "r1"),
+    own_sale("s2", T(2020, 1, 7, 0), None),
+    own_sale("s3", T(2020, 1, 7, 8), "r2"),
+    own_sale("s4", T(2020, 1, 8, 23, 59, 59), "r2", organizer_id="o2"),
+    own_sale("s5", T(2020, 1, 9, 0), "r0"),
+]
+
+
+def deliver(mart: Mart, day: int, reseller: str, *numbers: str, created: int | None = None, **more) -> None:
+    lines = [drop_line(number, f"2020-01-{created or day:02d}") for number in numbers]
+    put_drop(Path(mart.drops), f"01{day:02d}2020", reseller, lines, **more)
+
+
+def state(mart: Mart) -> dict[str, list[tuple]]:
+    return {name: rows(mart.table(name)) for name in (*S.DIMENSIONS, "sales_csv", "sales")}
+
+
+@pytest.fixture
+def source(spark):
+    return small_source(spark, OWN)
+
+
+@pytest.fixture
+def mart(spark, database, source, tmp_path):
+    return mart_of(spark, database, source, tmp_path)
+
+
+def at_time(mart: Mart, source, moment) -> Mart:
+    """The same mart while the source held sales up to ``moment`` only."""
+    sales = source["sales"].where(f"sale_date <= timestamp'{moment}'")
+    return Mart(mart.spark, mart.database, {**source, "sales": sales}.__getitem__, mart.drops, mart.checkpoint)
+
+
+def test_dimensions_are_full_copies(mart, source):
+    jobs.refresh_dimensions(mart)
+    for name in S.DIMENSIONS:
+        assert rows(mart.table(name)) == rows(source[name])
+    jobs.refresh_dimension(mart, "venues")
+    assert rows(mart.table("venues")) == rows(source["venues"])
+
+
+def test_a_failing_dimension_stops_the_run(spark, database, source, tmp_path):
+    def broken(name):
+        if name == "customers":
+            raise RuntimeError("source is down")
+        return source[name]
+
+    mart = Mart(spark, database, broken, str(tmp_path))
+    with pytest.raises(RuntimeError, match="source is down"):
+        jobs.daily_refresh(mart)
+    assert not spark.catalog.tableExists(mart.name("sales_csv"))
+
+
+def test_initial_load(mart):
+    deliver(mart, 1, "r1", "1", "2")
+    deliver(mart, 7, "r2", "1", layout=S.WIDE_LAYOUT)
+    jobs.initial_load(mart)
+    stored = mart.table("sales_csv")
+    assert set(stored.columns) == {*S.THIRD_PARTY_COLUMNS, "file_day"}
+    assert rows(stored, "sale_id", "reseller_id", "partnership_id") == [
+        ("1", "r1", "p1"), ("1", "r2", "p2"), ("1", "r2", "p3"), ("1", "r2", "p4"), ("2", "r1", "p1"),
+    ]
+    sales = mart.table("sales")
+    assert set(sales.columns) == set(S.SALES_COLUMNS) and sales.columns[-2:] == ["data_source", "sale_date"]
+    assert sales.where("data_source = '3rd party'").count() == 5
+    # s3 has two agreements with organizer o1.
+    assert rows(sales.where("data_source = 'B2B platform'"), "sale_id") == [("s1",), ("s2",), ("s3",), ("s3",), ("s4",), ("s5",)]
+
+
+def test_daily_loads_after_an_initial_one_equal_one_load(mart, source, spark, tmp_path):
+    deliver(mart, 1, "r1", "1", "2")
+    jobs.initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
+    deliver(mart, 7, "r2", "3")
+    deliver(mart, 7, "r1", "3", "4", layout=S.WIDE_LAYOUT)
+    jobs.daily_refresh(at_time(mart, source, "2020-01-07 00:00:00"))
+    deliver(mart, 9, "r0", "1")
+    jobs.daily_refresh(at_time(mart, source, "2020-01-08 00:00:00"))
+    jobs.daily_refresh(mart)
+    daily = state(mart)
+    jobs.daily_refresh(mart)
+    assert state(mart) == daily
+    spark.sql(f"DROP TABLE {mart.name('sales_csv')}")
+    jobs.initial_load(mart)
+    assert state(mart) == daily
+
+
+def test_third_party_days_do_not_remove_own_sales(mart, source):
+    """Both origins have sales on an old day and only the third party's is loaded again."""
+    deliver(mart, 7, "r1", "1")
+    jobs.initial_load(mart)
+    before = state(mart)
+    jobs.daily_refresh(mart)
+    assert state(mart) == before
+    assert rows(mart.table("sales").where("sale_date = '2020-01-07'"), "data_source", "sale_id") == [
+        ("3rd party", "1"), ("B2B platform", "s2"), ("B2B platform", "s3"), ("B2B platform", "s3"),
+    ]
+
+
+def test_an_origin_that_is_ahead_does_not_hide_the_others_sales(mart, source):
+    deliver(mart, 20, "r1", "1")
+    jobs.initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
+    jobs.daily_refresh(mart)
+    own = mart.table("sales").where("data_source = 'B2B platform'").select("sale_id").distinct()
+    assert rows(own) == [("s1",), ("s2",), ("s3",), ("s4",), ("s5",)]
+
+
+def test_midnight_sales_of_the_last_day_stay(mart, source):
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(at_time(mart, source, "2020-01-07 00:00:00"))
+    jobs.load_sales_daily(mart)
+    assert rows(mart.table("sales").where("sale_date = '2020-01-07'"), "sale_id") == [("s2",), ("s3",), ("s3",)]
+
+
+def test_a_day_without_drops_is_skipped(mart):
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(mart)
+    jobs.load_third_party_daily(mart)
+    deliver(mart, 5, "r1", "2")
+    jobs.load_third_party_daily(mart)
+    assert rows(mart.table("sales_csv"), "sale_id") == [("1",), ("2",)]
+
+
+def test_one_day_load_leaves_other_days_alone(mart):
+    deliver(mart, 1, "r1", "1")
+    deliver(mart, 2, "r1", "2")
+    jobs.refresh_dimensions(mart)
+    jobs.load_third_party(mart, D(2020, 1, 2))
+    assert rows(mart.table("sales_csv"), "sale_id") == [("2",)]
+    jobs.load_third_party(mart, D(2020, 1, 1))
+    assert rows(mart.table("sales_csv"), "sale_id") == [("1",), ("2",)]
+
+
+def test_a_drop_with_lines_of_an_earlier_day_keeps_that_days_rows(mart):
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(mart)
+    deliver(mart, 2, "r1", "9", created=1)
+    jobs.daily_refresh(mart)
+    assert rows(mart.table("sales_csv"), "sale_id", "sale_date") == [("1", D(2020, 1, 1)), ("9", D(2020, 1, 1))]
+    assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id") == [("1",), ("9",)]
+
+
+def test_a_null_sale_day_does_not_stop_later_loads(mart):
+    deliver(mart, 1, "r1", "1")
+    put_drop(Path(mart.drops), "01022020", "r1", [drop_line("2", "")])
+    jobs.initial_load(mart)
+    deliver(mart, 3, "r1", "3")
+    jobs.daily_refresh(mart)
+    assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id", "sale_date") == [
+        ("1", D(2020, 1, 1)), ("2", None), ("3", D(2020, 1, 3)),
+    ]
+
+
+def test_equal_transaction_ids_of_two_drops_are_two_sales(mart):
+    deliver(mart, 1, "r1", "1")
+    deliver(mart, 1, "r0", "1")
+    jobs.initial_load(mart)
+    assert rows(mart.table("sales_csv"), "reseller_id", "sale_date", "sale_id") == [
+        ("r0", D(2020, 1, 1), "1"), ("r1", D(2020, 1, 1), "1"),
+    ]
+
+
+def test_types_of_both_origins_agree(mart):
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(mart)
+    assert dict(mart.table("sales").dtypes)["total_amount"] == "decimal(10,2)"
+    amounts = {row.data_source: row.total_amount for row in mart.table("sales").where("sale_date = '2020-01-01'").collect()}
+    assert amounts == {"3rd party": Decimal("30.50"), "B2B platform": Decimal("12.30")}
+
+
+def test_no_drops_at_all(mart):
+    jobs.initial_load(mart)
+    jobs.daily_refresh(mart)
+    assert mart.table("sales_csv").isEmpty()
+    assert mart.table("sales").count() == 6

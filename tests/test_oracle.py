@@ -1,0 +1,42 @@
+"""Every registered query against its SQL counterpart on the smallest test tables."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
+
+
+@pytest.fixture(scope="module")
+def database():
+    connection = duckdb.connect()
+    for path in SF_DIR.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_each_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_equals_oracle(spark, database, name):
+    found = contract.queries()[name](spark, str(SF_DIR))
+    expected = database.execute(contract.oracle_sql()[name])
+    names = [column[0] for column in expected.description]
+    columns = sorted(found.columns)
+    assert columns == sorted(names)
+    at = [names.index(column) for column in columns]
+    ours = sorted((tuple(row) for row in found.select(*columns).collect()), key=repr)
+    theirs = sorted((tuple(row[i] for i in at) for row in expected.fetchall()), key=repr)
+    assert ours == theirs

@@ -112,7 +112,7 @@ def shared_mart(spark: SparkSession, sf_dir: str) -> Mart:
 
 def _last_drop_day(spark: SparkSession, sf_dir: str) -> dt.date:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lineitem.agg(F.to_date(F.trunc(F.max("l_shipdate"), "month")).alias("day")).first()["day"]
+    return lineitem.agg(F.to_date(F.trunc(F.max("l_shipdate"), "quarter")).alias("day")).first()["day"]
 
 
 # Dimensions.

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ticketmart import schemas as S
 
-_MONTH_OF_SHIPPING = "CAST(date_trunc('month', l_shipdate) AS DATE)"
+_DROP_DAY = "CAST(date_trunc('quarter', l_shipdate) AS DATE)"
 
 
 def _drop_name(reseller: str) -> str:
-    day = f"CAST({_MONTH_OF_SHIPPING} AS STRING)"
+    day = f"CAST({_DROP_DAY} AS STRING)"
     stamp = f"substr({day}, 6, 2) || substr({day}, 9, 2) || substr({day}, 1, 4)"
     return f"'DailySales_' || {stamp} || '_' || CAST({reseller} AS STRING)"
 
@@ -34,7 +34,7 @@ _DROP_COLUMNS = f"""
     'Kim' AS first_name,
     CASE WHEN l_linenumber = 1 THEN NULL ELSE l_returnflag || l_linestatus END AS last_name,
     CASE l_returnflag WHEN 'A' THEN 'London' ELSE NULL END AS office,
-    CAST({_MONTH_OF_SHIPPING} AS STRING) AS created"""
+    CAST({_DROP_DAY} AS STRING) AS created"""
 
 ROLES: dict[str, str] = {
     "venues": """
@@ -75,7 +75,7 @@ ROLES: dict[str, str] = {
             DATE '2018-01-01' + CAST(s_suppkey % 365 AS INT),
             DATE '2020-01-01' + CAST(s_suppkey % 1000 AS INT)
         FROM {supplier}""",
-    # Booked in the month of the order, the first line at midnight and the others later.
+    # Booked on the first day of the order's quarter, the first line at midnight, others later.
     "sales": """
         SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-'
                 || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS sale_id,
@@ -87,7 +87,7 @@ ROLES: dict[str, str] = {
             o_orderstatus AS sales_channel_id,
             CAST(l_quantity AS INT) AS ticket_quantity,
             CAST(l_extendedprice AS DECIMAL(10,2)) AS total_amount,
-            date_trunc('month', o_orderdate) + INTERVAL '1' HOUR * (l_linenumber - 1) AS sale_date
+            date_trunc('quarter', o_orderdate) + INTERVAL '1' HOUR * (l_linenumber - 1) AS sale_date
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     # The parts of a sale that need no order.
     "sale_lines": """
@@ -110,7 +110,7 @@ ROLES: dict[str, str] = {
                 || CASE WHEN l_linenumber = 7 THEN '.CSV' ELSE '.csv' END AS source_file
         FROM {{lineitem}}""",
     # The same lines as real drops: in each region the reseller with the lowest key
-    # files one drop a month for all, so the number of drops does not grow with the data.
+    # files one drop a quarter for all, so the number of drops does not grow with the data.
     "drops": f"""
         SELECT {_DROP_COLUMNS},
             CAST(lead_key AS STRING) AS lead_reseller,
