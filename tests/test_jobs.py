@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -8,7 +9,7 @@ from tests.helpers import D, T, drop_line, mart_of, own_sale, put_drop, rows, sm
 from ticketmart import schemas as S
 from ticketmart.plans import jobs
 from ticketmart.plans.mart import Mart
-from pathlib import Path
+from ticketmart.session import scoped_settings
 
 OWN = [
     own_sale("s1", T(2020, 1, 1, 9), "r1"),
@@ -185,3 +186,35 @@ def test_no_drops_at_all(mart):
     jobs.daily_refresh(mart)
     assert mart.table("sales_csv").isEmpty()
     assert mart.table("sales").count() == 6
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_clustered_before_broadcast_lookups_and_after_shuffled_ones(mart, spark):
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(mart)
+    for rows_of in (jobs.third_party_rows, jobs.sales_rows):
+        plan = plan_of(rows_of(mart))
+        assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+        assert plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+        with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            plan = plan_of(rows_of(mart))
+        assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+        assert plan.index("REBALANCE_PARTITIONS_BY_COL") < plan.index("SortMergeJoin")
+
+
+def test_a_hot_day_is_written_in_several_files(mart, spark):
+    lines = [drop_line(str(i), "2020-01-05", **{S.FIRST_NAME: f"{i * 7919 % 10007:x}" * 8}) for i in range(20_000)]
+    put_drop(Path(mart.drops), "01052020", "r1", lines)
+    deliver(mart, 6, "r1", "1")
+    jobs.refresh_dimensions(mart)
+    limits = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.files.maxPartitionBytes": "300KB"}
+    with scoped_settings(spark, limits):
+        jobs.load_third_party(mart)
+    stored = mart.table("sales_csv")
+    files = stored.select("file_day", "_metadata.file_path").distinct().groupBy("file_day").count().collect()
+    counts = {row["file_day"]: row["count"] for row in files}
+    assert stored.count() == 20_001
+    assert counts[D(2020, 1, 5)] > 2 and counts[D(2020, 1, 6)] == 1

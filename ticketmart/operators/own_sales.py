@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmart import functions as C
 from ticketmart import schemas as S
-from ticketmart.operators.lookup import lookup, lookup_nullable
+from ticketmart.operators.layout import clustered
+from ticketmart.operators.lookup import known_small, lookup, lookup_nullable
 
 Tables = Mapping[str, DataFrame]
 
@@ -65,13 +66,24 @@ def with_sale_day(sales: DataFrame, keep_time: bool = False) -> DataFrame:
     return sales.withColumn("sale_date", C.sale_day(F.col("sale_date")))
 
 
-def enrich_own_sales(sales: DataFrame, tables: Tables) -> DataFrame:
+def enrich_own_sales(sales: DataFrame, tables: Tables, cluster_by: Sequence[str] = ()) -> DataFrame:
     """All lookups. Customers, the one large dimension, come while rows are narrow;
-    agreements, which may multiply rows, come last."""
+    agreements, which may multiply rows, come last.
+
+    ``cluster_by`` names the partition columns of the table to be written. When the
+    lookups after the customers are all broadcast, rows are brought together before
+    them, while there is less to move.
+    """
     rows = with_seller_type(with_sale_day(sales))
     rows = with_customer(rows, tables["customers"])
+    cluster_early = all(
+        known_small(tables[name]) for name in ("events", "sales_channels", "resellers", "partnerships")
+    )
+    if cluster_early:
+        rows = clustered(rows, cluster_by)
     rows = with_event_type(rows, tables["events"])
     rows = with_channel(rows, tables["sales_channels"])
     rows = with_reseller(rows, tables["resellers"])
     rows = with_agreement(rows, tables["partnerships"])
-    return rows.select(*S.OWN_COLUMNS)
+    rows = rows.select(*S.OWN_COLUMNS)
+    return rows if cluster_early else clustered(rows, cluster_by)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmart import functions as C
 from ticketmart import schemas as S
+from ticketmart.operators.layout import clustered
 from ticketmart.operators.lookup import known_small, lookup, lookup_nullable
 from ticketmart.operators.own_sales import reseller_columns
 
@@ -61,19 +62,25 @@ def with_reseller_profile(rows: DataFrame, resellers: DataFrame, partnerships: D
     first. With large dimensions this saves one join of the facts, and leaves a
     single shuffled join on the id, whose hot keys adaptive execution can split.
     """
-    described = reseller_columns(resellers)
-    profile = described.join(partnerships, on="reseller_id", how="full")
-    if known_small(described, partnerships):
+    profile = reseller_columns(resellers).join(partnerships, on="reseller_id", how="full")
+    if known_small(resellers, partnerships):
         profile = F.broadcast(profile)
     return lookup(rows, profile, "reseller_id")
 
 
-def enrich_third_party(rows: DataFrame, tables: Tables) -> DataFrame:
+def enrich_third_party(rows: DataFrame, tables: Tables, cluster_by: Sequence[str] = ()) -> DataFrame:
     """The stored third-party columns plus ``file_day``.
 
-    The organizer's name is not among them, so organizers are not joined.
+    The organizer's name is not among them, so organizers are not joined. As with
+    own sales, rows are brought together for ``cluster_by`` before the lookups add
+    columns and rows, unless a lookup is too large to be broadcast.
     """
-    rows = with_event(rows, tables["events"])
-    rows = with_reseller_profile(rows, tables["resellers"], tables["partnerships"])
+    events, resellers, partnerships = tables["events"], tables["resellers"], tables["partnerships"]
+    cluster_early = known_small(events) and known_small(resellers, partnerships)
+    if cluster_early:
+        rows = clustered(rows, cluster_by)
+    rows = with_event(rows, events)
+    rows = with_reseller_profile(rows, resellers, partnerships)
     rows = rows.withColumn("seller_type", F.lit(S.SOLD_BY_RESELLER))
-    return rows.select(*S.THIRD_PARTY_COLUMNS, "file_day")
+    rows = rows.select(*S.THIRD_PARTY_COLUMNS, "file_day")
+    return rows if cluster_early else clustered(rows, cluster_by)

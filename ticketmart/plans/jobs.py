@@ -43,8 +43,9 @@ def third_party_rows(
     since: dt.date | None = None,
     days: Sequence[dt.date | None] | None = None,
 ) -> DataFrame:
+    """Enriched rows of the drops, laid out for ``sales_csv``."""
     drops = read_daily_sales(mart.spark, mart.drops, day, since=since, days=days)
-    return enrich_third_party(normalise(drops), mart.dimensions())
+    return enrich_third_party(normalise(drops), mart.dimensions(), S.THIRD_PARTY_PARTITIONS)
 
 
 def load_third_party(
@@ -65,6 +66,7 @@ def load_third_party(
             third_party_rows(mart, day, since=since, days=days),
             mart.name("sales_csv"),
             S.THIRD_PARTY_PARTITIONS,
+            is_clustered=True,
         )
 
 
@@ -73,12 +75,21 @@ def load_third_party_daily(mart: Mart) -> None:
     load_third_party(mart, since=next_file_day(mart.spark, mart.name("sales_csv")))
 
 
+def sales_rows(mart: Mart, own_since: dt.date | None = None, third_party_since: dt.date | None = None) -> DataFrame:
+    """United rows, laid out for ``sales``.
+
+    Only own sales are shuffled for that: third-party rows are stored by day already,
+    and the files of a day are copied as they lie.
+    """
+    own = sold_since(mart.source("sales"), own_since)
+    third_party = sold_since(mart.table("sales_csv"), third_party_since)
+    return unite_sales(enrich_own_sales(own, mart.dimensions(), ["sale_date"]), third_party)
+
+
 def load_sales(mart: Mart) -> None:
     """Build ``sales`` anew from all own and all third-party sales."""
     with scoped_settings(mart.spark, ENGINE_SETTINGS):
-        own = enrich_own_sales(mart.source("sales"), mart.dimensions())
-        rows = unite_sales(own, mart.table("sales_csv"))
-        full_refresh(rows, mart.name("sales"), S.SALES_PARTITIONS)
+        full_refresh(sales_rows(mart), mart.name("sales"), S.SALES_PARTITIONS, is_clustered=True)
 
 
 def load_sales_daily(mart: Mart) -> None:
@@ -90,9 +101,8 @@ def load_sales_daily(mart: Mart) -> None:
     own_since = latest_sales_day(mart.spark, table, S.OWN_ORIGIN)
     third_party_since = latest_sales_day(mart.spark, table, S.THIRD_PARTY_ORIGIN)
     with scoped_settings(mart.spark, ENGINE_SETTINGS):
-        own = enrich_own_sales(sold_since(mart.source("sales"), own_since), mart.dimensions())
-        third_party = sold_since(mart.table("sales_csv"), third_party_since)
-        upsert_partitions(unite_sales(own, third_party), table, S.SALES_PARTITIONS)
+        rows = sales_rows(mart, own_since, third_party_since)
+        upsert_partitions(rows, table, S.SALES_PARTITIONS, is_clustered=True)
 
 
 def publish_third_party(mart: Mart, file_days: Sequence[dt.date | None]) -> None:
@@ -112,7 +122,7 @@ def publish_third_party(mart: Mart, file_days: Sequence[dt.date | None]) -> None
         wanted = wanted | sale_date.isNull()
     with scoped_settings(mart.spark, ENGINE_SETTINGS):
         rows = third_party_as_sales(mart.table("sales_csv").where(wanted))
-        upsert_partitions(rows, mart.name("sales"), S.SALES_PARTITIONS)
+        upsert_partitions(rows, mart.name("sales"), S.SALES_PARTITIONS, is_clustered=True)
 
 
 def initial_load(mart: Mart) -> None:

@@ -6,19 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ticketmart.operators.layout import clustered
 from ticketmart.session import scoped_settings
 from ticketmart.sources.catalog import table_exists
 
 
-def full_refresh(rows: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table as a whole."""
-    writer = _spread(rows, partition_by).write.mode("overwrite").format("parquet")
+def full_refresh(
+    rows: DataFrame, table: str, partition_by: Sequence[str] = (), *, is_clustered: bool = False
+) -> None:
+    """Replace a Parquet table as a whole.
+
+    ``is_clustered`` says that the rows of a partition already lie together.
+    """
+    laid_out = rows if is_clustered else clustered(rows, partition_by)
+    writer = laid_out.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 
-def upsert_partitions(rows: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+def upsert_partitions(
+    rows: DataFrame, table: str, partition_by: Sequence[str], *, is_clustered: bool = False
+) -> None:
     """Create the table, or replace just the partitions that ``rows`` has.
 
     ``insertInto`` matches by position, so columns are put into the table's order.
@@ -26,14 +35,9 @@ def upsert_partitions(rows: DataFrame, table: str, partition_by: Sequence[str])
     """
     spark = rows.sparkSession
     if not table_exists(spark, table):
-        full_refresh(rows, table, partition_by)
+        full_refresh(rows, table, partition_by, is_clustered=is_clustered)
         return
-    ordered = rows.select(*spark.table(table).columns)
+    laid_out = rows if is_clustered else clustered(rows, partition_by)
+    ordered = laid_out.select(*spark.table(table).columns)
     with scoped_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        _spread(ordered, partition_by).write.mode("overwrite").insertInto(table)
-
-
-def _spread(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring the rows of a partition together so that each gets few files; adaptive
-    execution splits a partition that is too large for one task."""
-    return rows.hint("rebalance", *partition_by) if partition_by else rows
+        ordered.write.mode("overwrite").insertInto(table)
