@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.session.timeZone": "UTC",
+            "spark.sql.sources.parallelPartitionDiscovery.threshold": "5000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -49,10 +49,14 @@ def _query(name: str, oracle: str) -> Callable[[Query], Query]:
 # Marts and drops in the scratch folder.
 
 
-def new_mart(spark: SparkSession, sf_dir: str, drops: str = "", streamed: bool = False) -> Mart:
+def new_database(spark: SparkSession) -> str:
     database = f"ticketmart_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_folder(spark)}/{database}/tables'")
+    return database
+
+
+def mart_in(spark: SparkSession, sf_dir: str, database: str, drops: str = "", streamed: bool = False) -> Mart:
     folder = f"{scratch_folder(spark)}/{database}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
     return Mart(
         spark,
         database,
@@ -62,6 +66,10 @@ def new_mart(spark: SparkSession, sf_dir: str, drops: str = "", streamed: bool =
     )
 
 
+def new_mart(spark: SparkSession, sf_dir: str, drops: str = "", streamed: bool = False) -> Mart:
+    return mart_in(spark, sf_dir, new_database(spark), drops, streamed)
+
+
 def deliver_drops(spark: SparkSession, sf_dir: str, folder: str, when: Column | None = None) -> None:
     """Write the drops role as CSV drops, one region's in the wide layout."""
     lines = role(spark, sf_dir, "drops")
@@ -72,11 +80,11 @@ def deliver_drops(spark: SparkSession, sf_dir: str, folder: str, when: Column |
         write_drops(as_drop_rows(lines.where(F.col("is_wide") == is_wide)).select(*layout, "drop"), folder)
 
 
-_shared: dict[tuple[str, ...], object] = {}
+_shared: dict[tuple[str, ...], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
-    """Inputs and a loaded mart that several queries of one application read."""
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], str]) -> str:
+    """Name of something that several queries of one application read."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _shared:
         _shared[key] = make()
@@ -84,12 +92,12 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object
 
 
 def shared_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def make() -> Mart:
+    def make() -> str:
         mart = new_mart(spark, sf_dir)
         jobs.refresh_dimensions(mart)
-        return mart
+        return mart.database
 
-    return _once(spark, sf_dir, "dimensions", make).dimensions()
+    return mart_in(spark, sf_dir, _once(spark, sf_dir, "dimensions", make)).dimensions()
 
 
 def shared_drops(spark: SparkSession, sf_dir: str) -> str:
@@ -102,12 +110,14 @@ def shared_drops(spark: SparkSession, sf_dir: str) -> str:
 
 
 def shared_mart(spark: SparkSession, sf_dir: str) -> Mart:
-    def make() -> Mart:
-        mart = new_mart(spark, sf_dir, shared_drops(spark, sf_dir))
+    drops = shared_drops(spark, sf_dir)
+
+    def make() -> str:
+        mart = new_mart(spark, sf_dir, drops)
         jobs.initial_load(mart)
-        return mart
+        return mart.database
 
-    return _once(spark, sf_dir, "mart", make)
+    return mart_in(spark, sf_dir, _once(spark, sf_dir, "mart", make), drops)
 
 
 def _last_drop_day(spark: SparkSession, sf_dir: str) -> dt.date:
