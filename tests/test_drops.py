@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 from decimal import Decimal
 
 import pytest
@@ -41,8 +42,8 @@ def test_one_day_opens_its_files_only(spark, folder):
 
 def test_since_and_days_leave_files_out_before_the_scan(spark, folder):
     since = read_daily_sales(spark, str(folder), since=D(2020, 5, 4))
-    assert rows(since, S.CREATED) == [("2020-05-04",)]
-    assert files_opened(since) == 1
+    assert rows(since, S.CREATED) == [("2020-05-04",), ("2020-05-05",)]
+    assert files_opened(since) == 2
     listed = read_daily_sales(spark, str(folder), days=[D(2020, 5, 4), None])
     assert rows(listed, S.TRANSACTION_ID) == [("1",), ("9",)]
     assert files_opened(listed) == 2
@@ -73,6 +74,27 @@ def test_quoted_commas_and_missing_values(spark, tmp_path):
     assert rows(found, "event_name", "customer_name", "ticket_quantity") == [("Rock, Paper", None, 2)] * 2
 
 
+NASTY = ['Say "hi", now', '"', '""', "back\\slash", '\\"', " padded ", "a;b|c\td", "Ünïcode ✓", ",,,", "'", "#note", "NULL", "0"]
+
+
+def test_any_text_in_a_cell_comes_through(spark, tmp_path):
+    """As a CSV library writes it, and as Spark writes it."""
+    for layout, reseller in ((S.NARROW_LAYOUT, "a"), (S.WIDE_LAYOUT, "b")):
+        with open(tmp_path / f"DailySales_05032020_{reseller}.csv", "w", newline="", encoding="utf-8") as file:
+            writer = csv.DictWriter(file, layout, extrasaction="ignore")
+            writer.writeheader()
+            writer.writerows(drop_line(str(i), "2020-05-03", text) for i, text in enumerate(NASTY))
+    found = read_daily_sales(spark, str(tmp_path))
+    expected = sorted(((str(i), text) for i, text in enumerate(NASTY)), key=repr)
+    for reseller in ("a", "b"):
+        part = found.where(F.col("source_file").endswith(f"_{reseller}.csv"))
+        assert rows(part, S.TRANSACTION_ID, S.EVENT_NAME) == expected
+    again = tmp_path / "again"
+    write_drops(found.drop("source_file").withColumn("drop", F.lit("DailySales_05032020_c.csv")), str(again))
+    copied = read_daily_sales(spark, str(again))
+    assert rows(copied, S.TRANSACTION_ID, S.EVENT_NAME) == sorted(expected * 2, key=repr)
+
+
 def test_missing_last_cell_does_not_change_the_layout(spark, tmp_path):
     line = drop_line("1", "")
     put_drop(tmp_path, "05032020", "a", [line])

@@ -164,6 +164,19 @@ def test_a_null_sale_day_does_not_stop_later_loads(mart):
     ]
 
 
+def test_sales_and_drops_without_a_day_are_loaded_daily_too(mart, source, spark):
+    undated = spark.createDataFrame([own_sale("s9", None)], S.SOURCE_SCHEMAS["sales"])
+    deliver(mart, 1, "r1", "1")
+    jobs.initial_load(mart)
+    later = {**source, "sales": source["sales"].unionByName(undated)}
+    put_drop(Path(mart.drops), "", "", [drop_line("7", "")], name="DailySales_late_r1.csv")
+    mart = Mart(spark, mart.database, later.__getitem__, mart.drops)
+    for _ in range(2):
+        jobs.daily_refresh(mart)
+        assert rows(mart.table("sales").where("sale_date IS NULL"), "sale_id") == [("7",), ("s9",)]
+        assert mart.table("sales").count() == 9
+
+
 def test_equal_transaction_ids_of_two_drops_are_two_sales(mart):
     deliver(mart, 1, "r1", "1")
     deliver(mart, 1, "r0", "1")
@@ -176,7 +189,9 @@ def test_equal_transaction_ids_of_two_drops_are_two_sales(mart):
 def test_types_of_both_origins_agree(mart):
     deliver(mart, 1, "r1", "1")
     jobs.initial_load(mart)
-    assert dict(mart.table("sales").dtypes)["total_amount"] == "decimal(10,2)"
+    for table in ("sales", "sales_csv"):
+        types = dict(mart.table(table).dtypes)
+        assert (types["total_amount"], types["sale_date"], types["sale_id"]) == ("decimal(10,2)", "date", "string")
     amounts = {row.data_source: row.total_amount for row in mart.table("sales").where("sale_date = '2020-01-01'").collect()}
     assert amounts == {"3rd party": Decimal("30.50"), "B2B platform": Decimal("12.30")}
 

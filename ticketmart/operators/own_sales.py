@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmart import functions as C
@@ -16,16 +16,17 @@ from ticketmart.operators.lookup import known_small, lookup, lookup_nullable
 Tables = Mapping[str, DataFrame]
 
 
-def sold_since(sales: DataFrame, day: dt.date | None) -> DataFrame:
+def sold_since(sales: DataFrame, day: dt.date | Column | None, *, keep_undated: bool = False) -> DataFrame:
     """Sales from the start of ``day`` on, so that this day is always taken whole.
 
-    The bound is a literal of the column's own type: the filter reaches the scan
-    or the database.
+    The bound has the column's own type: the filter reaches the scan or the database.
+    ``keep_undated`` takes the sales without a day as well.
     """
     if day is None:
         return sales
-    bound = F.lit(day).cast(sales.schema["sale_date"].dataType)
-    return sales.where(F.col("sale_date") >= bound)
+    sale_date = F.col("sale_date")
+    recent = sale_date >= F.lit(day).cast(sales.schema["sale_date"].dataType)
+    return sales.where(recent | sale_date.isNull() if keep_undated else recent)
 
 
 def with_seller_type(sales: DataFrame) -> DataFrame:

@@ -78,11 +78,12 @@ def load_third_party_daily(mart: Mart) -> None:
 def sales_rows(mart: Mart, own_since: dt.date | None = None, third_party_since: dt.date | None = None) -> DataFrame:
     """United rows, laid out for ``sales``.
 
+    Sales without a day cannot be told old from new and are always taken whole.
     Only own sales are shuffled for that: third-party rows are stored by day already,
     and the files of a day are copied as they lie.
     """
-    own = sold_since(mart.source("sales"), own_since)
-    third_party = sold_since(mart.table("sales_csv"), third_party_since)
+    own = sold_since(mart.source("sales"), own_since, keep_undated=True)
+    third_party = sold_since(mart.table("sales_csv"), third_party_since, keep_undated=True)
     return unite_sales(enrich_own_sales(own, mart.dimensions(), ["sale_date"]), third_party)
 
 

@@ -111,8 +111,9 @@ ROLES: dict[str, str] = {
         FROM {{lineitem}}""",
     # The same lines as real drops: in each region the reseller with the lowest key
     # files one drop a quarter for all, so the number of drops does not grow with the data.
+    # The hint is safe: there is one lead per region.
     "drops": f"""
-        SELECT {_DROP_COLUMNS},
+        SELECT /*+ BROADCAST(leads) */ {_DROP_COLUMNS},
             CAST(lead_key AS STRING) AS lead_reseller,
             CASE WHEN n_regionkey = 0 THEN 1 ELSE 0 END AS is_wide,
             {_drop_name("lead_key")} || '.csv' AS source_file

@@ -21,6 +21,7 @@ from ticketmart.functions import drop_day
 
 _CELLS = [f"c{i}" for i in range(len(S.WIDE_LAYOUT))]
 _ODD = "_odd_width"  # filled by the reader when a line has another width than the schema
+_QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted cell is doubled
 LINE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in [*_CELLS, _ODD]])
 
 
@@ -39,13 +40,14 @@ def read_daily_sales(
 ) -> DataFrame:
     """Rows of the drops under their header names, with ``source_file``.
 
-    ``day`` takes the drops of one day, ``since`` those of that day and later,
-    ``days`` those of the listed days (None stands for names without a day). All
-    three leave out the other files before the scan. No drop gives no row.
+    ``day`` takes the drops of one day, ``since`` those of that day and later and
+    those whose names have no day, ``days`` those of the listed days (None stands
+    for no day). All three leave out the other files before the scan. No drop gives
+    no row.
     """
     reader = (
         spark.read.schema(LINE_SCHEMA)
-        .option("header", False)
+        .options(header=False, **_QUOTING)
         .option("columnNameOfCorruptRecord", _ODD)
         .option("columnPruning", False)  # the width of a line is read from all its cells
     )
@@ -60,7 +62,7 @@ def read_daily_sales(
     path = F.col("_metadata.file_path")
     named = drop_day(path)
     if since is not None:
-        lines = lines.where(named >= F.lit(since))
+        lines = lines.where((named >= F.lit(since)) | named.isNull())
     if days is not None:
         lines = lines.where(_any_of(named, days))
     return drop_rows(lines.select("*", path.alias("source_file")))
@@ -118,6 +120,6 @@ def write_drops(rows: DataFrame, folder: str) -> None:
         rows.hint("rebalance", "drop")
         .write.mode("append")
         .partitionBy("drop")
-        .option("header", True)
+        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_QUOTING)
         .csv(folder)
     )
