@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketmart import queries as Q
-from ticketmart.plans import jobs
+from ticketmart.plans import loads
 from ticketmart.plans.mart import Mart
 from ticketmart.session import build_session
 
@@ -58,7 +58,7 @@ def measured(run: Callable[[], None]) -> float:
 
 def prepared_mart(spark: SparkSession) -> Mart:
     mart = Q.new_mart(spark, SF_DIR, Q.shared_drops(spark, SF_DIR))
-    jobs.refresh_dimensions(mart)
+    loads.refresh_dimensions(mart)
     return mart
 
 
@@ -79,10 +79,10 @@ def main() -> None:
     times = {name: measured(lambda: compute(registered[name](spark, SF_DIR))) for name in STEPS}
 
     mart = prepared_mart(spark)
-    times["dimension_refresh"] = measured(lambda: jobs.refresh_dimensions(mart))
-    times["third_party_initial"] = measured(lambda: jobs.load_third_party(mart))
-    times["sales_initial"] = measured(lambda: jobs.load_sales(mart))
-    times["sales_incremental"] = measured(lambda: jobs.load_sales_daily(mart))
+    times["dimension_refresh"] = measured(lambda: loads.refresh_dimensions(mart))
+    times["third_party_initial"] = measured(lambda: loads.load_third_party(mart))
+    times["sales_initial"] = measured(lambda: loads.load_sales(mart))
+    times["sales_incremental"] = measured(lambda: loads.load_sales_daily(mart))
 
     rows = {
         "own_sales": registered["own_sales"](spark, SF_DIR).count(),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.helpers import mart_of, rows
 from ticketmart import schemas as S
 from ticketmart.datagen import BASE_ROWS, EVENT_TYPES, drop_lines, generate_daily_files, generate_tables
-from ticketmart.plans import jobs
+from ticketmart.plans.refresh import initial_load
 
 KEYS = {
     "venues": "venue_id", "organizers": "organizer_id", "resellers": "reseller_id", "customers": "customer_id",
@@ -52,7 +52,7 @@ def test_daily_files_load(spark, database, tmp_path):
     expected = drop_lines(spark, 4, 0.02, seed=5)
     per_drop = [row["count"] for row in expected.groupBy("drop").count().collect()]
     assert all(count >= 10 for count in per_drop)
-    jobs.initial_load(mart)
+    initial_load(mart)
     stored = mart.table("sales_csv")
     assert stored.select("sale_id").distinct().count() == expected.count()
     assert stored.where("event_id IS NULL OR reseller_name IS NULL").isEmpty()

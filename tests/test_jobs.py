@@ -7,8 +7,9 @@ import pytest
 
 from tests.helpers import D, T, drop_line, mart_of, own_sale, put_drop, rows, small_source
 from ticketmart import schemas as S
-from ticketmart.plans import jobs
+from ticketmart.plans import loads
 from ticketmart.plans.mart import Mart
+from ticketmart.plans.refresh import daily_refresh, initial_load
 from ticketmart.session import scoped_settings
 
 OWN = [
@@ -46,10 +47,10 @@ def at_time(mart: Mart, source, moment) -> Mart:
 
 
 def test_dimensions_are_full_copies(mart, source):
-    jobs.refresh_dimensions(mart)
+    loads.refresh_dimensions(mart)
     for name in S.DIMENSIONS:
         assert rows(mart.table(name)) == rows(source[name])
-    jobs.refresh_dimension(mart, "venues")
+    loads.refresh_dimension(mart, "venues")
     assert rows(mart.table("venues")) == rows(source["venues"])
 
 
@@ -61,14 +62,14 @@ def test_a_failing_dimension_stops_the_run(spark, database, source, tmp_path):
 
     mart = Mart(spark, database, broken, str(tmp_path))
     with pytest.raises(RuntimeError, match="source is down"):
-        jobs.daily_refresh(mart)
+        daily_refresh(mart)
     assert not spark.catalog.tableExists(mart.name("sales_csv"))
 
 
 def test_initial_load(mart):
     deliver(mart, 1, "r1", "1", "2")
     deliver(mart, 7, "r2", "1", layout=S.WIDE_LAYOUT)
-    jobs.initial_load(mart)
+    initial_load(mart)
     stored = mart.table("sales_csv")
     assert set(stored.columns) == {*S.THIRD_PARTY_COLUMNS, "file_day"}
     assert rows(stored, "sale_id", "reseller_id", "partnership_id") == [
@@ -83,27 +84,27 @@ def test_initial_load(mart):
 
 def test_daily_loads_after_an_initial_one_equal_one_load(mart, source, spark, tmp_path):
     deliver(mart, 1, "r1", "1", "2")
-    jobs.initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
+    initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
     deliver(mart, 7, "r2", "3")
     deliver(mart, 7, "r1", "3", "4", layout=S.WIDE_LAYOUT)
-    jobs.daily_refresh(at_time(mart, source, "2020-01-07 00:00:00"))
+    daily_refresh(at_time(mart, source, "2020-01-07 00:00:00"))
     deliver(mart, 9, "r0", "1")
-    jobs.daily_refresh(at_time(mart, source, "2020-01-08 00:00:00"))
-    jobs.daily_refresh(mart)
+    daily_refresh(at_time(mart, source, "2020-01-08 00:00:00"))
+    daily_refresh(mart)
     daily = state(mart)
-    jobs.daily_refresh(mart)
+    daily_refresh(mart)
     assert state(mart) == daily
     spark.sql(f"DROP TABLE {mart.name('sales_csv')}")
-    jobs.initial_load(mart)
+    initial_load(mart)
     assert state(mart) == daily
 
 
 def test_third_party_days_do_not_remove_own_sales(mart, source):
     """Both origins have sales on an old day and only the third party's is loaded again."""
     deliver(mart, 7, "r1", "1")
-    jobs.initial_load(mart)
+    initial_load(mart)
     before = state(mart)
-    jobs.daily_refresh(mart)
+    daily_refresh(mart)
     assert state(mart) == before
     assert rows(mart.table("sales").where("sale_date = '2020-01-07'"), "data_source", "sale_id") == [
         ("3rd party", "1"), ("B2B platform", "s2"), ("B2B platform", "s3"), ("B2B platform", "s3"),
@@ -112,43 +113,43 @@ def test_third_party_days_do_not_remove_own_sales(mart, source):
 
 def test_an_origin_that_is_ahead_does_not_hide_the_others_sales(mart, source):
     deliver(mart, 20, "r1", "1")
-    jobs.initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
-    jobs.daily_refresh(mart)
+    initial_load(at_time(mart, source, "2020-01-01 12:00:00"))
+    daily_refresh(mart)
     own = mart.table("sales").where("data_source = 'B2B platform'").select("sale_id").distinct()
     assert rows(own) == [("s1",), ("s2",), ("s3",), ("s4",), ("s5",)]
 
 
 def test_midnight_sales_of_the_last_day_stay(mart, source):
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(at_time(mart, source, "2020-01-07 00:00:00"))
-    jobs.load_sales_daily(mart)
+    initial_load(at_time(mart, source, "2020-01-07 00:00:00"))
+    loads.load_sales_daily(mart)
     assert rows(mart.table("sales").where("sale_date = '2020-01-07'"), "sale_id") == [("s2",), ("s3",), ("s3",)]
 
 
 def test_a_day_without_drops_is_skipped(mart):
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(mart)
-    jobs.load_third_party_daily(mart)
+    initial_load(mart)
+    loads.load_third_party_daily(mart)
     deliver(mart, 5, "r1", "2")
-    jobs.load_third_party_daily(mart)
+    loads.load_third_party_daily(mart)
     assert rows(mart.table("sales_csv"), "sale_id") == [("1",), ("2",)]
 
 
 def test_one_day_load_leaves_other_days_alone(mart):
     deliver(mart, 1, "r1", "1")
     deliver(mart, 2, "r1", "2")
-    jobs.refresh_dimensions(mart)
-    jobs.load_third_party(mart, D(2020, 1, 2))
+    loads.refresh_dimensions(mart)
+    loads.load_third_party(mart, D(2020, 1, 2))
     assert rows(mart.table("sales_csv"), "sale_id") == [("2",)]
-    jobs.load_third_party(mart, D(2020, 1, 1))
+    loads.load_third_party(mart, D(2020, 1, 1))
     assert rows(mart.table("sales_csv"), "sale_id") == [("1",), ("2",)]
 
 
 def test_a_drop_with_lines_of_an_earlier_day_keeps_that_days_rows(mart):
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(mart)
+    initial_load(mart)
     deliver(mart, 2, "r1", "9", created=1)
-    jobs.daily_refresh(mart)
+    daily_refresh(mart)
     assert rows(mart.table("sales_csv"), "sale_id", "sale_date") == [("1", D(2020, 1, 1)), ("9", D(2020, 1, 1))]
     assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id") == [("1",), ("9",)]
 
@@ -156,9 +157,9 @@ def test_a_drop_with_lines_of_an_earlier_day_keeps_that_days_rows(mart):
 def test_a_null_sale_day_does_not_stop_later_loads(mart):
     deliver(mart, 1, "r1", "1")
     put_drop(Path(mart.drops), "01022020", "r1", [drop_line("2", "")])
-    jobs.initial_load(mart)
+    initial_load(mart)
     deliver(mart, 3, "r1", "3")
-    jobs.daily_refresh(mart)
+    daily_refresh(mart)
     assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id", "sale_date") == [
         ("1", D(2020, 1, 1)), ("2", None), ("3", D(2020, 1, 3)),
     ]
@@ -167,12 +168,12 @@ def test_a_null_sale_day_does_not_stop_later_loads(mart):
 def test_sales_and_drops_without_a_day_are_loaded_daily_too(mart, source, spark):
     undated = spark.createDataFrame([own_sale("s9", None)], S.SOURCE_SCHEMAS["sales"])
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(mart)
+    initial_load(mart)
     later = {**source, "sales": source["sales"].unionByName(undated)}
     put_drop(Path(mart.drops), "", "", [drop_line("7", "")], name="DailySales_late_r1.csv")
     mart = Mart(spark, mart.database, later.__getitem__, mart.drops)
     for _ in range(2):
-        jobs.daily_refresh(mart)
+        daily_refresh(mart)
         assert rows(mart.table("sales").where("sale_date IS NULL"), "sale_id") == [("7",), ("s9",)]
         assert mart.table("sales").count() == 9
 
@@ -180,7 +181,7 @@ def test_sales_and_drops_without_a_day_are_loaded_daily_too(mart, source, spark)
 def test_equal_transaction_ids_of_two_drops_are_two_sales(mart):
     deliver(mart, 1, "r1", "1")
     deliver(mart, 1, "r0", "1")
-    jobs.initial_load(mart)
+    initial_load(mart)
     assert rows(mart.table("sales_csv"), "reseller_id", "sale_date", "sale_id") == [
         ("r0", D(2020, 1, 1), "1"), ("r1", D(2020, 1, 1), "1"),
     ]
@@ -188,7 +189,7 @@ def test_equal_transaction_ids_of_two_drops_are_two_sales(mart):
 
 def test_types_of_both_origins_agree(mart):
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(mart)
+    initial_load(mart)
     for table in ("sales", "sales_csv"):
         types = dict(mart.table(table).dtypes)
         assert (types["total_amount"], types["sale_date"], types["sale_id"]) == ("decimal(10,2)", "date", "string")
@@ -197,8 +198,8 @@ def test_types_of_both_origins_agree(mart):
 
 
 def test_no_drops_at_all(mart):
-    jobs.initial_load(mart)
-    jobs.daily_refresh(mart)
+    initial_load(mart)
+    daily_refresh(mart)
     assert mart.table("sales_csv").isEmpty()
     assert mart.table("sales").count() == 6
 
@@ -209,8 +210,8 @@ def plan_of(frame) -> str:
 
 def test_rows_are_clustered_before_broadcast_lookups_and_after_shuffled_ones(mart, spark):
     deliver(mart, 1, "r1", "1")
-    jobs.initial_load(mart)
-    for rows_of in (jobs.third_party_rows, jobs.sales_rows):
+    initial_load(mart)
+    for rows_of in (loads.third_party_rows, loads.sales_rows):
         plan = plan_of(rows_of(mart))
         assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
         assert plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL")
@@ -224,10 +225,10 @@ def test_a_hot_day_is_written_in_several_files(mart, spark):
     lines = [drop_line(str(i), "2020-01-05", **{S.FIRST_NAME: f"{i * 7919 % 10007:x}" * 8}) for i in range(20_000)]
     put_drop(Path(mart.drops), "01052020", "r1", lines)
     deliver(mart, 6, "r1", "1")
-    jobs.refresh_dimensions(mart)
+    loads.refresh_dimensions(mart)
     limits = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.files.maxPartitionBytes": "300KB"}
     with scoped_settings(spark, limits):
-        jobs.load_third_party(mart)
+        loads.load_third_party(mart)
     stored = mart.table("sales_csv")
     files = stored.select("file_day", "_metadata.file_path").distinct().groupBy("file_day").count().collect()
     counts = {row["file_day"]: row["count"] for row in files}

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from ticketmart import functions as C
 from ticketmart import schemas as S
 from ticketmart.operators import own_sales, third_party, union, watermark
-from ticketmart.plans import jobs
+from ticketmart.plans import loads
 from ticketmart.plans.mart import Mart
+from ticketmart.plans.refresh import daily_refresh, initial_load
 from ticketmart.roles import as_drop_rows, role, role_sql
 from ticketmart.session import scratch_folder
 from ticketmart.sinks import upsert_partitions
 from ticketmart.sources.catalog import list_partitions
-from ticketmart.sources.drops import write_drops
+from ticketmart.sources.drops import read_daily_sales, write_drops
 from ticketmart.streaming.drops import ingest_new_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,7 +95,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], str])
 def shared_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def make() -> str:
         mart = new_mart(spark, sf_dir)
-        jobs.refresh_dimensions(mart)
+        loads.refresh_dimensions(mart)
         return mart.database
 
     return mart_in(spark, sf_dir, _once(spark, sf_dir, "dimensions", make)).dimensions()
@@ -114,7 +115,7 @@ def shared_mart(spark: SparkSession, sf_dir: str) -> Mart:
 
     def make() -> str:
         mart = new_mart(spark, sf_dir, drops)
-        jobs.initial_load(mart)
+        initial_load(mart)
         return mart.database
 
     return mart_in(spark, sf_dir, _once(spark, sf_dir, "mart", make), drops)
@@ -131,7 +132,7 @@ def _last_drop_day(spark: SparkSession, sf_dir: str) -> dt.date:
 def _dimension_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         mart = new_mart(spark, sf_dir)
-        jobs.refresh_dimension(mart, name)
+        loads.refresh_dimension(mart, name)
         return mart.table(name)
 
     return query
@@ -453,8 +454,8 @@ def _stored_sales(mart: Mart) -> DataFrame:
 @_query("third_party_initial", _LOADED_THIRD_PARTY)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = new_mart(spark, sf_dir, shared_drops(spark, sf_dir))
-    jobs.refresh_dimensions(mart)
-    jobs.load_third_party(mart)
+    loads.refresh_dimensions(mart)
+    loads.load_third_party(mart)
     return _stored_third_party(mart)
 
 
@@ -467,9 +468,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drops of one day, here the last one; the other files are not opened."""
-    mart = new_mart(spark, sf_dir, shared_drops(spark, sf_dir))
-    jobs.refresh_dimensions(mart)
-    rows = jobs.third_party_rows(mart, _last_drop_day(spark, sf_dir))
+    drops = read_daily_sales(spark, shared_drops(spark, sf_dir), _last_drop_day(spark, sf_dir))
+    rows = third_party.enrich_third_party(third_party.normalise(drops), shared_dimensions(spark, sf_dir))
     return _file_name_only(rows.select(*S.THIRD_PARTY_COLUMNS))
 
 
@@ -478,11 +478,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All drops but those of the last day, then a daily load for the rest."""
     mart, last = new_mart(spark, sf_dir), _last_drop_day(spark, sf_dir)
     created = F.to_date("created")
-    jobs.refresh_dimensions(mart)
+    loads.refresh_dimensions(mart)
     deliver_drops(spark, sf_dir, mart.drops, created < last)
-    jobs.load_third_party(mart)
+    loads.load_third_party(mart)
     deliver_drops(spark, sf_dir, mart.drops, created >= last)
-    jobs.load_third_party_daily(mart)
+    loads.load_third_party_daily(mart)
     return _stored_third_party(mart)
 
 
@@ -491,7 +491,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drops of the last day come first; the stream still finds all the older ones."""
     mart, last = new_mart(spark, sf_dir, streamed=True), _last_drop_day(spark, sf_dir)
     created = F.to_date("created")
-    jobs.refresh_dimensions(mart)
+    loads.refresh_dimensions(mart)
     deliver_drops(spark, sf_dir, mart.drops, created >= last)
     ingest_new_drops(mart).awaitTermination()
     deliver_drops(spark, sf_dir, mart.drops, created < last)
@@ -502,7 +502,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("sales_initial", _sales_oracle("drops"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = new_mart(spark, sf_dir, shared_drops(spark, sf_dir))
-    jobs.initial_load(mart)
+    initial_load(mart)
     return _stored_sales(mart)
 
 
@@ -520,9 +520,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         return table.where(F.col("sale_date") <= midnight)
 
     deliver_drops(spark, sf_dir, mart.drops, created < last)
-    jobs.initial_load(Mart(spark, mart.database, source_at_midnight, mart.drops))
+    initial_load(Mart(spark, mart.database, source_at_midnight, mart.drops))
     deliver_drops(spark, sf_dir, mart.drops, created >= last)
-    jobs.daily_refresh(mart)
+    daily_refresh(mart)
     return _stored_sales(mart)
 
 
