@@ -154,6 +154,39 @@ def test_a_drop_with_lines_of_an_earlier_day_keeps_that_days_rows(mart):
     assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id") == [("1",), ("9",)]
 
 
+def third_party_files(mart):
+    sales = mart.table("sales").where("data_source = '3rd party'")
+    return {(row[0], row[1]) for row in sales.select("sale_date", "_metadata.file_name").distinct().collect()}
+
+
+def test_only_days_with_new_drops_are_copied_to_sales(mart):
+    for day in (3, 4, 5):
+        deliver(mart, day, "r1", str(day))
+    initial_load(mart)
+    before = third_party_files(mart)
+    deliver(mart, 6, "r1", "6")
+    deliver(mart, 7, "r1", "7", created=3)  # a line of a day long before the watermark
+    daily_refresh(mart)
+    after = third_party_files(mart)
+    assert {day.day for day, _ in before & after} == {4, 5}
+    assert {day.day for day, _ in after - before} == {3, 6}
+    assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id", "sale_date") == [
+        ("3", D(2020, 1, 3)), ("4", D(2020, 1, 4)), ("5", D(2020, 1, 5)), ("6", D(2020, 1, 6)), ("7", D(2020, 1, 3)),
+    ]
+    daily_refresh(mart)
+    assert third_party_files(mart) == after
+
+
+def test_drops_loaded_by_a_run_that_broke_off_reach_sales_later(mart):
+    deliver(mart, 5, "r1", "5")
+    initial_load(mart)
+    deliver(mart, 6, "r1", "6", created=2)
+    loads.load_third_party_daily(mart)  # and then no load of sales
+    deliver(mart, 7, "r1", "7")
+    daily_refresh(mart)
+    assert rows(mart.table("sales").where("data_source = '3rd party'"), "sale_id") == [("5",), ("6",), ("7",)]
+
+
 def test_a_null_sale_day_does_not_stop_later_loads(mart):
     deliver(mart, 1, "r1", "1")
     put_drop(Path(mart.drops), "01022020", "r1", [drop_line("2", "")])

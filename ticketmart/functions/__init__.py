@@ -1,6 +1,7 @@
 """Column expressions; each takes and gives a Column and stays inside the JVM."""
 
 from ticketmart.functions.columns import (
+    any_of,
     drop_day,
     full_name,
     normal_channel,
@@ -9,4 +10,4 @@ from ticketmart.functions.columns import (
     seller_type,
 )
 
-__all__ = ["drop_day", "full_name", "normal_channel", "reseller_from_file", "sale_day", "seller_type"]
+__all__ = ["any_of", "drop_day", "full_name", "normal_channel", "reseller_from_file", "sale_day", "seller_type"]

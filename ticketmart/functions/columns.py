@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +37,10 @@ def seller_type(reseller_id: Column) -> Column:
 
 def sale_day(moment: Column) -> Column:
     return F.to_date(moment)
+
+
+def any_of(value: Column, days: Sequence[dt.date | None]) -> Column:
+    """Whether a day is one of ``days``, None included."""
+    known = [day for day in days if day is not None]
+    found = value.isin(known) if known else F.lit(False)
+    return found | value.isNull() if len(known) < len(days) else found

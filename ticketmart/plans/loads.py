@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmart import schemas as S
+from ticketmart.functions import any_of
 from ticketmart.operators.own_sales import enrich_own_sales, sold_since
 from ticketmart.operators.third_party import enrich_third_party, normalise
-from ticketmart.operators.union import third_party_as_sales, unite_sales
-from ticketmart.operators.watermark import latest_sales_day, next_file_day
+from ticketmart.operators.union import unite_sales
+from ticketmart.operators.watermark import latest_sales_day, next_file_day, outdated_days
 from ticketmart.plans.mart import Mart
 from ticketmart.session import ENGINE_SETTINGS, scoped_settings
 from ticketmart.sinks import full_refresh, upsert_partitions
-from ticketmart.sources.catalog import list_partitions, partition_day
+from ticketmart.sources.catalog import file_times, table_exists
 from ticketmart.sources.drops import read_daily_sales
 
 
@@ -75,15 +76,19 @@ def load_third_party_daily(mart: Mart) -> None:
     load_third_party(mart, since=next_file_day(mart.spark, mart.name("sales_csv")))
 
 
-def sales_rows(mart: Mart, own_since: dt.date | None = None, third_party_since: dt.date | None = None) -> DataFrame:
+def sales_rows(
+    mart: Mart, own_since: dt.date | None = None, third_party_days: Sequence[dt.date | None] | None = None
+) -> DataFrame:
     """United rows, laid out for ``sales``.
 
-    Sales without a day cannot be told old from new and are always taken whole.
-    Only own sales are shuffled for that: third-party rows are stored by day already,
-    and the files of a day are copied as they lie.
+    Own sales without a day cannot be told old from new and are always taken whole.
+    Only own sales are shuffled: third-party rows are stored by day already, and the
+    files of a day are copied as they lie.
     """
     own = sold_since(mart.source("sales"), own_since, keep_undated=True)
-    third_party = sold_since(mart.table("sales_csv"), third_party_since, keep_undated=True)
+    third_party = mart.table("sales_csv")
+    if third_party_days is not None:
+        third_party = third_party.where(any_of(F.col("sale_date"), third_party_days))
     return unite_sales(enrich_own_sales(own, mart.dimensions(), ["sale_date"]), third_party)
 
 
@@ -94,55 +99,23 @@ def load_sales(mart: Mart) -> None:
 
 
 def load_sales_daily(mart: Mart) -> None:
-    """Add to ``sales`` what is new, reloading each origin's last day whole.
+    """Add to ``sales`` what is new.
 
-    Origins have partitions of their own, so neither load touches the other's rows.
+    Own sales are taken from the start of their last day on. Third-party sales are
+    taken for every day that ``sales_csv`` holds in a newer state than ``sales``, old
+    days with late drops included, and also after a run that broke off in between.
+    Origins have partitions of their own, so neither touches the other's rows.
     """
-    table = mart.name("sales")
-    own_since = latest_sales_day(mart.spark, table, S.OWN_ORIGIN)
-    third_party_since = latest_sales_day(mart.spark, table, S.THIRD_PARTY_ORIGIN)
-    with scoped_settings(mart.spark, ENGINE_SETTINGS):
-        rows = sales_rows(mart, own_since, third_party_since)
+    spark, table = mart.spark, mart.name("sales")
+    own_since, third_party_days = None, None
+    if table_exists(spark, table):
+        own_since = latest_sales_day(spark, table, S.OWN_ORIGIN)
+        outdated = outdated_days(
+            file_times(spark, mart.name("sales_csv"), "sale_date"),
+            file_times(spark, table, "sale_date", data_source=S.THIRD_PARTY_ORIGIN),
+        )
+        # Bounded by the calendar.
+        third_party_days = [row["day"] for row in outdated.collect()]
+    with scoped_settings(spark, ENGINE_SETTINGS):
+        rows = sales_rows(mart, own_since, third_party_days)
         upsert_partitions(rows, table, S.SALES_PARTITIONS, is_clustered=True)
-
-
-def publish_third_party(mart: Mart, file_days: Sequence[dt.date | None]) -> None:
-    """Copy to ``sales`` every third-party sale day that drops of these days touch.
-
-    The sale days come from partition names: as many as there are days.
-    """
-    stored = list_partitions(mart.spark, mart.name("sales_csv")).select(
-        *[partition_day(F.col("partition"), column).alias(column) for column in S.THIRD_PARTY_PARTITIONS]
-    )
-    touched = {row["sale_date"] for row in stored.distinct().collect() if row["file_day"] in file_days}
-    if not touched:
-        return
-    sale_date = F.col("sale_date")
-    wanted = sale_date.isin([day for day in touched if day is not None])
-    if None in touched:
-        wanted = wanted | sale_date.isNull()
-    with scoped_settings(mart.spark, ENGINE_SETTINGS):
-        rows = third_party_as_sales(mart.table("sales_csv").where(wanted))
-        upsert_partitions(rows, mart.name("sales"), S.SALES_PARTITIONS, is_clustered=True)
-
-
-def initial_load(mart: Mart) -> None:
-    """Dimensions, then all drops, then ``sales``."""
-    refresh_dimensions(mart)
-    load_third_party(mart)
-    load_sales(mart)
-
-
-def daily_refresh(mart: Mart) -> None:
-    """Dimensions, then new drops, then new sales.
-
-    With a checkpoint the drop stream finds the new drops, late ones included.
-    """
-    refresh_dimensions(mart)
-    if mart.checkpoint is None:
-        load_third_party_daily(mart)
-    else:
-        from ticketmart.streaming.drops import ingest_new_drops
-
-        ingest_new_drops(mart).awaitTermination()
-    load_sales_daily(mart)

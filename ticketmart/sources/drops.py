@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketmart import schemas as S
-from ticketmart.functions import drop_day
+from ticketmart.functions import any_of, drop_day
 
 _CELLS = [f"c{i}" for i in range(len(S.WIDE_LAYOUT))]
 _ODD = "_odd_width"  # filled by the reader when a line has another width than the schema
@@ -64,16 +64,10 @@ def read_daily_sales(
     if since is not None:
         lines = lines.where((named >= F.lit(since)) | named.isNull())
     if days is not None:
-        lines = lines.where(_any_of(named, days))
+        lines = lines.where(any_of(named, days))
     return drop_rows(lines.select("*", path.alias("source_file")))
 
 
-def _any_of(value: Column, days: Sequence[dt.date | None]) -> Column:
-    known = [day for day in days if day is not None]
-    hit = value.isin(known) if known else F.lit(False)
-    return hit | value.isNull() if len(known) < len(days) else hit
-
-
 def drop_rows(lines: DataFrame) -> DataFrame:
     """Give the cells of each line their header names and leave the header lines out.
 
