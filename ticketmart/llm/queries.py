@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.llm import langid, pieces, rules, tokens
+from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, rules, tokens, toxicity
 from ticketmart.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,24 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return brown.scored(docs.withColumn("held_out", fold("doc_id", 10) == 0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learned(docs, labels.where(fold("doc_id", 5) != 0))
+    return toxicity.tagged(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "spans"
+    )
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.grouped(table(spark, sf_dir, "documents"), minhash.Banding(words=2, percent=80))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.learned(docs.where(fold("doc_id", 5) != 0))
@@ -82,10 +100,39 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP10_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+asked AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[s:s + 9], ' ') AS phrase
+    FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS s FROM asked WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, size, s, array_to_string(ws[s:s + size - 1], ' ') AS phrase
+    FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS s FROM words, sizes WHERE len(ws) >= size)),
+found AS (SELECT doc_id, item_id, s, p.size FROM places p JOIN windows w ON p.phrase = w.phrase AND p.size = w.size),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(range(s, s + size)) AS pos FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op2_rules": op2_rules,
     "op4_tokens": op4_tokens,
+    "op5_brown": op5_brown,
+    "op6_toxicity": op6_toxicity,
+    "op7_minhash": op7_minhash,
     "op8_langid": op8_langid,
     "op9_pieces": op9_pieces,
+    "op10_decontaminate": op10_decontaminate,
 }
-ORACLES: dict[str, str] = {"op2_rules": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_rules": OP2_SQL, "op10_decontaminate": OP10_SQL}
