@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, rules, tokens, toxicity
+from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, pii, rules, tokens, toxicity
 from ticketmart.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The key of surrogates. A user puts in a secret of their own.
+SURROGATE_KEY = "surrogates"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.ledger(docs).select(
@@ -126,6 +134,7 @@ FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op2_rules": op2_rules,
     "op4_tokens": op4_tokens,
     "op5_brown": op5_brown,
