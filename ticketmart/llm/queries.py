@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, pii, rules, tokens, toxicity
+from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, pii, rules, tokens, toolcalls, toxicity
 from ticketmart.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 """
 
 
+# Tools that the turns of the conversations stand for calls of.
+_ARGUMENTS = {
+    "type": "object",
+    "properties": {
+        "query": {"type": "string"},
+        "limit": {"type": "integer", "minimum": 1, "maximum": 60},
+        "after": {"type": "string"},
+    },
+    "required": ["query", "limit"],
+    "additionalProperties": False,
+}
+TOOLS = {"search": _ARGUMENTS, "lookup": _ARGUMENTS, "count": _ARGUMENTS}
+
+
+def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and references that stand for the turns of conversations.
+
+    Each line of an assistant's turn is a call, and line i of the next turn, if a user's,
+    its result. Line i refers to line (i - 1) / 2 of its turn.
+    """
+    lines = turns.select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("position", "line"))
+    lines = lines.where(F.trim("line") != "")
+
+    def call_id(turn: Column, position: Column) -> Column:
+        return F.concat_ws("-", F.lit("call"), turn.cast("string"), position.cast("string"))
+
+    position, turn = F.col("position"), F.col("turn")
+    needs = F.when(position > 0, call_id(turn, F.floor((position - 1) / 2)))
+    said = lines.where("role = 'assistant'").select(
+        "conv_id",
+        call_id(turn, position).alias("call_id"),
+        "turn",
+        "position",
+        F.get(F.array(*map(F.lit, [*TOOLS, "retired"])), (F.crc32("line") % 10 % 4).cast("int")).alias("name"),
+        needs.alias("needs"),
+        "line",
+    )
+    arguments = F.to_json(F.struct(F.size(F.split("line", " ")).alias("limit"), F.col("needs").alias("after"), F.col("line").alias("query")))
+    calls = said.select("conv_id", "call_id", "turn", "position", "name", arguments.alias("arguments"))
+    results = lines.where("role = 'user' AND turn > 0").select(
+        "conv_id", call_id(turn - 1, position).alias("call_id"), "turn", F.col("line").alias("content")
+    )
+    return calls, results, said.where("needs IS NOT NULL").select("conv_id", "call_id", "needs")
+
+
+def op3_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return toolcalls.linked(*tool_messages(turns), TOOLS)
+
+
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.counted(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -136,6 +186,7 @@ FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_rules": op2_rules,
+    "op3_toolcalls": op3_toolcalls,
     "op4_tokens": op4_tokens,
     "op5_brown": op5_brown,
     "op6_toxicity": op6_toxicity,
