@@ -109,6 +109,37 @@ def test_unknown_header_stops_the_job(spark, tmp_path):
         read_daily_sales(spark, str(tmp_path)).collect()
 
 
+def written(tmp_path, *lines):
+    (tmp_path / "DailySales_05032020_a.csv").write_text("\n".join(lines) + "\n")
+
+
+NARROW, WIDE = ",".join(S.NARROW_LAYOUT), ",".join(S.WIDE_LAYOUT)
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        (WIDE + ",More", "1,,Gala,2,3.5,web,Kim,Berg,,2020-05-03,x"),  # an eleventh column
+        (NARROW, "1,Gala"),
+        (NARROW, "1,Gala,2,3.5,web,Kim,Berg,,2020-05-03,x,y"),
+        (NARROW, "1,Gala,2,3.5,web,Kim,Berg,,2020-05-03", "2,Gala, Night,2,3.5,web,Kim,Berg,,2020-05-03"),
+        (WIDE, "1,,Gala,2,3.5,web,Kim,Berg,,2020-05-03", "2,Gala,2,3.5,web,Kim,Berg,,2020-05-03"),
+        (NARROW, '1,"Gala,2,3.5,web,Kim,Berg,,2020-05-03'),  # a quote that stays open
+        ("1,Gala,2,3.5,web,Kim,Berg,,2020-05-03",),  # no header
+    ],
+)
+def test_lines_that_do_not_fit_their_header_stop_the_job(spark, tmp_path, lines):
+    written(tmp_path, *lines)
+    with pytest.raises(Exception, match="DailySales_05032020_a.csv"):
+        read_daily_sales(spark, str(tmp_path)).collect()
+
+
+def test_blank_lines_and_empty_files_have_no_rows(spark, tmp_path):
+    written(tmp_path, NARROW, "", "1,Gala,2,3.5,web,Kim,Berg,,2020-05-03", "")
+    (tmp_path / "DailySales_05032020_b.csv").write_text("")
+    assert rows(read_daily_sales(spark, str(tmp_path)), S.TRANSACTION_ID) == [("1",)]
+
+
 def test_unreadable_number_stops_the_job(spark, tmp_path):
     line = drop_line("1", "2020-05-03")
     line[S.TICKETS] = "two"

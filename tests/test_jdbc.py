@@ -46,7 +46,10 @@ class Session:
 
 
 def test_whole_table():
-    assert read_jdbc(Session(), OPTIONS, "public.venues") == {**OPTIONS, "format": "jdbc", "dbtable": "public.venues"}
+    assert read_jdbc(Session(), OPTIONS, "public.venues") == {
+        **OPTIONS, "format": "jdbc", "dbtable": "public.venues", "fetchsize": "10000",
+    }
+    assert read_jdbc(Session(), {**OPTIONS, "fetchsize": "5"}, "public.venues")["fetchsize"] == "5"
 
 
 def test_column_range():
@@ -63,11 +66,13 @@ def test_column_range():
 
 
 def test_source_splits_large_tables_by_key():
-    source = JdbcSource(Session(), OPTIONS, uuid_splits={"sales": "sale_id"}, parts=4)
+    splits = {"sales": "sale_id", "customers": "customer_id"}
+    source = JdbcSource(Session(), OPTIONS, uuid_splits=splits, parts=4, table_parts={"customers": 2})
     assert "predicates" not in source("venues")
     told = source("sales")
     assert told["dbtable"] == "public.sales" and len(told["predicates"]) == 4
-    assert told["url"] == OPTIONS["url"] and told["user"] == "u"
+    assert told["url"] == OPTIONS["url"] and told["user"] == "u" and told["fetchsize"] == "10000"
+    assert len(source("customers")["predicates"]) == 2
     assert OPTIONS["url"]  # the caller's options are left as they are
 
 

@@ -267,3 +267,121 @@ def test_a_hot_day_is_written_in_several_files(mart, spark):
     counts = {row["file_day"]: row["count"] for row in files}
     assert stored.count() == 20_001
     assert counts[D(2020, 1, 5)] > 2 and counts[D(2020, 1, 6)] == 1
+
+
+def created(*days: int) -> list[dict[str, str]]:
+    return [drop_line(str(day), f"2020-01-{day:02d}") for day in days]
+
+
+def third_party_days(mart: Mart) -> list[int]:
+    return sorted(row.sale_date.day for row in mart.table("sales").where("data_source = '3rd party'").collect())
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+@pytest.mark.parametrize("again", [[2], [], None])
+def test_a_corrected_emptied_or_removed_drop_leaves_no_old_rows(spark, database, source, tmp_path, streamed, again):
+    mart = mart_of(spark, database, source, tmp_path, checkpoint=str(tmp_path / "seen") if streamed else None)
+    drop = put_drop(Path(mart.drops), "01022020", "r1", created(1, 2))
+    deliver(mart, 3, "r1", "9", created=1)
+    deliver(mart, 4, "r1", "4")
+    initial_load(mart)
+    own = rows(mart.table("sales").where("data_source = 'B2B platform'"))
+    assert third_party_days(mart) == [1, 1, 2, 4]
+    if again is None:
+        drop.unlink()
+    else:
+        put_drop(Path(mart.drops), "01022020", "r1", created(*again))
+    daily_refresh(mart)
+    expected = [1, *(again or []), 4]
+    assert third_party_days(mart) == expected
+    assert sorted(row.sale_date.day for row in mart.table("sales_csv").collect()) == expected
+    assert rows(mart.table("sales").where("data_source = 'B2B platform'")) == own
+    before = state(mart)
+    daily_refresh(mart)
+    assert state(mart) == before
+
+
+def test_initial_load_again_rebuilds_the_tables(mart):
+    drop = put_drop(Path(mart.drops), "01022020", "r1", created(1, 2))
+    initial_load(mart)
+    drop.unlink()
+    deliver(mart, 5, "r1", "5")
+    initial_load(mart)
+    assert third_party_days(mart) == [5]
+    assert [row.sale_date.day for row in mart.table("sales_csv").collect()] == [5]
+
+
+def stored_files(mart: Mart) -> set[str]:
+    frame = mart.table("sales_csv").select("_metadata.file_path").distinct()
+    copied = mart.table("sales").where("data_source = '3rd party'").select("_metadata.file_path").distinct()
+    return {row[0] for row in frame.union(copied).collect()}
+
+
+def test_a_checkpointed_initial_load_is_not_loaded_again(spark, database, source, tmp_path):
+    mart = mart_of(spark, database, source, tmp_path, checkpoint=str(tmp_path / "seen"))
+    for day in (1, 2, 3):
+        deliver(mart, day, "r1", "1")
+    initial_load(mart)
+    before = stored_files(mart)
+    daily_refresh(mart)
+    assert stored_files(mart) == before
+    deliver(mart, 1, "r2", "7")
+    daily_refresh(mart)
+    assert len(before & stored_files(mart)) == 4 and "7" in {row.sale_id for row in mart.table("sales").collect()}
+
+
+def test_a_run_broken_off_between_the_loads_still_reaches_sales(mart):
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    assert loads.pending_loads(mart) == []
+    deliver(mart, 1, "r2", "2")
+    loads.load_third_party(mart, D(2020, 1, 1))  # and no sales load
+    deliver(mart, 8, "r2", "3")
+    assert len(loads.pending_loads(mart)) == 1
+    daily_refresh(mart)
+    assert third_party_days(mart) == [1, 1, 8] and loads.pending_loads(mart) == []
+
+
+def test_daily_work_does_not_grow_with_loaded_days(mart, spark):
+    """The sales load reads as many third-party files after many days as after few."""
+
+    def files_read() -> int:
+        day = mart.table(loads.CHANGES).select("sale_date").distinct().collect()
+        frame = loads.sales_rows(mart, D(2020, 1, 9), [row.sale_date for row in day]).where("data_source = '3rd party'")
+        return frame.select("source_file").distinct().count()
+
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    deliver(mart, 2, "r1", "1")
+    loads.load_third_party(mart, D(2020, 1, 2))
+    few = files_read()
+    for day in range(3, 12):
+        deliver(mart, day, "r1", "1")
+    loads.load_third_party(mart)
+    loads.load_sales_daily(mart)
+    deliver(mart, 12, "r1", "1")
+    loads.load_third_party(mart, D(2020, 1, 12))
+    assert files_read() == few == 1
+
+
+@pytest.mark.parametrize("name", ["partnerships", "events"])
+def test_the_size_check_and_the_joins_agree(mart, spark, name):
+    """At a threshold between the bare size of a dimension and that of what is joined."""
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    size = mart.table(name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limits = {"spark.sql.autoBroadcastJoinThreshold": str(int(str(size)) + 1), "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with scoped_settings(spark, limits):
+        for rows_of in (loads.third_party_rows, loads.sales_rows):
+            plan = plan_of(rows_of(mart))
+            facts = plan[: plan.index("REBALANCE_PARTITIONS_BY_COL")]
+            assert "SortMergeJoin" not in facts and "hashpartitioning" not in facts.split("Exchange")[0]
+
+
+def test_the_time_of_own_sales_can_be_stored(spark, database, source, tmp_path):
+    mart = mart_of(spark, database, source, tmp_path, keep_sale_time=True)
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    daily_refresh(mart)
+    times = {row.sale_id: row.sale_datetime for row in mart.table("sales").collect()}
+    assert times["s4"] == T(2020, 1, 8, 23, 59, 59) and times["1"] is None

@@ -33,3 +33,15 @@ def test_each_command_runs_its_load(spark, monkeypatch, database):
 def test_an_unknown_command_is_refused():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["weekly", *WHERE])
+
+
+def test_database_options():
+    args = cli.parser().parse_args(["daily", *WHERE, "--fetch-size", "7", "--customer-parts", "3", "--keep-sale-time"])
+    mart = cli.mart_from(None, args)
+    assert mart.source.options["fetchsize"] == "7" and mart.source.table_parts == {"customers": 3} and mart.keep_sale_time
+
+
+def test_the_third_party_step_obeys_the_checkpoint():
+    from ticketmart.plans.refresh import third_party_step
+
+    assert cli.COMMANDS["third-party-daily"] is third_party_step

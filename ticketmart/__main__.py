@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from ticketmart import schemas as S
 from ticketmart.plans import loads
 from ticketmart.plans.mart import Mart
-from ticketmart.plans.refresh import daily_refresh, initial_load
+from ticketmart.plans.refresh import daily_refresh, initial_load, third_party_step
 from ticketmart.session import build_session
 from ticketmart.sources.jdbc import JdbcSource
 
@@ -26,7 +26,7 @@ COMMANDS: dict[str, Callable[[Mart], None]] = {
     "daily": daily_refresh,
     "dimensions": loads.refresh_dimensions,
     "third-party-initial": loads.load_third_party,
-    "third-party-daily": loads.load_third_party_daily,
+    "third-party-daily": third_party_step,
     "sales-initial": loads.load_sales,
     "sales-daily": loads.load_sales_daily,
 }
@@ -43,17 +43,23 @@ def parser() -> argparse.ArgumentParser:
     result.add_argument("--jdbc-user", required=True)
     result.add_argument("--jdbc-schema", default="public")
     result.add_argument("--parts", type=int, default=64, help="parallel reads of sales and of customers")
+    result.add_argument("--customer-parts", type=int, help="parallel reads of customers, if others than --parts")
+    result.add_argument("--fetch-size", type=int, help="rows that are fetched from the database at a time")
+    result.add_argument("--keep-sale-time", action="store_true", help="store the time of own sales as sale_datetime")
     return result
 
 
 def mart_from(spark: SparkSession, args: argparse.Namespace) -> Mart:
     options = {"url": args.jdbc_url, "driver": args.jdbc_driver, "user": args.jdbc_user}
+    if args.fetch_size is not None:
+        options["fetchsize"] = str(args.fetch_size)
     password = os.environ.get("MART_DB_PASSWORD")
     if password is not None:
         options["password"] = password
     splits = {"sales": "sale_id", "customers": "customer_id"}
-    source = JdbcSource(spark, options, args.jdbc_schema, splits, args.parts)
-    return Mart(spark, args.database, source, args.drops, args.checkpoint)
+    table_parts = {"customers": args.customer_parts} if args.customer_parts else {}
+    source = JdbcSource(spark, options, args.jdbc_schema, splits, args.parts, table_parts)
+    return Mart(spark, args.database, source, args.drops, args.checkpoint, args.keep_sale_time)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

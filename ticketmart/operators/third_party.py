@@ -46,8 +46,11 @@ def with_reseller(rows: DataFrame, resellers: DataFrame) -> DataFrame:
 
 
 def with_organizer(rows: DataFrame, organizers: DataFrame) -> DataFrame:
-    """Adds the organizer's name, which the stored table does not keep."""
-    return lookup(rows, organizers, "organizer_id")
+    """Adds the organizer's name, which the stored table does not keep.
+
+    Rows whose reseller has no agreement have no organizer.
+    """
+    return lookup_nullable(rows, organizers, "organizer_id", spread_by="sale_id")
 
 
 def with_event(rows: DataFrame, events: DataFrame) -> DataFrame:
@@ -79,6 +82,7 @@ def enrich_third_party(rows: DataFrame, tables: Tables, cluster_by: Sequence[str
     cluster_early = known_small(events) and known_small(resellers, partnerships)
     if cluster_early:
         rows = clustered(rows, cluster_by)
+        events = F.broadcast(events)
     rows = with_event(rows, events)
     rows = with_reseller_profile(rows, resellers, partnerships)
     rows = rows.withColumn("seller_type", F.lit(S.SOLD_BY_RESELLER))

@@ -6,6 +6,7 @@ An error in any step goes through to the caller; later steps then do not run.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,12 +19,12 @@ from ticketmart.functions import any_of
 from ticketmart.operators.own_sales import enrich_own_sales, sold_since
 from ticketmart.operators.third_party import enrich_third_party, normalise
 from ticketmart.operators.union import unite_sales
-from ticketmart.operators.watermark import latest_sales_day, next_file_day, outdated_days
+from ticketmart.operators.watermark import latest_sales_day
 from ticketmart.plans.mart import Mart
 from ticketmart.session import ENGINE_SETTINGS, scoped_settings
 from ticketmart.sinks import full_refresh, upsert_partitions
-from ticketmart.sources.catalog import file_times, table_exists
-from ticketmart.sources.drops import read_daily_sales
+from ticketmart.sources.catalog import drop_partition, list_partitions, partition_day, table_exists
+from ticketmart.sources.drops import list_drops, of_days, read_daily_sales
 
 
 def refresh_dimension(mart: Mart, name: str) -> None:
@@ -49,6 +50,10 @@ def third_party_rows(
     return enrich_third_party(normalise(drops), mart.dimensions(), S.THIRD_PARTY_PARTITIONS)
 
 
+CHANGES = "sales_csv_changes"
+FILES = "sales_csv_files"
+
+
 def load_third_party(
     mart: Mart,
     day: dt.date | None = None,
@@ -59,21 +64,89 @@ def load_third_party(
     """Load drops into ``sales_csv``: all of them, or those of the given days.
 
     The table is partitioned by the day of the drop and the day of the sale. The
-    drops of a day are read together, so a load replaces what an earlier one stored
-    for that day and leaves rows from other drops alone.
+    drops of a day are read together, so a load replaces all that earlier ones stored
+    for that day, down to nothing if its drops are gone, and leaves other days alone.
+
+    What the load changes is noted first, in a partition of its own of ``CHANGES``, where
+    the sales load finds it, also after a run that broke off. Files are noted last.
     """
-    with scoped_settings(mart.spark, ENGINE_SETTINGS):
-        upsert_partitions(
-            third_party_rows(mart, day, since=since, days=days),
-            mart.name("sales_csv"),
-            S.THIRD_PARTY_PARTITIONS,
-            is_clustered=True,
-        )
+    if day is not None:
+        days = [day] if days is None else [d for d in days if d == day]
+    spark, table, noted = mart.spark, mart.name("sales_csv"), mart.name(CHANGES)
+    started = dt.datetime.now(dt.timezone.utc)
+    with scoped_settings(spark, ENGINE_SETTINGS):
+        drops = normalise(read_daily_sales(spark, mart.drops, day, since=since, days=days))
+        load = f"{started:%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+        pairs = drops.select("file_day", "sale_date").distinct()
+        _note(pairs, noted, load)
+        gone = _stale(mart, load, since, days)
+        _note(gone, noted, load)
+        rows = enrich_third_party(drops, mart.dimensions(), S.THIRD_PARTY_PARTITIONS)
+        upsert_partitions(rows, table, S.THIRD_PARTY_PARTITIONS, is_clustered=True)
+        # Partitions of loaded days, at most as many as days were taken away from them.
+        for row in gone.collect():
+            drop_partition(spark, table, file_day=row["file_day"], sale_date=row["sale_date"])
+        _note_files(mart, started, since, days)
+
+
+def _note(pairs: DataFrame, table: str, load: str) -> None:
+    rows = pairs.select("file_day", "sale_date", F.lit(load).alias("load")).coalesce(1)
+    rows.write.mode("append").format("parquet").partitionBy("load").saveAsTable(table)
+
+
+def _stale(mart: Mart, load: str, since: dt.date | None, days: Sequence[dt.date | None] | None) -> DataFrame:
+    """Stored partitions (file_day, sale_date) of the loaded days that the load doesn't have."""
+    if not table_exists(mart.spark, mart.name("sales_csv")):
+        return mart.spark.createDataFrame([], "file_day date, sale_date date")
+    partition = F.col("partition")
+    stored = list_partitions(mart.spark, mart.name("sales_csv")).select(
+        partition_day(partition, "file_day").alias("file_day"), partition_day(partition, "sale_date").alias("sale_date")
+    )
+    kept = mart.table(CHANGES).where(F.col("load") == load).select("file_day", "sale_date").alias("kept")
+    asked = stored.where(of_days(F.col("file_day"), since, days)).alias("stored")
+    same = F.col("stored.file_day").eqNullSafe(F.col("kept.file_day")) & F.col("stored.sale_date").eqNullSafe(F.col("kept.sale_date"))
+    found = asked.join(kept, same, "left_anti").collect()  # only what is to be dropped
+    return mart.spark.createDataFrame([tuple(row) for row in found], "file_day date, sale_date date")
+
+
+def _note_files(mart: Mart, started: dt.datetime, since: dt.date | None, days: Sequence[dt.date | None] | None) -> None:
+    """Note the files of the loaded days; one written after the start counts as not yet read."""
+    files = list_drops(mart.spark, mart.drops).where(of_days(F.col("file_day"), since, days))
+    seen = F.when(F.col("modified_at") < F.lit(started), F.col("modified_at"))
+    table = mart.name(FILES)
+    if table_exists(mart.spark, table):
+        for row in mart.table(FILES).where(of_days(F.col("file_day"), since, days)).select("file_day").distinct().collect():
+            drop_partition(mart.spark, table, file_day=row["file_day"])
+    noted = files.select("source_file", seen.alias("modified_at"), "file_day")
+    upsert_partitions(noted, table, ["file_day"])
+
+
+def changed_days(mart: Mart, *, loaded_only: bool = False) -> list[dt.date | None]:
+    """Days of which a file has come, has been written again or has been taken away since
+    their last load; with ``loaded_only`` new files do not count."""
+    now = list_drops(mart.spark, mart.drops).select("source_file", F.col("modified_at").alias("now_at"), F.col("file_day").alias("now_day"))
+    noted = mart.table(FILES)
+    both = noted.join(now, "source_file", "left" if loaded_only else "full")
+    changed = both.where(~F.col("modified_at").eqNullSafe(F.col("now_at")) | F.col("modified_at").isNull())
+    # Bounded by the calendar.
+    return [row["day"] for row in changed.select(F.coalesce("now_day", "file_day").alias("day")).distinct().collect()]
+
+
+def load_redelivered(mart: Mart) -> None:
+    """Load the days whose files were written again or taken away."""
+    days = changed_days(mart, loaded_only=True)
+    if days:
+        load_third_party(mart, days=days)
 
 
 def load_third_party_daily(mart: Mart) -> None:
-    """Load the drops of every day after the last one loaded."""
-    load_third_party(mart, since=next_file_day(mart.spark, mart.name("sales_csv")))
+    """Load the days whose drops are not as they were when loaded, late ones included."""
+    if not table_exists(mart.spark, mart.name(FILES)):
+        load_third_party(mart)
+        return
+    days = changed_days(mart)
+    if days:
+        load_third_party(mart, days=days)
 
 
 def sales_rows(
@@ -89,33 +162,63 @@ def sales_rows(
     third_party = mart.table("sales_csv")
     if third_party_days is not None:
         third_party = third_party.where(any_of(F.col("sale_date"), third_party_days))
-    return unite_sales(enrich_own_sales(own, mart.dimensions(), ["sale_date"]), third_party)
+    own = enrich_own_sales(own, mart.dimensions(), ["sale_date"], keep_time=mart.keep_sale_time)
+    return unite_sales(own, third_party)
 
 
 def load_sales(mart: Mart) -> None:
     """Build ``sales`` anew from all own and all third-party sales."""
+    pending = pending_loads(mart)
     with scoped_settings(mart.spark, ENGINE_SETTINGS):
         full_refresh(sales_rows(mart), mart.name("sales"), S.SALES_PARTITIONS, is_clustered=True)
+    _settle(mart, pending)
+
+
+def pending_loads(mart: Mart) -> list[str]:
+    """Third-party loads that ``sales`` has not taken over yet, from partition names."""
+    if not table_exists(mart.spark, mart.name(CHANGES)):
+        return []
+    found = list_partitions(mart.spark, mart.name(CHANGES)).collect()
+    return [row["partition"].removeprefix("load=") for row in found]
+
+
+def _settle(mart: Mart, loads: Sequence[str]) -> None:
+    for load in loads:
+        drop_partition(mart.spark, mart.name(CHANGES), load=load)
 
 
 def load_sales_daily(mart: Mart) -> None:
     """Add to ``sales`` what is new.
 
     Own sales are taken from the start of their last day on. Third-party sales are
-    taken for every day that ``sales_csv`` holds in a newer state than ``sales``, old
-    days with late drops included, and also after a run that broke off in between.
-    Origins have partitions of their own, so neither touches the other's rows.
+    taken for every day that a load of ``sales_csv`` has noted since the last run that
+    came to its end, old days with late drops included; a day that has no rows left is
+    taken out. Origins have partitions of their own, so neither touches the other's rows.
+    The work depends on what has changed, not on how many days are stored.
     """
     spark, table = mart.spark, mart.name("sales")
-    own_since, third_party_days = None, None
-    if table_exists(spark, table):
-        own_since = latest_sales_day(spark, table, S.OWN_ORIGIN)
-        outdated = outdated_days(
-            file_times(spark, mart.name("sales_csv"), "sale_date"),
-            file_times(spark, table, "sale_date", data_source=S.THIRD_PARTY_ORIGIN),
-        )
-        # Bounded by the calendar.
-        third_party_days = [row["day"] for row in outdated.collect()]
+    if not table_exists(spark, table):
+        load_sales(mart)
+        return
+    pending = pending_loads(mart)
+    # Bounded by the calendar.
+    days = []
+    if pending:
+        changed = mart.table(CHANGES).where(F.col("load").isin(pending)).select("sale_date").distinct()
+        days = [row["sale_date"] for row in changed.collect()]
     with scoped_settings(spark, ENGINE_SETTINGS):
-        rows = sales_rows(mart, own_since, third_party_days)
+        rows = sales_rows(mart, latest_sales_day(spark, table, S.OWN_ORIGIN), days)
         upsert_partitions(rows, table, S.SALES_PARTITIONS, is_clustered=True)
+    for day in _emptied(mart, days):
+        drop_partition(spark, table, data_source=S.THIRD_PARTY_ORIGIN, sale_date=day)
+    _settle(mart, pending)
+
+
+def _emptied(mart: Mart, days: Sequence[dt.date | None]) -> list[dt.date | None]:
+    """Those of the days that no partition of ``sales_csv`` has."""
+    if not days:
+        return []
+    partitions = list_partitions(mart.spark, mart.name("sales_csv"))
+    stored = partitions.select(partition_day(F.col("partition"), "sale_date").alias("day")).where(any_of(F.col("day"), days))
+    left = {row["day"] for row in stored.distinct().collect()}
+    return [day for day in days if day not in left]

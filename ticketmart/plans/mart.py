@@ -14,7 +14,8 @@ class Mart:
 
     ``source(name)`` gives a relational source table, ``drops`` is the folder of
     the reseller drops and ``checkpoint`` the folder in which the drop stream keeps
-    its progress; without one, drops are found by day.
+    its progress; without one, drops are found by day. ``keep_sale_time`` stores the
+    time of own sales beside their day; a table keeps the form it was first made in.
     """
 
     spark: SparkSession
@@ -22,6 +23,7 @@ class Mart:
     source: Callable[[str], DataFrame]
     drops: str
     checkpoint: str | None = None
+    keep_sale_time: bool = False
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"

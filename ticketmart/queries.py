@@ -71,11 +71,18 @@ def new_mart(spark: SparkSession, sf_dir: str, drops: str = "", streamed: bool =
     return mart_in(spark, sf_dir, new_database(spark), drops, streamed)
 
 
-def deliver_drops(spark: SparkSession, sf_dir: str, folder: str, when: Column | None = None) -> None:
-    """Write the drops role as CSV drops, one region's in the wide layout."""
+def deliver_drops(
+    spark: SparkSession, sf_dir: str, folder: str, when: Column | None = None, shift_days: int = 0
+) -> None:
+    """Write the drops role as CSV drops, one region's in the wide layout.
+
+    ``shift_days`` moves the lines, but not their drops, to later days.
+    """
     lines = role(spark, sf_dir, "drops")
     if when is not None:
         lines = lines.where(when)
+    if shift_days:
+        lines = lines.withColumn("created", F.date_add(F.to_date("created"), shift_days).cast("string"))
     lines = lines.withColumn(S.EVENT_ID, F.lit(None).cast("string")).withColumnRenamed("source_file", "drop")
     for is_wide, layout in ((0, S.NARROW_LAYOUT), (1, S.WIDE_LAYOUT)):
         write_drops(as_drop_rows(lines.where(F.col("is_wide") == is_wide)).select(*layout, "drop"), folder)
@@ -486,6 +493,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_third_party(mart)
 
 
+@_query("third_party_corrected", _LOADED_THIRD_PARTY)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops with lines of another day too many, loaded; then the right drops under their names."""
+    mart = new_mart(spark, sf_dir)
+    loads.refresh_dimensions(mart)
+    deliver_drops(spark, sf_dir, mart.drops)
+    deliver_drops(spark, sf_dir, mart.drops, F.col("last_name").isNull(), shift_days=400)
+    loads.load_third_party(mart)
+    corrected = Mart(spark, mart.database, mart.source, f"{mart.drops}_corrected")
+    deliver_drops(spark, sf_dir, corrected.drops)
+    loads.load_third_party(corrected)
+    return _stored_third_party(corrected)
+
+
 @_query("third_party_stream", _LOADED_THIRD_PARTY)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drops of the last day come first; the stream still finds all the older ones."""
@@ -506,6 +527,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_sales(mart)
 
 
+@_query(
+    "sales_with_time",
+    _with_roles(
+        f"""SELECT a.*, s.sale_date AS sale_datetime FROM ({_sales_select("r_drops")}) a
+        LEFT JOIN r_sales s ON s.sale_id = a.sale_id AND a.data_source = 'B2B platform'""",
+        "drops", "organizers", *_OWN_ROLES,
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored variant that keeps the time of own sales."""
+    mart = new_mart(spark, sf_dir, shared_drops(spark, sf_dir))
+    mart = Mart(spark, mart.database, mart.source, mart.drops, keep_sale_time=True)
+    initial_load(mart)
+    name = F.regexp_extract("source_file", S.DROP_NAME_PATTERN, 0)
+    return mart.table("sales").withColumn("source_file", name).select(*S.SALES_COLUMNS, "sale_datetime")
+
+
 @_query("sales_incremental", _sales_oracle("drops"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An initial load of what there was at midnight of the last sale day, then a daily refresh."""

@@ -20,12 +20,16 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Days are cut from timestamps and compared with them, so runs must agree on the zone.
+# A caller may set another one.
+ZONE_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+
 
 def build_session(name: str = "ticketmart", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**ENGINE_SETTINGS, **settings}.items():
+    for key, value in {**ENGINE_SETTINGS, **ZONE_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,20 +27,7 @@ def partition_day(partition: Column, column: str) -> Column:
     return F.when(text != S.NULL_PARTITION, text).cast("date")
 
 
-def file_times(spark: SparkSession, table: str, column: str, **only: str) -> DataFrame:
-    """One row per file of a table: the day of its partition and when it was written.
-
-    Files are listed, not opened. ``only`` gives the leading partition values.
-    """
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'")
-    folder = "/".join([described.first()["data_type"], *[f"{name}={value}" for name, value in only.items()]])
-    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
-    try:
-        files = listing.load(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = spark.createDataFrame([], "path string, modificationTime timestamp")
-    return files.select(
-        partition_day(F.col("path"), column).alias("day"), F.col("modificationTime").alias("written_at")
-    )
+def drop_partition(spark: SparkSession, table: str, **values: object) -> None:
+    """Remove a partition and its files; None stands for the partition of NULLs."""
+    spec = ", ".join(f"{column} = {'NULL' if value is None else repr(str(value))}" for column, value in values.items())
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

@@ -14,15 +14,15 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticketmart import schemas as S
 from ticketmart.functions import any_of, drop_day
 
-_CELLS = [f"c{i}" for i in range(len(S.WIDE_LAYOUT))]
-_ODD = "_odd_width"  # filled by the reader when a line has another width than the schema
+# A line is parsed with one more cell, which tells how many cells it has.
+_CELLS = [f"c{i}" for i in range(len(S.WIDE_LAYOUT) + 1)]
+_END = "\u0002end of line\u0002"
 _QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted cell is doubled
-LINE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in [*_CELLS, _ODD]])
+_CELL_SCHEMA = ", ".join(f"{name} STRING" for name in _CELLS)
 
 
 def drops_glob(folder: str, day: dt.date | None = None) -> str:
@@ -30,6 +30,31 @@ def drops_glob(folder: str, day: dt.date | None = None) -> str:
     return f"{folder.rstrip('/')}/{{DailySales,drop=DailySales}}_{stamp}_*.csv"
 
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def list_drops(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per drop file: ``source_file``, ``modified_at``, ``file_day``. No content is read."""
+    try:
+        files = spark.read.format("binaryFile").load(drops_glob(folder))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], FILE_SCHEMA)
+    path = F.col("path")
+    return files.select(path.alias("source_file"), F.col("modificationTime").alias("modified_at"), drop_day(path).alias("file_day"))
+
+
+def of_days(day: Column, since: dt.date | None, days: Sequence[dt.date | None] | None) -> Column:
+    """Whether the day of a drop is asked for; names without a day come with ``since``."""
+    wanted = F.lit(True)
+    if since is not None:
+        wanted = (day >= F.lit(since)) | day.isNull()
+    if days is not None:
+        wanted = wanted & any_of(day, days)
+    return wanted
+
+
 def read_daily_sales(
     spark: SparkSession,
     folder: str,
@@ -45,60 +70,77 @@ def read_daily_sales(
     for no day). All three leave out the other files before the scan. No drop gives
     no row.
     """
-    reader = (
-        spark.read.schema(LINE_SCHEMA)
-        .options(header=False, **_QUOTING)
-        .option("columnNameOfCorruptRecord", _ODD)
-        .option("columnPruning", False)  # the width of a line is read from all its cells
-    )
     try:
-        lines = reader.csv(drops_glob(folder, day))
+        lines = spark.read.text(drops_glob(folder, day))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        lines = spark.createDataFrame([], LINE_SCHEMA).withColumn(
+        lines = spark.createDataFrame([], "value string").withColumn(
             "_metadata", F.struct(F.lit("").alias("file_path"))
         )
     path = F.col("_metadata.file_path")
-    named = drop_day(path)
-    if since is not None:
-        lines = lines.where((named >= F.lit(since)) | named.isNull())
-    if days is not None:
-        lines = lines.where(any_of(named, days))
-    return drop_rows(lines.select("*", path.alias("source_file")))
+    lines = lines.where(of_days(drop_day(path), since, days))
+    cells = parsed_lines(lines.select("value", path.alias("source_file")))
+    check_widths(cells)
+    return drop_rows(cells)
 
 
-def drop_rows(lines: DataFrame) -> DataFrame:
-    """Give the cells of each line their header names and leave the header lines out.
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Cells of each line that is not blank, its ``width`` and whether it is a header.
 
-    Both layouts may lie side by side in one scan. A header line that is none of
-    the known layouts stops the job.
+    A mark behind the last cell shows where the line ends. A line that ends where none of
+    the layouts does, or inside quotes, stops the job, and so does an unknown header.
     """
-    cells = F.array(*_CELLS)
-    known_header = reduce(
+    marked = F.concat("value", F.lit("," + _END))
+    read = lines.where("value <> ''").select("source_file", F.from_csv(marked, _CELL_SCHEMA, _QUOTING).alias("line"))
+    cells = read.select("source_file", *[F.col("line")[name].alias(name) for name in _CELLS])
+    width = F.coalesce(
+        *[
+            F.when(_null_safe(F.col(_CELLS[len(layout)]) == _END), F.lit(len(layout)))
+            for layout in (S.NARROW_LAYOUT, S.WIDE_LAYOUT)
+        ],
+        _stop("line of unknown width").cast("int"),
+    )
+    names_columns = _null_safe(F.col(_CELLS[0]) == S.TRANSACTION_ID)
+    known = reduce(
         lambda a, b: a | b,
-        [cells == F.array(*_padded(layout)) for layout in (S.NARROW_LAYOUT, S.WIDE_LAYOUT)],
+        [F.array(*_CELLS[: len(layout) + 1]) == F.array(*map(F.lit, [*layout, _END])) for layout in (S.NARROW_LAYOUT, S.WIDE_LAYOUT)],
     )
-    keep = (
-        F.when(F.col(_CELLS[0]).isNull() | (F.col(_CELLS[0]) != S.TRANSACTION_ID), F.lit(True))
-        .when(_null_safe(known_header), F.lit(False))
-        .otherwise(
-            F.raise_error(F.concat(F.lit("unknown header line in "), F.col("source_file"))).cast("boolean")
-        )
+    is_header = F.when(~names_columns, F.lit(False)).when(_null_safe(known), F.lit(True)).otherwise(
+        _stop("unknown header line").cast("boolean")
+    )
+    return cells.withColumns({"is_header": is_header, "width": width})
+
+
+def check_widths(cells: DataFrame) -> None:
+    """Stop if a file has no header or a line of another width than its header has.
+
+    A pass of its own, since a line can lie in another split than its file's header:
+    a narrow line with a stray comma looks like a wide one.
+    """
+    files = cells.groupBy("source_file").agg(
+        F.min("width").alias("narrowest"), F.max("width").alias("widest"), F.max("is_header").alias("headed")
     )
-    wide = F.col(_ODD).isNull() | F.col(_CELLS[-1]).isNotNull()
+    odd = files.where("narrowest <> widest OR NOT headed").first()
+    if odd:
+        what = "a line of another width than its header" if odd["headed"] else "no header line"
+        raise ValueError(f"{what} in {odd['source_file']}")
+
+
+def drop_rows(cells: DataFrame) -> DataFrame:
+    """Give the cells of each line their header names and leave the header lines out."""
+    wide = F.col("width") == len(S.WIDE_LAYOUT)
 
     def cell(header: str) -> Column:
         at_wide = F.col(_CELLS[S.WIDE_LAYOUT.index(header)])
         at_narrow = F.col(_CELLS[S.NARROW_LAYOUT.index(header)])
         return F.when(wide, at_wide).otherwise(at_narrow).alias(header)
 
-    return lines.where(keep).select(*[cell(header) for header in S.NARROW_LAYOUT], "source_file")
+    return cells.where(~F.col("is_header")).select(*[cell(header) for header in S.NARROW_LAYOUT], "source_file")
 
 
-def _padded(layout: Sequence[str]) -> list[Column]:
-    texts = [F.lit(header) for header in layout]
-    return texts + [F.lit(None).cast("string")] * (len(_CELLS) - len(layout))
+def _stop(what: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what} in "), F.col("source_file")))
 
 
 def _null_safe(condition: Column) -> Column:

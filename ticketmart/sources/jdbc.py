@@ -8,6 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows that a driver fetches at a time. Some drivers hold a whole result without it.
+FETCH_SIZE = "10000"
+
+
 def read_jdbc(
     spark: SparkSession,
     options: Mapping[str, str],
@@ -25,6 +29,7 @@ def read_jdbc(
     ``predicates`` give one task each and must cover every row once. Filters put
     on the result are pushed to the database in every case.
     """
+    options = {"fetchsize": FETCH_SIZE, **options}
     if predicates is not None:
         if partition_column is not None:
             raise ValueError("give either predicates or a partition column")
@@ -63,7 +68,8 @@ def uuid_ranges(column: str, parts: int) -> list[str]:
 class JdbcSource:
     """``source(name)`` gives the table ``name`` of one database schema.
 
-    ``uuid_splits`` names the key column of each table that is read in parallel.
+    ``uuid_splits`` names the key column of each table that is read in parallel, and
+    ``table_parts`` the number of reads where a table's differs from ``parts``.
     """
 
     spark: SparkSession
@@ -71,6 +77,7 @@ class JdbcSource:
     schema: str = "public"
     uuid_splits: Mapping[str, str] = field(default_factory=dict)
     parts: int = 64
+    table_parts: Mapping[str, int] = field(default_factory=dict)
 
     def __call__(self, name: str) -> DataFrame:
         key = self.uuid_splits.get(name)
@@ -78,5 +85,5 @@ class JdbcSource:
             self.spark,
             self.options,
             f"{self.schema}.{name}",
-            predicates=uuid_ranges(key, self.parts) if key else None,
+            predicates=uuid_ranges(key, self.table_parts.get(name, self.parts)) if key else None,
         )
