@@ -339,7 +339,8 @@ def test_a_run_broken_off_between_the_loads_still_reaches_sales(mart):
     deliver(mart, 8, "r2", "3")
     assert len(loads.pending_loads(mart)) == 1
     daily_refresh(mart)
-    assert third_party_days(mart) == [1, 1, 8] and loads.pending_loads(mart) == []
+    assert set(third_party_days(mart)) == {1, 8} and loads.pending_loads(mart) == []
+    assert {row.sale_id for row in mart.table("sales").collect()} >= {"1", "2", "3"}
 
 
 def test_daily_work_does_not_grow_with_loaded_days(mart, spark):
