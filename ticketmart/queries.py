@@ -417,14 +417,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Union.
 
 
-def _sales_select(source: str) -> str:
-    columns = ", ".join(S.SALES_COLUMNS)
+def _sales_select(source: str, with_time: bool = False) -> str:
+    columns = ", ".join([*S.SALES_COLUMNS, *(["sale_datetime"] if with_time else [])])
+    day = "CAST(s.sale_date AS DATE) AS sale_date"
+    own = _OWN_SELECT.replace(day, f"{day}, s.sale_date AS sale_datetime")
     return f"""
     SELECT {columns}
-    FROM (SELECT o.*, NULL AS source_file, 'B2B platform' AS data_source FROM ({_OWN_SELECT}) o)
+    FROM (SELECT o.*, NULL AS source_file, 'B2B platform' AS data_source FROM ({own}) o)
     UNION ALL
     SELECT {columns}
-    FROM (SELECT t.*, NULL AS customer_id, NULL AS sales_channel_id, '3rd party' AS data_source
+    FROM (SELECT t.*, NULL AS customer_id, NULL AS sales_channel_id, '3rd party' AS data_source, NULL AS sale_datetime
           FROM ({_third_party_select(source)}) t)"""
 
 
@@ -529,11 +531,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     "sales_with_time",
-    _with_roles(
-        f"""SELECT a.*, s.sale_date AS sale_datetime FROM ({_sales_select("r_drops")}) a
-        LEFT JOIN r_sales s ON s.sale_id = a.sale_id AND a.data_source = 'B2B platform'""",
-        "drops", "organizers", *_OWN_ROLES,
-    ),
+    _with_roles(_sales_select("r_drops", with_time=True), "drops", "organizers", *_OWN_ROLES),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored variant that keeps the time of own sales."""
