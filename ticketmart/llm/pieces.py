@@ -33,7 +33,9 @@ _TEXT_MARK = "\ud800"
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 TEMPERATURE = 1500.0
-_BATCH = 3 << 20
+_BATCH = 2 << 20
+# Of a piece's hash, the leading 17 bits find it in its table.
+_SHIFT = np.uint64(47)
 
 
 @dataclass(frozen=True)
@@ -78,7 +80,10 @@ class Lattice:
         self.tables = {}
         for size, found in sorted(by_size.items()):
             found.sort()
-            self.tables[size] = np.array([c for c, _ in found], np.uint64), np.array([i for _, i in found], np.int64)
+            keys = np.array([c for c, _ in found], np.uint64)
+            # Keys with equal leading bits lie side by side from `firsts` on.
+            firsts = np.searchsorted(keys >> _SHIFT, np.arange((1 << 17) + 1, dtype=np.uint64)).astype(np.int32)
+            self.tables[size] = keys, np.array([i for _, i in found], np.int32), firsts
         self.weights = np.maximum(np.array(pieces.scores) / temperature, -1e4)
         self.byte_weight = 2 * min(w for w, ok in zip(self.weights, pieces.normal, strict=True) if ok and w > -1e4)
 
@@ -89,7 +94,7 @@ class Lattice:
         piece gets an edge with id -1.
         """
         starts, sizes, ids = [], [], []
-        at = np.arange(len(codes))
+        at = np.arange(len(codes), dtype=np.int32)
         code = np.zeros(len(codes), np.uint64)
         size = 0
         for longest in self.tables:
@@ -98,17 +103,26 @@ class Lattice:
                 at, code = at[inside], code[inside]
                 code = (code + codes[at + size] + np.uint64(1)) * _BASE
                 size += 1
-            keys, values = self.tables[size]
-            place = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
-            hit = keys[place] == code
-            starts.append(at[hit])
-            ids.append(values[place[hit]])
-            sizes.append(np.full(hit.sum(), size))
+            keys, values, firsts = self.tables[size]
+            bucket = (code >> _SHIFT).astype(np.int32)
+            low, high = firsts[bucket], firsts[bucket + 1]
+            bare = np.ones(len(at), bool)
+            some = np.flatnonzero(low < high)
+            place = low[some]
+            while len(some):
+                equal = keys[place] == code[some]
+                hit = some[equal]
+                starts.append(at[hit])
+                ids.append(values[place[equal]])
+                sizes.append(np.full(len(hit), size, np.int32))
+                bare[hit] = False
+                on = ~equal & (place + 1 < high[some])
+                some, place = some[on], place[on] + 1
             if size == 1:
-                starts.append(at[~hit])
-                ids.append(np.full((~hit).sum(), -1))
-                sizes.append(np.full((~hit).sum(), 1))
-        start, size, piece = (np.concatenate(x).astype(np.int64) for x in (starts, sizes, ids))
+                starts.append(at[bare])
+                ids.append(np.full(bare.sum(), -1, np.int32))
+                sizes.append(np.full(bare.sum(), 1, np.int32))
+        start, size, piece = (np.concatenate(x).astype(np.int32) for x in (starts, sizes, ids))
         return start, size, piece, np.where(piece < 0, self.byte_weight, self.weights[piece])
 
     def sampled(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
@@ -126,13 +140,13 @@ class Lattice:
         firsts = np.cumsum(sizes) - sizes
         codes = _codes("".join(segments))
         start, size, piece, weight = self.edges(codes, np.repeat(firsts + sizes, sizes))
-        segment_of = np.repeat(np.arange(len(segments)), sizes)[start]
+        segment_of = np.repeat(np.arange(len(segments), dtype=np.int32), sizes)[start]
         # A segment of n characters has n + 1 nodes.
         tail = start + segment_of
         head = tail + size
-        depth = head - (firsts + np.arange(len(segments)))[segment_of]
+        depth = head - (firsts + np.arange(len(segments))).astype(np.int32)[segment_of]
         # By depth, then by node, then the longest piece first.
-        order = np.argsort(((depth * (len(codes) + len(segments)) + head) * (max(self.tables) + 1)) - size)
+        order = np.argsort((depth.astype(np.int64) * (len(codes) + len(segments)) + head) * (max(self.tables) + 1) - size)
         tail, head, piece, weight, depth = tail[order], head[order], piece[order], weight[order], depth[order]
 
         total = np.zeros(len(codes) + len(segments))
@@ -155,7 +169,7 @@ class Lattice:
         upto = np.cumsum(chance)
         upto -= np.repeat((upto - chance)[new_head], times)
         upto[np.append(new_head[1:], len(head)) - 1] = 2.0
-        first_edge = np.zeros(len(total), np.int64)
+        first_edge = np.zeros(len(total), np.int32)
         first_edge[head[new_head]] = new_head
 
         occurs = np.array(found)
