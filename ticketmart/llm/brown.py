@@ -31,7 +31,7 @@ CLASSES = 32
 CONTEXTS = 32  # hashed neighbours on each side
 SWEEPS = 4
 SMOOTHING = 0.1
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 # Weight of the class unigram against the counted transitions from a class.
 PRIOR = 50.0
 UNKNOWN, BEGIN = CLASSES, CLASSES + 1
@@ -54,11 +54,21 @@ def _numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return list(numbers), ids, sizes
 
 
-def _lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
+def _packed(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Values of each row side by side as bytes; `offsets` counts values."""
+    ends = pa.py_buffer((offsets * values.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, ends, pa.py_buffer(values.tobytes())])
 
 
-_COUNTS = "word string, n long, contexts array<int>, times array<long>"
+def _unpacked(column: pa.Array, kind: str) -> np.ndarray:
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    if ends[-1] == ends[0]:
+        return np.zeros(0, kind)
+    return np.frombuffer(column.buffers()[2][int(ends[0]) : int(ends[-1])].to_pybytes(), kind)
+
+
+# Contexts are single bytes; a slice counts in four bytes each, the lexicon in eight.
+_COUNTS = "word string, n long, contexts binary, times binary"
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,19 +90,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([word.decode() for word in words], pa.string()),
                     pa.array(np.bincount(ids, minlength=len(words)), pa.int64()),
-                    _lists(offsets, (pairs % (2 * CONTEXTS)).astype(np.int32), pa.int32()),
-                    _lists(offsets, times.astype(np.int64), pa.int64()),
+                    _packed(offsets, (pairs % (2 * CONTEXTS)).astype(np.uint8)),
+                    _packed(offsets, times.astype("<u4")),
                 ],
                 names=["word", "n", "contexts", "times"],
             )
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, context and count of the context lists of a batch."""
-    lists = batch.column("contexts")
-    sizes = np.diff(lists.offsets.to_numpy())
-    rows = np.repeat(np.arange(batch.num_rows), sizes)
-    return rows, lists.flatten().to_numpy(), batch.column("times").flatten().to_numpy()
+def _flat(batch: pa.RecordBatch, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, context and count of the packed contexts of a batch."""
+    contexts = batch.column("contexts")
+    ends = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset : contexts.offset + len(contexts) + 1]
+    rows = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+    return rows, _unpacked(contexts, "u1").astype(np.int64), _unpacked(batch.column("times"), kind)
 
 
 def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +119,7 @@ def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = np.fromiter(map(numbers.__getitem__, batch.column("word").to_pylist()), np.int64, batch.num_rows)
         totals.append(np.bincount(ids, batch.column("n").to_numpy()))
-        rows, contexts, times = _flat(batch)
+        rows, contexts, times = _flat(batch, "<u4")
         found.append((ids[rows] * (2 * CONTEXTS) + contexts, times.astype(np.float64)))
         held += len(rows)
         if held > 4_000_000:
@@ -132,8 +142,8 @@ def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(words[a:b], pa.string()),
                 pa.array(n[a:b].astype(np.int64)),
-                _lists(offsets - offsets[0], (keys[inside] % (2 * CONTEXTS)).astype(np.int32), pa.int32()),
-                _lists(offsets - offsets[0], times[inside].astype(np.int64), pa.int64()),
+                _packed(offsets - offsets[0], (keys[inside] % (2 * CONTEXTS)).astype(np.uint8)),
+                _packed(offsets - offsets[0], times[inside].astype("<u8")),
             ],
             names=["word", "n", "contexts", "times"],
         )
@@ -146,7 +156,7 @@ def placed(batch: pa.RecordBatch, tables: list[np.ndarray]) -> tuple[np.ndarray,
     words, by hash, may move. A word's own counts are taken out of its class before the
     classes are compared, as an exchange would do.
     """
-    rows, contexts, times = _flat(batch)
+    rows, contexts, times = _flat(batch, "<u8")
     counts = np.zeros((batch.num_rows, 2 * CONTEXTS), np.float32)
     counts[rows, contexts] = times
     classes = (counts[:, :CONTEXTS] + counts[:, CONTEXTS:]).argmax(1) % CLASSES
