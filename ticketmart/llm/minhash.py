@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
 from ticketmart.llm.common import annotate, mixed, slices, split_lower_words, stored, texts_of
-from ticketmart.llm.graph import components
+from ticketmart.llm.graph import components, merged
 
 MAX_WORDS = 300_000
 BITS = 512
+# Rounds with one more partner each before all pairs that are still apart are taken.
+ROUNDS = 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -207,24 +209,17 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
     leads = stored(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("lead")).where("n > 1").select("key", "lead"), "leads")
     buckets = stored(keys.join(leads, "key").select("key", "class", "lead"), "buckets")
 
-    def labelled(links: DataFrame) -> DataFrame:
-        return stored(components(links), "components")
-
     # First round: each class with the least one that it meets.
     first = buckets.where(F.col("class") != F.col("lead")).groupBy("class").agg(F.min("lead").alias("b"))
     links = confirmed(_allowed(first.select(F.col("class").alias("a"), "b"), features, banding), content, banding, "doc", "text")
-    labels = labelled(links)
-    # More rounds: what is still apart from others in its buckets, with another member.
-    rounds = 0
-    while True:
-        rounds += 1
+    labels = stored(components(links), "labels")
+    # A few more: what is still apart from others in its buckets, with another member.
+    for salt in range(ROUNDS):
         now = _mixed_buckets(buckets, labels)
-        if rounds > 6 or now.isEmpty():
-            break
         anchors = stored(
             now.where(F.col("component") == F.col("least"))
             .groupBy("key")
-            .agg(F.min_by("class", F.xxhash64("class", "key", F.lit(rounds))).alias("b")),
+            .agg(F.min_by("class", F.xxhash64("class", "key", F.lit(salt))).alias("b")),
             "anchors",
         )
         tries = now.where(F.col("component") != F.col("least")).join(anchors, "key")
@@ -232,19 +227,18 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
         more = confirmed(chosen, content, banding, "doc", "text")
         if more.isEmpty():
             break
-        links = stored(links.union(more), "links")
-        labels = labelled(links)
+        labels = merged(labels, more)
     # Then every pair that is still apart.
     now = _mixed_buckets(buckets, labels)
-    if not now.isEmpty():
-        full = stored(now.join(features, "class"), "mixed")
-        x, y = full.alias("x"), full.alias("y")
-        apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-        pairs = x.join(y, apart & _possible("x", "y", banding.percent)).select(
-            F.col("x.class").alias("a"), F.col("y.class").alias("b")
-        )
-        links = stored(links.union(confirmed(pairs.distinct(), content, banding, "doc", "text")), "links")
-        labels = labelled(links)
+    full = stored(now.join(features, "class"), "mixed")
+    x, y = full.alias("x"), full.alias("y")
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
+    pairs = x.join(y, apart & _possible("x", "y", banding.percent)).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b")
+    )
+    last = confirmed(pairs.distinct(), content, banding, "doc", "text")
+    if not last.isEmpty():
+        labels = merged(labels, last)
     joined = members.join(labels, members["class"] == labels["node"], "left")
     of_doc = stored(
         joined.groupBy("doc").agg(F.min(F.coalesce("component", "class")).alias("component_id")), "groups"
