@@ -356,6 +356,29 @@ def test_surrogates_stay_distinct(spark):
         assert len(pairs) == len(old) == len(new) and not old & new
 
 
+def replaced_pairs(spark, mentions):
+    """Each mention in a document of its own, and its surrogate."""
+    frame = spark.createDataFrame(list(enumerate(mentions)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in pii.anonymised(frame, "key").collect()}
+    return {mention: found[i] for i, mention in enumerate(mentions)}
+
+
+def test_more_entities_than_a_space_holds(spark):
+    """A hundred tails of phone numbers, 26 domains, local parts and keys without letters."""
+    mentions = [f"+123{n:02d}" for n in range(90)]
+    mentions += [f"{a}@{b}.co" for a in "ab" for b in "abcdefghijklmnopqrstuvwxyz"] + ["+@a.co", "-@a.co", "sk-" + "_" * 16]
+    found = replaced_pairs(spark, mentions)
+    assert len(set(found.values())) == len(found) and not set(found) & set(found.values())
+    domains = {(old.split("@")[1], new.split("@")[1]) for old, new in found.items() if "@" in old}
+    assert len(domains) == len({old for old, _ in domains}) == len({new for _, new in domains}) == 26
+
+
+def test_names_beyond_their_first_space(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ("ba", "del"))
+    found = replaced_pairs(spark, ["Mr Q" + a + b for a in "abcde" for b in "abcde"])
+    assert len(set(found.values())) == len(found) and not set(found) & set(found.values())
+
+
 def test_no_documents_have_no_entities(spark):
     assert pii.anonymised(spark.createDataFrame([], "doc_id long, text string"), "key").count() == 0
 

@@ -11,7 +11,9 @@ and names keep title, gender and script.
 
 The entities of all documents are then checked for collisions: two entities with the
 same surrogate, or a surrogate that is itself an entity. Those that collide are hashed
-again, until none does; only they need a join. Everything is DataFrame expressions.
+again, until none does; only they need a join. Surrogates grow with the attempts, so that
+no number of entities is too large. The domain of an e-mail address is an entity by itself,
+which is settled before the addresses are. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -103,11 +105,20 @@ def _letters(alphabet: str, stream: Column, at: Column) -> Column:
     return F.substr(F.lit(alphabet), (_drawn(stream, at, len(alphabet)) + 1).cast("int"), F.lit(1))
 
 
+def _chars(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _grown(attempt: Column, free: int) -> Column:
+    """How much is added to a surrogate: nothing for the first attempts, then ever more."""
+    return F.greatest(attempt - free, F.lit(0)) * 2
+
+
 def _replaced(text: Column, stream: Column, fixed: Column, hexadecimal: Column) -> Column:
     """Characters of the same sort for all but the first `fixed` ones (counted from 1)."""
 
-    def of_place(at: Column) -> Column:
-        c = F.substr(text, at, F.lit(1))
+    def of_place(c: Column, before: Column) -> Column:
+        at = before + 1
         return (
             F.when(at <= fixed, c)
             .when(c.rlike("[0-9]"), _drawn(stream, at, 10).cast("string"))
@@ -118,8 +129,17 @@ def _replaced(text: Column, stream: Column, fixed: Column, hexadecimal: Column)
             .otherwise(c)
         )
 
-    places = F.when(F.char_length(text) > 0, F.sequence(F.lit(1), F.char_length(text))).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(places, of_place), "")
+    return F.when(F.char_length(text) > 0, F.array_join(F.transform(_chars(text), of_place), "")).otherwise(text)
+
+
+def _added(size: Column, stream: Column, after: Column, letters: Column) -> Column:
+    """`size` more letters, or digits, from the places behind `after` of a stream."""
+
+    def of_place(i: Column) -> Column:
+        at = after + i
+        return F.when(letters, _letters(ALPHABETS["latin"], stream, at)).otherwise(_drawn(stream, at, 10).cast("string"))
+
+    return F.when(size > 0, F.array_join(F.transform(F.sequence(F.lit(1), size), of_place), "")).otherwise(F.lit(""))
 
 
 def _digits(number: Column) -> Column:
@@ -158,48 +178,69 @@ def _with_mod97(old: Column, new: Column) -> Column:
     return F.when(_mod97(old) == 1, F.concat(country, check, rest)).otherwise(new)
 
 
-def _octets(address: Column, stream: Column) -> Column:
+def _octets(address: Column, stream: Column, attempt: Column) -> Column:
+    """Octets of as many digits each; after some attempts any octets, at last any numbers."""
+
     def octet(old: Column, at: Column) -> Column:
-        size = F.char_length(old)
-        low = F.when(size == 1, F.lit(1)).when(size == 2, F.lit(10)).otherwise(F.lit(100))
-        span = F.when(size == 1, F.lit(9)).when(size == 2, F.lit(90)).otherwise(F.lit(155))
+        size = F.when(attempt < 2, F.char_length(old)).otherwise(F.lit(0))
+        low = F.when(size == 3, F.lit(100)).when(size == 2, F.lit(10)).otherwise(F.lit(1))
+        span = F.when(size == 3, F.lit(155)).when(size == 2, F.lit(90)).when(size == 1, F.lit(9)).when(attempt < 6, F.lit(255)).otherwise(F.lit(999))
         return (low + _drawn(stream, at + 1, span)).cast("string")
 
-    return F.array_join(F.transform(F.split(address, r"\."), octet), "")
+    return F.array_join(F.transform(F.split(address, r"\."), octet), ".")
 
 
 def _script(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
 
 
-def _surname(entity: Column, stream: Column) -> Column:
-    """Syllables of the entity's script."""
+def _surname(entity: Column, stream: Column, attempt: Column) -> Column:
+    """Syllables of the entity's script, one more with each attempt."""
 
     def of(script: str) -> Column:
         syllables = F.array(*[F.lit(s) for s in SYLLABLES[script]])
-        return F.concat(*[F.get(syllables, _drawn(stream, F.lit(at), len(SYLLABLES[script])).cast("int")) for at in (1, 5, 9, 13)])
+        places = F.sequence(F.lit(0), attempt + 3)
+        return F.array_join(F.transform(places, lambda i: F.get(syllables, _drawn(stream, i * 4 + 1, len(SYLLABLES[script])).cast("int"))), "")
 
     return F.when(_script(entity) == "cyrillic", of("cyrillic")).otherwise(of("latin"))
 
 
+# Kinds whose entities have a part that is an entity by itself, and the kind of that.
+PARTS = {"email": "domain"}
+
+
+def part_of(kind: Column, entity: Column) -> Column:
+    """The part (kind, entity) of an entity that is an entity by itself, or null."""
+    return F.when(kind == "email", F.struct(F.lit(PARTS["email"]).alias("kind"), F.substring_index(entity, "@", -1).alias("entity")))
+
+
+def _labels(domain: Column) -> Column:
+    """A domain without its last part, which stays."""
+    return F.regexp_extract(domain, r"^(.*)\.", 1)
+
+
 def _surrogates(entities: Column, secret: str) -> Column:
-    """Surrogates of an array of (kind, entity, attempt, ...), put behind the other fields.
+    """Surrogates of an array of (kind, entity, attempt, of_part, ...), put behind the other fields.
 
-    A surrogate has an entity's letters and digits in lower case, without separators.
-    It is made in steps, each of which has the results of the one before as fields, so
-    that nothing is computed twice.
+    `attempt` is that of the entity, `of_part` that of its part. A surrogate has an entity's
+    letters and digits in lower case, without separators, but for the @ of an address and
+    the dots of a network address; what it has grown by stands at the end (of both sides of
+    an @). It is made in steps, each of which has the results of the one before as fields,
+    so that nothing is computed twice.
     """
-    local = lambda s: F.substring_index(s["entity"], "@", 1)
-    domain = lambda s: F.substring_index(s["entity"], "@", -1)
+
+    def split(s: Column) -> Column:
+        return F.struct(s.alias("of"), part_of(s["kind"], s["entity"])["entity"].alias("part"))
 
     def read(s: Column) -> Column:
-        is_email = s["kind"] == "email"
+        of = s["of"]
+        own = F.when(of["kind"] == "email", F.substring_index(of["entity"], "@", 1)).when(of["kind"] == "domain", _labels(of["entity"]))
         return F.struct(
-            s.alias("of"),
-            _stream(secret, s["kind"], s["attempt"].cast("string"), s["entity"]).alias("stream"),
-            _stream(secret, F.lit("domain"), domain(s)).alias("of_domain"),
-            _bare(F.when(is_email, local(s)).otherwise(s["entity"])).alias("bare"),
-            F.when(is_email, _bare(F.regexp_extract(domain(s), r"^(.*)\.", 1))).otherwise(F.lit("")).alias("labels"),
+            of.alias("of"),
+            _stream(secret, of["kind"], of["attempt"].cast("string"), of["entity"]).alias("stream"),
+            F.when(of["kind"] == "email", _stream(secret, F.lit("domain"), of["of_part"].cast("string"), s["part"])).alias("of_domain"),
+            _bare(F.coalesce(own, of["entity"])).alias("bare"),
+            F.when(of["kind"] == "email", _bare(_labels(s["part"]))).otherwise(F.lit("")).alias("labels"),
         )
 
     def replace(s: Column) -> Column:
@@ -211,28 +252,34 @@ def _surrogates(entities: Column, secret: str) -> Column:
             .when(of["entity"].startswith("gh"), F.lit(3))
             .otherwise(F.lit(4))
         )
+        worded = of["kind"].isin("email", "domain", "access_key")
+
+        def whole(text: Column, stream: Column, attempt: Column, fixed: Column) -> Column:
+            new = _replaced(text, stream, fixed, of["kind"] == "secret")
+            return F.concat(new, _added(_grown(attempt, 2), stream, F.char_length(text), worded))
+
         return F.struct(
             of.alias("of"),
             s["stream"].alias("stream"),
             s["bare"].alias("bare"),
-            _replaced(s["bare"], s["stream"], prefix, of["kind"] == "secret").alias("plain"),
-            _replaced(s["labels"], s["of_domain"], F.lit(0), F.lit(False)).alias("labels"),
+            whole(s["bare"], s["stream"], of["attempt"], prefix).alias("plain"),
+            whole(s["labels"], s["of_domain"], of["of_part"], F.lit(0)).alias("labels"),
         )
 
     def finish(s: Column) -> Column:
         of, plain = s["of"], s["plain"]
         kind = of["kind"]
         letters = (
-            F.when(kind == "email", F.concat(plain, s["labels"], F.substring_index(of["entity"], ".", -1)))
-            .when(kind == "ip", _octets(of["entity"], s["stream"]))
-            .when(kind == "name", _surname(of["entity"], s["stream"]))
+            F.when(kind == "email", F.concat_ws("@", plain, s["labels"]))
+            .when(kind == "ip", _octets(of["entity"], s["stream"], of["attempt"]))
+            .when(kind == "name", _surname(of["entity"], s["stream"], of["attempt"]))
             .when(kind == "card", _with_luhn(s["bare"], plain))
             .when(kind == "iban", _with_mod97(s["bare"], plain))
             .otherwise(plain)
         )
         return F.struct(of.alias("of"), letters.alias("letters"))
 
-    return F.transform(F.transform(F.transform(entities, read), replace), finish)
+    return F.transform(F.transform(F.transform(F.transform(entities, split), read), replace), finish)
 
 
 def _cased(like: Column, text: Column) -> Column:
@@ -264,22 +311,38 @@ def _named(mention: Column, surname: Column, secret: str) -> Column:
     return F.concat_ws(" ", F.concat(F.array(title), F.transform(between, given), F.array(_cased(last, F.concat(surname, ending)))))
 
 
-def formatted(kind: Column, mention: Column, letters: Column, secret: str) -> Column:
-    """A surrogate in the format of a mention: its separators, its capitals."""
+def _placed(like: Column, letters: Column) -> Column:
+    """Letters with the separators and capitals of a text; further ones follow at its end."""
+    old, new = _chars(_bare(like)), _chars(letters)
+    cased = F.zip_with(old, new, lambda o, n: F.when(o.rlike(r"\p{Lu}"), F.upper(n)).otherwise(n))
+    between = F.split(like, r"[\p{L}\p{N}]", -1)
+    return F.array_join(F.zip_with(between, cased, lambda b, n: F.concat(F.coalesce(b, F.lit("")), F.coalesce(n, F.lit("")))), "")
 
-    def of_place(at: Column) -> Column:
-        c = F.substr(mention, at, F.lit(1))
-        rank = F.char_length(_bare(F.substr(mention, F.lit(1), at)))
-        new = F.substr(letters, rank, F.lit(1))
-        return F.when(~c.rlike(r"[\p{L}\p{N}]"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
-    plain = F.array_join(F.transform(F.sequence(F.lit(1), F.char_length(mention)), of_place), "")
+def _placed_domain(like: Column, labels: Column) -> Column:
+    return F.concat(_placed(_labels(like), labels), F.lit("."), F.substring_index(like, ".", -1))
+
+
+def _placed_email(like: Column, letters: Column) -> Column:
+    """Both sides by themselves."""
+    local, domain = F.substring_index(like, "@", 1), F.substring_index(like, "@", -1)
+    return F.concat(
+        _placed(local, F.substring_index(letters, "@", 1)), F.lit("@"), _placed_domain(domain, F.substring_index(letters, "@", -1))
+    )
+
+
+def formatted(kind: Column, mention: Column, letters: Column, secret: str) -> Column:
+    """A surrogate in the format of a mention: its separators, its capitals."""
     # The code of the country stays.
-    phone = F.concat(
-        F.regexp_extract(mention, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1),
-        F.substr(plain, F.char_length(F.regexp_extract(mention, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1)) + 1, F.char_length(plain)),
+    code = F.regexp_extract(mention, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1)
+    plain = _placed(mention, letters)
+    return (
+        F.when(kind == "name", _named(mention, letters, secret))
+        .when(kind == "email", _placed_email(mention, letters))
+        .when(kind == "ip", letters)
+        .when(kind == "phone", F.concat(code, F.substr(plain, F.char_length(code) + 1, F.char_length(plain))))
+        .otherwise(plain)
     )
-    return F.when(kind == "name", _named(mention, letters, secret)).when(kind == "phone", phone).otherwise(plain)
 
 
 def mentions(text: Column) -> Column:
@@ -287,43 +350,72 @@ def mentions(text: Column) -> Column:
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct entities (kind, entity) of all documents."""
+    """Distinct entities (kind, entity) of all documents, and parts of them that are ones too."""
     found = docs.select(F.explode(mentions(F.col(text))).alias("mention")).distinct()
     kinds = found.select("mention", kind_of(F.col("mention")).alias("kind"))
-    return kinds.select("kind", canonical(F.col("kind"), F.col("mention")).alias("entity")).distinct()
+    whole = kinds.select("kind", canonical(F.col("kind"), F.col("mention")).alias("entity")).distinct()
+    return _with_parts(whole).distinct()
+
+
+def _with_parts(rows: DataFrame) -> DataFrame:
+    """Further rows for the parts of entities; other columns are repeated."""
+    others = [c for c in rows.columns if c not in ("kind", "entity")]
+    each = F.array_compact(F.array(F.struct("kind", "entity"), part_of(F.col("kind"), F.col("entity"))))
+    return rows.select(*others, F.explode(each).alias("one")).select(*others, "one.kind", "one.entity")
 
 
 def _shown(kind: Column, entity: Column, letters: Column) -> Column:
     """What of a surrogate can be told apart in a text.
 
-    Addresses with separators are compared with them, since those stay in place; of a
+    Mail addresses are compared with their separators, since those stay in place; of a
     phone number the country's code, which stays too, is not relied on.
     """
-    shape = F.regexp_replace(entity, r"[\p{L}\p{N}]", "x")
-    return F.when(kind.isin("email", "ip"), F.concat_ws("\u0001", shape, letters)).when(
-        kind == "phone", F.substr(letters, F.lit(4), F.char_length(letters))
-    ).otherwise(letters)
+    return (
+        F.when(kind == "email", _placed_email(entity, letters))
+        .when(kind == "domain", _placed_domain(entity, letters))
+        .when(kind == "phone", F.substr(letters, F.lit(4), F.char_length(letters)))
+        .otherwise(letters)
+    )
+
+
+def _shown_entity(kind: Column, entity: Column) -> Column:
+    """The same of an entity itself."""
+    return F.when(kind.isin("email", "domain", "ip"), entity).otherwise(_shown(kind, entity, _bare(entity)))
 
 
 def second_attempts(known: DataFrame, secret: str) -> DataFrame:
     """Entities whose first surrogate collides, and the attempt that doesn't.
 
+    Parts are settled first, then the entities they are parts of.
+    """
+    has_part = F.col("kind").isin(*PARTS)
+    parts = stored(_settled(known.where(~has_part).withColumn("of_part", F.lit(0)), secret), "attempts")
+    whole = known.where(has_part).withColumn("part", part_of(F.col("kind"), F.col("entity")))
+    of_part = parts.select(F.struct("kind", "entity").alias("part"), F.col("attempt").alias("of_part"))
+    whole = whole.join(of_part, "part", "left").select("kind", "entity", F.coalesce("of_part", F.lit(0)).alias("of_part"))
+    return parts.unionByName(_settled(whole, secret))
+
+
+def _settled(known: DataFrame, secret: str) -> DataFrame:
+    """Attempts other than the first, of entities with the attempt of their part.
+
     Of entities with one surrogate the least keeps it. Surrogates that are entities are
     nobody's. Rounds go on until no collision is left; each has only the losers of the
-    one before, against all surrogates taken so far.
+    one before, against all surrogates taken so far, and from longer surrogates at last.
     """
     kind, entity, letters = F.col("kind"), F.col("entity"), F.col("letters")
-    real = stored(known.select(kind, _shown(kind, entity, _bare(entity)).alias("shown")).distinct(), "real")
+    real = stored(known.select(kind, _shown_entity(kind, entity).alias("shown")).distinct(), "real")
 
     def tried(rows: DataFrame, attempt: int) -> DataFrame:
-        one = F.array(F.struct("kind", "entity", F.lit(attempt).alias("attempt")))
-        made = rows.select("kind", "entity", F.get(_surrogates(one, secret), F.lit(0))["letters"].alias("letters"))
-        return made.select("kind", "entity", _shown(kind, entity, letters).alias("shown"))
+        one = F.array(F.struct("kind", "entity", F.lit(attempt).alias("attempt"), "of_part"))
+        made = rows.select("kind", "entity", "of_part", F.get(_surrogates(one, secret), F.lit(0))["letters"].alias("letters"))
+        return made.select("kind", "entity", "of_part", _shown(kind, entity, letters).alias("shown"))
 
     def settled(rows: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
         free = rows.join(real, ["kind", "shown"], "left_anti").join(taken, ["kind", "shown"], "left_anti")
         winners = stored(free.groupBy("kind", "shown").agg(F.min("entity").alias("entity")), "winners")
-        return winners, stored(rows.select("kind", "entity").join(winners.select("kind", "entity"), ["kind", "entity"], "left_anti"), "losers")
+        lost = rows.drop("shown").join(winners.select("kind", "entity"), ["kind", "entity"], "left_anti")
+        return winners, stored(lost, "losers")
 
     taken, losers = settled(stored(tried(known, 0), "tried"), real.limit(0))
     done, attempt = None, 0
@@ -358,7 +450,7 @@ def anonymised(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
         mentioned = docs.select(row.alias("_row"), F.explode(mentions(content)).alias("mention"))
         named = mentioned.withColumn("kind", kind_of(F.col("mention"))).withColumn("entity", canonical(F.col("kind"), F.col("mention")))
         small = F.broadcast(again) if again.count() <= MAX_BROADCAST_ROWS else again
-        hit = named.join(small, ["kind", "entity"]).select("_row", F.concat_ws("\u0001", "kind", "entity").alias("key"), "attempt").distinct()
+        hit = _with_parts(named.select("_row", "kind", "entity")).join(small, ["kind", "entity"]).select("_row", F.concat_ws("\u0001", "kind", "entity").alias("key"), "attempt").distinct()
         by_row = stored(hit.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("key", "attempt"))).alias("_attempts")), "by_row")
         by_row = F.broadcast(by_row) if by_row.count() <= MAX_BROADCAST_ROWS else by_row
         found = found.withColumn("_row", row).join(by_row, "_row", "left").drop("_row")
@@ -369,9 +461,18 @@ def anonymised(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     def identified(s: Column) -> Column:
         return F.struct(s["mention"].alias("mention"), s["kind"].alias("kind"), canonical(s["kind"], s["mention"]).alias("entity"))
 
+    def attempt_of(kind: Column, entity: Column) -> Column:
+        return F.coalesce(F.element_at("_attempts", F.concat_ws("\u0001", kind, entity)), F.lit(0))
+
     def counted(s: Column) -> Column:
-        attempt = F.coalesce(F.element_at("_attempts", F.concat_ws("\u0001", s["kind"], s["entity"])), F.lit(0))
-        return F.struct(s["mention"].alias("mention"), s["kind"].alias("kind"), s["entity"].alias("entity"), attempt.alias("attempt"))
+        part = part_of(s["kind"], s["entity"])
+        return F.struct(
+            s["mention"].alias("mention"),
+            s["kind"].alias("kind"),
+            s["entity"].alias("entity"),
+            attempt_of(s["kind"], s["entity"]).alias("attempt"),
+            attempt_of(part["kind"], part["entity"]).alias("of_part"),
+        )
 
     of_text = F.transform(F.transform(F.transform(F.col("_mentions"), told), identified), counted)
     new = F.transform(
