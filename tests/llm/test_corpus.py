@@ -379,6 +379,15 @@ def test_names_beyond_their_first_space(spark, monkeypatch):
     assert len(set(found.values())) == len(found) and not set(found) & set(found.values())
 
 
+def test_persons_of_one_surname_stay_distinct(spark):
+    """More given names than there are to choose from; short forms keep the surname."""
+    found = replaced_pairs(spark, ["Mr " + a + " Smith" for a in ("John", "Jack", *("Q" + b for b in "abcdefghijklmnopqrst"))] + ["Mr Smith", "MR JOHN SMITH"])
+    short, loud = found.pop("Mr Smith"), found.pop("MR JOHN SMITH")
+    assert len(set(found.values())) == len(found) == 22
+    assert {new.split(" ")[-1] for new in found.values()} == {short.split(" ")[-1]}
+    assert loud == found["Mr John Smith"].upper()
+
+
 def test_no_documents_have_no_entities(spark):
     assert pii.anonymised(spark.createDataFrame([], "doc_id long, text string"), "key").count() == 0
 

@@ -12,8 +12,9 @@ and names keep title, gender and script.
 The entities of all documents are then checked for collisions: two entities with the
 same surrogate, or a surrogate that is itself an entity. Those that collide are hashed
 again, until none does; only they need a join. Surrogates grow with the attempts, so that
-no number of entities is too large. The domain of an e-mail address is an entity by itself,
-which is settled before the addresses are. Everything is DataFrame expressions.
+no number of entities is too large. The domain of an e-mail address and the surname of a
+full name are entities by themselves, which are settled before the addresses and full
+names are. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def kind_of(mention: Column) -> Column:
     told = F.when(mention.contains("@"), F.lit("email"))
     for kind in ("secret", "access_key", "iban", "ip", "ssn", "card"):
         told = told.when(_matches(KINDS[kind], mention), F.lit(kind))
-    return told.when(mention.rlike("^[0-9+(]"), F.lit("phone")).otherwise(F.lit("name"))
+    return told.when(mention.rlike("^[0-9+(]"), F.lit("phone")).when(F.size(F.split(mention, " ")) > 2, F.lit("person")).otherwise(F.lit("name"))
 
 
 def _bare(text: Column) -> Column:
@@ -83,11 +84,18 @@ def _last_name(mention: Column) -> Column:
     return F.regexp_extract(mention, r"(\S+)$", 1)
 
 
+def _gender(mention: Column) -> Column:
+    bare = F.lower(F.regexp_replace(F.regexp_extract(mention, r"^(\S+)", 1), r"\.", ""))
+    male, female = ([t.lower() for t in titles] for titles in (MALE_TITLES, FEMALE_TITLES))
+    return F.when(bare.isin(*male), F.lit("m")).when(bare.isin(*female), F.lit("f")).otherwise(F.lit("n"))
+
+
 def canonical(kind: Column, mention: Column) -> Column:
-    """What all mentions of an entity have in common; of a name the last word."""
+    """What all mentions of an entity have in common; of a full name the title's gender and all words."""
     return (
         F.when(kind.isin("email", "ip"), F.lower(mention))
         .when(kind == "name", F.lower(_last_name(mention)))
+        .when(kind == "person", F.concat_ws(" ", _gender(mention), F.lower(F.regexp_extract(mention, r"^\S+ (.*)$", 1))))
         .otherwise(F.lower(_bare(mention)))
     )
 
@@ -206,12 +214,16 @@ def _surname(entity: Column, stream: Column, attempt: Column) -> Column:
 
 
 # Kinds whose entities have a part that is an entity by itself, and the kind of that.
-PARTS = {"email": "domain"}
+PARTS = {"email": "domain", "person": "name"}
 
 
 def part_of(kind: Column, entity: Column) -> Column:
     """The part (kind, entity) of an entity that is an entity by itself, or null."""
-    return F.when(kind == "email", F.struct(F.lit(PARTS["email"]).alias("kind"), F.substring_index(entity, "@", -1).alias("entity")))
+
+    def of(name: str, mark: str) -> Column:
+        return F.struct(F.lit(PARTS[name]).alias("kind"), F.substring_index(entity, mark, -1).alias("entity"))
+
+    return F.when(kind == "email", of("email", "@")).when(kind == "person", of("person", " "))
 
 
 def _labels(domain: Column) -> Column:
@@ -224,13 +236,13 @@ def _surrogates(entities: Column, secret: str) -> Column:
 
     `attempt` is that of the entity, `of_part` that of its part. A surrogate has an entity's
     letters and digits in lower case, without separators, but for the @ of an address and
-    the dots of a network address; what it has grown by stands at the end (of both sides of
+    the dots of a network address; a full name has capitals and blanks. What it has grown by stands at the end (of both sides of
     an @). It is made in steps, each of which has the results of the one before as fields,
     so that nothing is computed twice.
     """
 
     def split(s: Column) -> Column:
-        return F.struct(s.alias("of"), part_of(s["kind"], s["entity"])["entity"].alias("part"))
+        return F.struct(s.alias("of"), part_of(s["kind"], s["entity"]).alias("part"))
 
     def read(s: Column) -> Column:
         of = s["of"]
@@ -238,9 +250,10 @@ def _surrogates(entities: Column, secret: str) -> Column:
         return F.struct(
             of.alias("of"),
             _stream(secret, of["kind"], of["attempt"].cast("string"), of["entity"]).alias("stream"),
-            F.when(of["kind"] == "email", _stream(secret, F.lit("domain"), of["of_part"].cast("string"), s["part"])).alias("of_domain"),
+            s["part"]["entity"].alias("part"),
+            F.when(s["part"].isNotNull(), _stream(secret, s["part"]["kind"], of["of_part"].cast("string"), s["part"]["entity"])).alias("of_part"),
             _bare(F.coalesce(own, of["entity"])).alias("bare"),
-            F.when(of["kind"] == "email", _bare(_labels(s["part"]))).otherwise(F.lit("")).alias("labels"),
+            F.when(of["kind"] == "email", _bare(_labels(s["part"]["entity"]))).otherwise(F.lit("")).alias("labels"),
         )
 
     def replace(s: Column) -> Column:
@@ -261,9 +274,11 @@ def _surrogates(entities: Column, secret: str) -> Column:
         return F.struct(
             of.alias("of"),
             s["stream"].alias("stream"),
+            s["part"].alias("part"),
+            s["of_part"].alias("of_part"),
             s["bare"].alias("bare"),
             whole(s["bare"], s["stream"], of["attempt"], prefix).alias("plain"),
-            whole(s["labels"], s["of_domain"], of["of_part"], F.lit(0)).alias("labels"),
+            whole(s["labels"], s["of_part"], of["of_part"], F.lit(0)).alias("labels"),
         )
 
     def finish(s: Column) -> Column:
@@ -273,6 +288,7 @@ def _surrogates(entities: Column, secret: str) -> Column:
             F.when(kind == "email", F.concat_ws("@", plain, s["labels"]))
             .when(kind == "ip", _octets(of["entity"], s["stream"], of["attempt"]))
             .when(kind == "name", _surname(of["entity"], s["stream"], of["attempt"]))
+            .when(kind == "person", _full_name(of["entity"], s["stream"], of["attempt"], s["part"], _surname(s["part"], s["of_part"], of["of_part"]), secret))
             .when(kind == "card", _with_luhn(s["bare"], plain))
             .when(kind == "iban", _with_mod97(s["bare"], plain))
             .otherwise(plain)
@@ -287,28 +303,52 @@ def _cased(like: Column, text: Column) -> Column:
     return F.when((F.char_length(like) > 1) & (like == F.upper(like)), F.upper(text)).otherwise(capital)
 
 
-def _named(mention: Column, surname: Column, secret: str) -> Column:
-    """Title, given names of the title's gender, and the surname with its ending."""
-    title = F.regexp_extract(mention, r"^(\S+)", 1)
-    bare = F.lower(F.regexp_replace(title, r"\.", ""))
-    male, female = ([t.lower() for t in titles] for titles in (MALE_TITLES, FEMALE_TITLES))
-    gender = F.when(bare.isin(*male), F.lit("m")).when(bare.isin(*female), F.lit("f")).otherwise(F.lit("n"))
-    last = _last_name(mention)
-    script = _script(last)
-    words = F.split(mention, " ")
-    between = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+def _with_ending(script: Column, gender: Column, surname: Column) -> Column:
+    ending = F.when(script == "cyrillic", F.when(gender == "f", F.lit("ова")).otherwise(F.lit("ов"))).otherwise(F.lit(""))
+    return F.concat(surname, ending)
+
+
+def _full_name(entity: Column, stream: Column, attempt: Column, last: Column, surname: Column, secret: str) -> Column:
+    """Given names of the title's gender and the surname with its ending.
 
-    def given(old: Column) -> Column:
-        stream = _stream(secret, F.lit("given"), F.lower(old))
-        chosen = None
+    A given name is chosen by itself at first, by the whole name in further attempts; from
+    the third on, further given names are tied to the last one.
+    """
+    words = F.split(entity, " ")
+    gender, script = F.get(words, F.lit(0)), _script(last)
+
+    def chosen(source: Column, at: Column) -> Column:
+        found = None
         for (of_script, of_gender), names in GIVEN_NAMES.items():
-            name = F.get(F.array(*[F.lit(n) for n in names]), _drawn(stream, F.lit(3), len(names)).cast("int"))
+            name = F.get(F.array(*[F.lit(n) for n in names]), _drawn(source, at, len(names)).cast("int"))
             fits = (script == of_script) & (gender == of_gender)
-            chosen = F.when(fits, name) if chosen is None else chosen.when(fits, name)
-        return _cased(old, chosen)
+            found = F.when(fits, name) if found is None else found.when(fits, name)
+        return found
 
-    ending = F.when(script == "cyrillic", F.when(gender == "f", F.lit("ова")).otherwise(F.lit("ов"))).otherwise(F.lit(""))
-    return F.concat_ws(" ", F.concat(F.array(title), F.transform(between, given), F.array(_cased(last, F.concat(surname, ending)))))
+    def given(old: Column, i: Column) -> Column:
+        own = chosen(_stream(secret, F.lit("given"), old), F.lit(3))
+        return F.when(attempt == 0, own).otherwise(chosen(stream, i * 4 + 1))
+
+    size = F.size(words)
+    more = _grown(attempt, 1)
+    tied = F.transform(F.sequence(F.lit(1), more), lambda i: chosen(stream, (size + i) * 4 + 1))
+    names = F.array_join(F.transform(F.slice(words, 2, size - 2), given), " ")
+    names = F.when(more > 0, F.concat_ws("-", names, F.array_join(tied, "-"))).otherwise(names)
+    return F.concat_ws(" ", names, _with_ending(script, gender, surname))
+
+
+def _named(mention: Column, surname: Column) -> Column:
+    """Title and surname with its ending."""
+    last = _last_name(mention)
+    new = _cased(last, _with_ending(_script(last), _gender(mention), surname))
+    return F.concat_ws(" ", F.substring_index(mention, " ", 1), new)
+
+
+def _named_whole(mention: Column, names: Column) -> Column:
+    """Title, given names and surname, each with the capitals of the word it stands for."""
+    old = F.split(mention, " ")
+    new = F.zip_with(F.slice(old, F.lit(2), F.size(old)), F.split(names, " "), _cased)
+    return F.concat_ws(" ", F.get(old, F.lit(0)), F.array_join(new, " "))
 
 
 def _placed(like: Column, letters: Column) -> Column:
@@ -331,13 +371,14 @@ def _placed_email(like: Column, letters: Column) -> Column:
     )
 
 
-def formatted(kind: Column, mention: Column, letters: Column, secret: str) -> Column:
+def formatted(kind: Column, mention: Column, letters: Column) -> Column:
     """A surrogate in the format of a mention: its separators, its capitals."""
     # The code of the country stays.
     code = F.regexp_extract(mention, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1)
     plain = _placed(mention, letters)
     return (
-        F.when(kind == "name", _named(mention, letters, secret))
+        F.when(kind == "name", _named(mention, letters))
+        .when(kind == "person", _named_whole(mention, letters))
         .when(kind == "email", _placed_email(mention, letters))
         .when(kind == "ip", letters)
         .when(kind == "phone", F.concat(code, F.substr(plain, F.char_length(code) + 1, F.char_length(plain))))
@@ -373,6 +414,7 @@ def _shown(kind: Column, entity: Column, letters: Column) -> Column:
     return (
         F.when(kind == "email", _placed_email(entity, letters))
         .when(kind == "domain", _placed_domain(entity, letters))
+        .when(kind == "person", F.lower(letters))
         .when(kind == "phone", F.substr(letters, F.lit(4), F.char_length(letters)))
         .otherwise(letters)
     )
@@ -380,7 +422,8 @@ def _shown(kind: Column, entity: Column, letters: Column) -> Column:
 
 def _shown_entity(kind: Column, entity: Column) -> Column:
     """The same of an entity itself."""
-    return F.when(kind.isin("email", "domain", "ip"), entity).otherwise(_shown(kind, entity, _bare(entity)))
+    name = F.regexp_extract(entity, r"^\S+ (.*)$", 1)
+    return F.when(kind.isin("email", "domain", "ip"), entity).when(kind == "person", name).otherwise(_shown(kind, entity, _bare(entity)))
 
 
 def second_attempts(known: DataFrame, secret: str) -> DataFrame:
@@ -476,7 +519,7 @@ def anonymised(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
 
     of_text = F.transform(F.transform(F.transform(F.col("_mentions"), told), identified), counted)
     new = F.transform(
-        _surrogates(of_text, secret), lambda s: formatted(s["of"]["kind"], s["of"]["mention"], s["letters"], secret)
+        _surrogates(of_text, secret), lambda s: formatted(s["of"]["kind"], s["of"]["mention"], s["letters"])
     )
     pieces = F.split(content, PATTERN, -1)
     rebuilt = F.array_join(F.zip_with(pieces, new, lambda piece, put: F.concat(piece, F.coalesce(put, F.lit("")))), "")
