@@ -388,6 +388,14 @@ def test_persons_of_one_surname_stay_distinct(spark):
     assert loud == found["Mr John Smith"].upper()
 
 
+def test_letters_of_all_scripts_are_replaced(spark):
+    mentions = ["王小明@例子.公司", "たなか@x.com", "カナ@x.com", "김철수@한국.com", "محمد٣٤@مثال.com", "דוד@x.com", "हिन्दी१२@उदाहरण.com", "ანა@მაგალითი.com", "ไทย๑๒@x.com"]
+    for old, new in replaced_pairs(spark, mentions).items():
+        (local, domain), (new_local, new_domain) = old.split("@"), new.split("@")
+        assert new_local != local and new_domain != domain and len(new_local) <= len(local) + 2
+        assert sum(a == b for a, b in zip(local, new_local)) < len(local) - 1
+
+
 def test_no_documents_have_no_entities(spark):
     assert pii.anonymised(spark.createDataFrame([], "doc_id long, text string"), "key").count() == 0
 

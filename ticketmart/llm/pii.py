@@ -44,13 +44,24 @@ ALPHABETS = {
     "latin": "abcdefghijklmnopqrstuvwxyz",
     "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
     "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+    "han": "安北成大东方高国海和家金力林明南平青山石水天文西新一中子",
+    "hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねの",
+    "katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノ",
+    "hangul": "가나다라마바사아자차카타파하고노도로모보소오조호",
+    "arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "devanagari": "अआइईउऊएओकखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+}
+DIGITS = {
+    "arabic": "٠١٢٣٤٥٦٧٨٩",
+    "devanagari": "०१२३४५६७८९",
 }
 
 _TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]{1,30}"
 # In this order; a mention is of the first kind that fits.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,6}\.\p{L}{2,24}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}@[\p{L}\p{M}\p{N}-]{1,63}(?:\.[\p{L}\p{M}\p{N}-]{1,63}){0,6}\.\p{L}[\p{L}\p{M}]{1,23}",
     "secret": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
     "access_key": r"(?<![\p{L}\p{N}])(?:sk-|pk-|ghp_|gho_|xoxb-|xoxp-|AKIA)[A-Za-z0-9_-]{16,120}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -123,18 +134,26 @@ def _grown(attempt: Column, free: int) -> Column:
 
 
 def _replaced(text: Column, stream: Column, fixed: Column, hexadecimal: Column) -> Column:
-    """Characters of the same sort for all but the first `fixed` ones (counted from 1)."""
+    """Characters of the same sort for all but the first `fixed` ones (counted from 1).
+
+    Letters of scripts without an alphabet here become Latin ones, and such digits 0 to 9.
+    """
 
     def of_place(c: Column, before: Column) -> Column:
         at = before + 1
+        latin = _letters(ALPHABETS["latin"], stream, at)
+        other = F.when(c.rlike(r"\p{N}"), _drawn(stream, at, 10).cast("string"))
+        for digits in DIGITS.values():
+            other = F.when(c.rlike(f"[{digits}]"), _letters(digits, stream, at)).otherwise(other)
+        for script, alphabet in ALPHABETS.items():
+            if script != "latin":
+                other = F.when(c.rlike(rf"(?=\p{{L}})\p{{Is{script.capitalize()}}}"), _letters(alphabet, stream, at)).otherwise(other)
         return (
             F.when(at <= fixed, c)
             .when(c.rlike("[0-9]"), _drawn(stream, at, 10).cast("string"))
             .when(hexadecimal, _letters("abcdef", stream, at))
-            .when(c.rlike(r"\p{IsCyrillic}"), _letters(ALPHABETS["cyrillic"], stream, at))
-            .when(c.rlike(r"\p{IsGreek}"), _letters(ALPHABETS["greek"], stream, at))
-            .when(c.rlike(r"\p{IsLatin}"), _letters(ALPHABETS["latin"], stream, at))
-            .otherwise(c)
+            .when(c.rlike(r"\p{IsLatin}"), latin)
+            .otherwise(F.coalesce(other, latin))
         )
 
     return F.when(F.char_length(text) > 0, F.array_join(F.transform(_chars(text), of_place), "")).otherwise(text)
@@ -355,7 +374,7 @@ def _placed(like: Column, letters: Column) -> Column:
     """Letters with the separators and capitals of a text; further ones follow at its end."""
     old, new = _chars(_bare(like)), _chars(letters)
     cased = F.zip_with(old, new, lambda o, n: F.when(o.rlike(r"\p{Lu}"), F.upper(n)).otherwise(n))
-    between = F.split(like, r"[\p{L}\p{N}]", -1)
+    between = F.split(F.regexp_replace(like, r"\p{M}", ""), r"[\p{L}\p{N}]", -1)
     return F.array_join(F.zip_with(between, cased, lambda b, n: F.concat(F.coalesce(b, F.lit("")), F.coalesce(n, F.lit("")))), "")
 
 
