@@ -396,6 +396,23 @@ def test_letters_of_all_scripts_are_replaced(spark):
         assert sum(a == b for a, b in zip(local, new_local)) < len(local) - 1
 
 
+def test_mentions_of_any_length_are_whole(spark):
+    mentions = {
+        "sk-proj-" + "aB3_" * 39: "sk-",
+        "0f" * 100: "",
+        "q" * 90 + "@b.example.com": "",
+        "x@" + "lab." * 200 + "com": "",
+        "Mr Quentin Zoltan Xaver Wolfgang Yngling": "Mr ",
+        "Mr Q" + "z" * 40: "Mr ",
+    }
+    found = replaced_pairs(spark, list(mentions))
+    for old, kept in mentions.items():
+        rest, new = old.removeprefix(kept), found[old]
+        assert new.startswith(kept) and all(rest[i : i + 8] not in new for i in range(4, len(rest) - 12, 4))
+    found = replaced_pairs(spark, ["Mr. Quill Mr. Zander", "Mr Zander"])
+    assert "Quill" not in found["Mr. Quill Mr. Zander"] and found["Mr. Quill Mr. Zander"].split()[-1] == found["Mr Zander"].split()[-1]
+
+
 def test_no_documents_have_no_entities(spark):
     assert pii.anonymised(spark.createDataFrame([], "doc_id long, text string"), "key").count() == 0
 

@@ -58,19 +58,25 @@ DIGITS = {
 }
 
 _TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
-_NAME = r"\p{Lu}[\p{L}\p{M}'’-]{1,30}"
-# In this order; a mention is of the first kind that fits.
+_TITLE = "|".join(w for t in _TITLES for w in (t, t.upper()))
+# A title begins a mention of its own.
+_NAME = rf"(?!(?:{_TITLE})(?![\p{{L}}\p{{M}}'’-]))\p{{Lu}}[\p{{L}}\p{{M}}'’-]++"
+_WORDED = r"\p{L}\p{M}\p{N}"
+_LAST = r"\p{L}[\p{L}\p{M}]++"
+# In this order; a mention is of the first kind that fits. Possessive quantifiers take
+# runs of any length without going back; domains that don't end in a name have 127 labels.
 KINDS = {
-    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}@[\p{L}\p{M}\p{N}-]{1,63}(?:\.[\p{L}\p{M}\p{N}-]{1,63}){0,6}\.\p{L}[\p{L}\p{M}]{1,23}",
-    "secret": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
-    "access_key": r"(?<![\p{L}\p{N}])(?:sk-|pk-|ghp_|gho_|xoxb-|xoxp-|AKIA)[A-Za-z0-9_-]{16,120}",
+    "email": rf"(?<![{_WORDED}._%+-])[{_WORDED}._%+-]++@[{_WORDED}-]++"
+    rf"(?:(?:\.[{_WORDED}-]++(?=\.[{_WORDED}-]))*+\.{_LAST}|(?:\.[{_WORDED}-]++){{0,126}}\.{_LAST})",
+    "secret": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])",
+    "access_key": r"(?<![\p{L}\p{N}])(?:sk-|pk-|ghp_|gho_|xoxb-|xoxp-|AKIA)[A-Za-z0-9_-]{16,}+",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})){2,5}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}"
     r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(w for t in _TITLES for w in (t, t.upper()))})\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}(?: {_NAME})*+",
 }
 PATTERN = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 
