@@ -1,0 +1,346 @@
+"""Importance resampling, periodic runs and packing, against brute force and round trips."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+from pathlib import Path
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ticketmart.llm import importance, packing, periodic
+from ticketmart.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+# Ids and texts: nulls, empty and blank texts, ties, repeated rows, long texts and long words.
+ROWS = [
+    (1, None),
+    (2, ""),
+    (3, " \t\n"),
+    (4, "one"),
+    (5, "One TWO, three-four É字 " * 30),
+    (5, "One TWO, three-four É字 " * 30),
+    (5, "another text of an id that is taken " * 4),
+    (6, "x" * 70_000 + " y " + "字" * 700),
+    (7, "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 700),
+    (8, "the <|endoftext|> of it's 12 \x1c\x85  ends \x0b\x0c here"),
+    (None, "no id at all " * 10),
+] + [(i, "a copy of the same twenty words that many documents share and that is long enough to take part in it now") for i in range(100, 140)]
+CLASHES = "old int, row string, rank string, runs string, start string, `key` string, place string, task string, enough string, `a.b` string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(*row, 1, "r", "k", "n", "s", "key", "p", "t", "e", "d") for row in ROWS]
+    return spark.createDataFrame(rows, "doc_id long, text string, " + CLASHES).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """A folder of test tables with the rows above as documents and benchmark."""
+    folder = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    target = [("b1", "one two three four"), ("b1", None), (None, "É字 one twenty words that many"), ("b2", "")]
+    spark.createDataFrame(target, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def empty_tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def read(spark, folder, name):
+    return [tuple(row) for row in spark.read.parquet(f"{folder}/{name}.parquet").select(*{"documents": ("doc_id", "text"), "benchmark": ("item_id", "text")}[name]).collect()]
+
+
+# Importance resampling.
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 1500), max_size=12), st.integers(0, 2**32))
+def test_checksums_of_spans(sizes, seed):
+    data = np.random.default_rng(seed).integers(0, 256, sum(sizes) + 3 * len(sizes) + 1).astype(np.uint8)
+    ends = np.cumsum([size + 3 for size in sizes], dtype=np.int64)[: len(sizes)]
+    spans = [(int(end) - size, int(end)) for size, end in zip(sizes, ends, strict=True) if size]
+    starts, ends = (np.array([span[i] for span in spans], np.int64) for i in (0, 1))
+    found = importance.span_checksums(data, starts, ends).tolist()
+    assert found == [crc32(data[start:end].tobytes()) for start, end in spans]
+
+
+def features(text, longest=2):
+    words = ALNUM.findall((text or "").encode().lower())
+    return len(words), [crc32(b" ".join(words[i : i + n])) % 10_000 for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+
+
+def brute_importance(docs, target):
+    """(id, n_features, weight, score, rank) by the formulas."""
+    raw, wanted = (Counter(b for _, text in rows for b in features(text)[1]) for rows in (docs, target))
+    s, t = raw.total(), wanted.total()
+    scored = []
+    for doc_id, text in docs:
+        n_words, found = features(text)
+        gains = [math.floor(1000 * math.log((wanted[b] + 1) * (s + 10_000) / ((raw[b] + 1) * (t + 10_000)))) for b in found]
+        weight = sum(gains) // len(gains) if gains else 0
+        h = int(hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        scored.append((doc_id, n_words, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    order = sorted((row for row in scored if row[1] >= 20), key=lambda row: (-row[4], row[0] is None, row[0]))
+    ranks = {}
+    for rank, row in enumerate(order[: len(order) * 25 // 100], 1):
+        ranks.setdefault(row, []).append(rank)
+    return sorted(((r[0], *r[2:], ranks[r].pop(0) if ranks.get(r) else None) for r in scored), key=repr)
+
+
+@pytest.mark.parametrize("which", ["small", "driver"])
+def test_importance_equals_brute_force(spark, tables, which):
+    folder = tables if which == "small" else SF_DIR
+    if not Path(folder).exists():
+        pytest.skip("no test tables here")
+    found = QUERIES["op11_importance"](spark, folder).select("doc_id", "n_features", "weight", "score", "rank")
+    expected = brute_importance(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    assert sorted(map(tuple, found.collect()), key=repr) == expected
+
+
+def test_resampled_keeps_the_documents_columns(spark, docs, tables):
+    target = spark.read.parquet(f"{tables}/benchmark.parquet")
+    found = importance.resampled(docs, target, 50)
+    assert {"old", "row", "key", "place", "task", "enough", "a.b", "text"} <= set(found.columns)
+    rows = found.collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, len(rows) + 1))
+    assert all(r["text"] in {text for _, text in ROWS} and r["a.b"] == "d" for r in rows)
+    assert len(rows) == sum(features(text)[0] >= 20 for _, text in ROWS) * 50 // 100
+    assert importance.resampled(docs, target, 0).count() == 0
+
+
+# Periodic runs.
+
+
+def brute_runs(words, shortest=12):
+    found = {}
+    for period in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + period < len(words):
+            j = i
+            while j + period < len(words) and words[j] == words[j + period]:
+                j += 1
+            if j + period - i >= max(shortest, 2 * period):
+                found.setdefault((i, j + period), period)
+            i = max(j, i + 1)
+    return sorted((start, end - start, period) for (start, end), period in found.items())
+
+
+def found_runs(texts, shortest):
+    words = np.array([word for text in texts for word in text], np.int64)
+    text_of = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+    first = np.cumsum([0, *map(len, texts)])
+    found = [[] for _ in texts]
+    for start, end, period in zip(*(x.tolist() for x in periodic.runs_of(words, text_of, shortest)), strict=True):
+        text = int(text_of[start])
+        found[text].append((start - int(first[text]), end - start, period))
+    return found
+
+
+words_of = st.lists(st.integers(0, 2), max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(words_of, st.tuples(words_of, st.integers(0, 9)).map(lambda x: x[0][:7] * x[1] + x[0])), max_size=4), st.sampled_from([2, 5, 12]))
+def test_runs_equal_brute_force(texts, shortest):
+    texts = [*texts, *texts[:1]]  # copies share their symbols
+    assert found_runs(texts, shortest) == [brute_runs(text, shortest) for text in texts]
+
+
+def test_a_grammar_gives_back_its_texts():
+    random.seed(3)
+    words = np.array([random.randrange(4) for _ in range(500)] * 3, np.int64)
+    text_of = np.repeat([0, 1, 2], 500)
+    grammar = periodic.re_pair(words, text_of)
+    left, right = np.concatenate(grammar.left), np.concatenate(grammar.right)
+
+    def expanded(symbol):
+        if symbol < grammar.base:
+            return [symbol]
+        return expanded(left[symbol - grammar.base]) + expanded(right[symbol - grammar.base])
+
+    assert [w for symbol in grammar.symbols for w in expanded(symbol)] == words.tolist()
+    pairs = Counter(
+        (a, b) for a, b, i, j in zip(grammar.symbols, grammar.symbols[1:], grammar.places, grammar.places[1:], strict=False) if text_of[i] == text_of[j]
+    )
+    assert all(count == 1 for (a, b), count in pairs.items() if a != b)  # no pair repeats
+
+
+def brute_periodic(doc_id, text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    h = crc32(("" if doc_id is None else str(doc_id)).encode())
+    g, n = h // 10, len(words)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    dropped = {i for start, length, period in runs for i in range(start + period, start + length)}
+    top = max(runs, key=lambda run: (run[1], -run[0], -run[2]), default=None)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in sorted(runs, key=lambda run: (run[0], run[2])))
+    collapsed = b" ".join(word for i, word in enumerate(words) if i not in dropped)
+    return (
+        doc_id, len(runs), *(top or (None,) * 3), 1000 * top[1] // top[2] if top else None,
+        hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(collapsed).hexdigest(),
+    )
+
+
+@pytest.mark.parametrize("which", ["small", "driver"])
+def test_periodic_equals_brute_force(spark, tables, which):
+    folder = tables if which == "small" else SF_DIR
+    if not Path(folder).exists():
+        pytest.skip("no test tables here")
+    found = QUERIES["op12_periodic"](spark, folder)
+    found = found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    docs = read(spark, folder, "documents")
+    if which == "driver":
+        docs = [row for row in docs if len(row[1] or "") < 12_000]  # brute force is quadratic
+        found = found.where(F.col("doc_id").isin([row[0] for row in docs]))
+    rows = [row for row in docs if row[0] != 7]
+    expected = sorted((brute_periodic(*row) for row in rows), key=repr)
+    assert sorted(map(tuple, found.where("doc_id IS NULL OR doc_id <> 7 OR n_words < 10000").collect()), key=repr) == expected
+
+
+def test_detected_keeps_columns_and_collapses(docs):
+    rows = periodic.detected(docs).where("doc_id = 7").collect()
+    (row,) = rows
+    assert row["n_words"] == 26 * 700 and [tuple(run) for run in row["runs"]] == [(0, 26 * 700, 26)]
+    assert row["collapsed"] == "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    assert row["a.b"] == "d" and row["start"] == "s"
+
+
+# Packing.
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(TOKENIZER)
+
+
+def test_ids_equal_the_librarys_for_all_characters(library):
+    encode = packing.encoder(Path(TOKENIZER).read_text())
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    for at in range(0, len(points), 65_536):
+        text = "".join(f"a{c}{c} {c}1{c}.\n" for c in points[at : at + 65_536 : 7] + points[at : at + 300])
+        assert encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=40) | st.text(alphabet="a's 'll\n\t<|endoftext|>1.", max_size=40))
+def test_ids_equal_the_librarys(text):
+    encode = packing.encoder(Path(TOKENIZER).read_text())
+    assert encode([text])[0].tolist() == Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+
+
+def test_another_kind_of_tokenizer_file_goes_through_its_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    expected = Tokenizer.from_file(path).encode("Some words", add_special_tokens=False).ids
+    assert packing.encoder(Path(path).read_text())(["Some words"])[0].tolist() == expected
+
+
+def used_up(plan, histogram):
+    """All pieces of the plan's rests by sequence, as (offset, length)."""
+    sequences = {}
+    for length in range(1, plan.window):
+        for number in range(int(histogram[length])):
+            entry = int(np.searchsorted(plan.keys, length << 40 | number, "right")) - 1
+            pieces = packing.placed(plan, length, number, entry)
+            assert sum(piece[0] for piece in pieces) == length
+            for size, sequence, offset in pieces:
+                sequences.setdefault(sequence, []).append((offset, size))
+    return sequences
+
+
+def unpadded(sequences, window):
+    for pieces in sequences.values():
+        end = 0
+        for offset, size in sorted(pieces):
+            assert offset == end and size > 0
+            end += size
+        assert end == window or (end < window and end & (end - 1) == 0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from([4, 16, 64]), st.lists(st.integers(0, 9), min_size=64, max_size=64), st.integers(0, 3))
+def test_plans_use_every_rest_once_without_padding(window, counts, hot):
+    histogram = np.array([0, *counts[1:window]], np.int64)
+    histogram[-1 - hot] += 40  # a third and more of all rests has one length
+    plan = packing.planned(histogram, window)
+    sequences = used_up(plan, histogram)
+    unpadded(sequences, window)
+    assert len(sequences) == plan.sequences
+
+
+def test_least_squares_finds_an_exact_answer():
+    parts = packing.combinations(16, np.ones(17, bool))
+    histogram = np.zeros(16)
+    for length, count in ((10, 50), (4, 50), (2, 50), (9, 30), (7, 30)):
+        histogram[length] += count
+    x = packing.repeat_counts(parts, histogram)
+    reached = sum(np.bincount(part, x, 16) for part in parts)
+    reached[0] = 0
+    assert (x >= 0).all() and np.abs(reached - histogram).max() < 0.5
+
+
+def check_packing(rows, docs, library):
+    """Pieces cover each document's ids once, and sequences have no gap and no padding."""
+    expected = Counter()
+    for doc_id, text in docs:
+        expected[doc_id, tuple([*library.encode(text or "", add_special_tokens=False).ids, 0])] += 1
+    ids_of = {}
+    for doc_id, ids in expected:
+        ids_of.setdefault((doc_id, len(ids)), []).append(ids)
+    sequences, covered = {}, Counter()
+    for row in rows:
+        options = ids_of[row["doc_id"], row["doc_tokens"]]
+        ids = np.array(options[0], "<u4")
+        assert len(options) == 1
+        piece = ids[row["start"] : row["start"] + row["length"]]
+        assert len(piece) == row["length"] and row["ids_crc32"] == crc32(piece.tobytes())
+        sequences.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+        for i in range(row["start"], row["start"] + row["length"]):
+            covered[row["doc_id"], row["doc_tokens"], i] += 1
+    unpadded(sequences, 1024)
+    for (doc_id, ids), times in expected.items():
+        assert all(covered[doc_id, len(ids), i] == times for i in range(len(ids)))
+    assert covered.total() == sum(len(ids) * times for (_, ids), times in expected.items())
+
+
+@pytest.mark.parametrize("which", ["small", "driver"])
+def test_packing_covers_all_ids_without_padding(spark, tables, library, which):
+    folder = tables if which == "small" else SF_DIR
+    if not Path(folder).exists():
+        pytest.skip("no test tables here")
+    rows = QUERIES["op13_packing"](spark, folder).collect()
+    check_packing(rows, read(spark, folder, "documents"), library)
+
+
+def test_packed_keeps_columns_and_gives_the_ids(docs, library):
+    rows = packing.packed(docs.where("doc_id = 7"), TOKENIZER, window=256).orderBy("start").collect()
+    ids = np.concatenate([np.frombuffer(row["ids"], "<u4") for row in rows])
+    assert ids.tolist() == [*library.encode(ROWS[8][1], add_special_tokens=False).ids, 0]
+    assert all(row["a.b"] == "d" and row["row"] == "r" and row["task"] == "t" for row in rows)
+
+
+@pytest.mark.parametrize("name", ["op11_importance", "op12_periodic", "op13_packing"])
+def test_empty_tables(spark, empty_tables, name):
+    assert QUERIES[name](spark, empty_tables).collect() == []

@@ -34,7 +34,7 @@ def texts(spark):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

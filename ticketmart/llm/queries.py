@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ticketmart.llm import brown, decontaminate, langid, minhash, pieces, pii, rules, tokens, toolcalls, toxicity
-from ticketmart.llm.common import fold, table
+from pyspark.sql.types import StringType, StructField
+
+from ticketmart.llm import (
+    brown,
+    decontaminate,
+    importance,
+    langid,
+    minhash,
+    packing,
+    periodic,
+    pieces,
+    pii,
+    rules,
+    tokens,
+    toolcalls,
+    toxicity,
+)
+from ticketmart.llm.common import annotate, fold, table, texts_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +200,65 @@ FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weighted = importance.weighted(docs, table(spark, sf_dir, "benchmark"), buckets=10_000, longest=2)
+    scored = importance.noisy(weighted.drop("text"), seed=7)
+    drawn = importance.drawn(scored, percent=25, least_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by the checksum of their ids, repeat a stretch to their end."""
+
+    def start():
+        def compute(batch: pa.RecordBatch) -> list:
+            planted = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+                turn, lot = divmod(crc32(("" if doc_id is None else str(doc_id)).encode()), 10)
+                words = text.encode().split() if lot == 0 else []
+                if words:
+                    first = turn % len(words)
+                    period = 1 + (len(words) - first) // (3 + turn % 8)
+                    words[first:] = [words[first + i % period] for i in range(len(words) - first)]
+                    text = b" ".join(words).decode()
+                planted.append(text)
+            return [planted]
+
+        return compute
+
+    return annotate(docs, start, [StructField("planted", StringType())]).select("doc_id", F.col("planted").alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detected(with_periods(docs))
+    # Runs come by start and period, so of the longest runs the first is wanted.
+    longest = F.array_max(F.transform("runs", lambda run: run["length"]))
+    first = F.element_at(F.filter("runs", lambda run: run["length"] == longest), 1)
+    first = F.when(F.size("runs") > 0, first)
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        first["start"].alias("start"),
+        first["length"].alias("length"),
+        first["period"].alias("period"),
+        F.floor(1000 * first["length"] / first["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
+    return found.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_rules": op2_rules,
@@ -194,5 +270,8 @@ QUERIES: dict[str, Query] = {
     "op8_langid": op8_langid,
     "op9_pieces": op9_pieces,
     "op10_decontaminate": op10_decontaminate,
+    "op11_importance": op11_importance,
+    "op12_periodic": op12_periodic,
+    "op13_packing": op13_packing,
 }
 ORACLES: dict[str, str] = {"op2_rules": OP2_SQL, "op10_decontaminate": OP10_SQL}
