@@ -93,6 +93,9 @@ def annotate(
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
 
+    if any("." in name for name in kept.columns):
+        # A dot in the name of an input column would be read as a field of it.
+        kept = kept.toDF(*[f"column {i}" if "." in name else name for i, name in enumerate(kept.columns)])
     return kept.mapInArrow(run, schema)
 
 
