@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 from tests.helpers import D, drop_line, put_drop, rows
 from ticketmart import schemas as S
 from ticketmart.operators.third_party import normalise
-from ticketmart.sources.drops import read_daily_sales, write_drops
+from ticketmart.session import scoped_settings
+from ticketmart.sources.drops import (
+    LISTING_SETTINGS,
+    MAX_DAYS_IN_GLOB,
+    check_widths,
+    drop_lines,
+    drop_rows,
+    drops_glob,
+    list_drops,
+    parsed_lines,
+    read_daily_sales,
+    write_drops,
+)
 
 
 def files_opened(frame) -> int:
@@ -163,3 +175,40 @@ def test_folder_drops_written_by_spark_read_back(spark, tmp_path):
     put_drop(tmp_path, "05032020", "r2", [drop_line("77", "2020-05-03")])
     found = normalise(read_daily_sales(spark, str(tmp_path), D(2020, 5, 3)))
     assert {row[0]: row[1] for row in found.groupBy("reseller_id").count().collect()} == {"r1": 50, "r2": 1}
+
+
+def test_listing_by_day_opens_no_other_folder(spark, folder):
+    assert drops_glob("f/", [D(2020, 5, 3), D(2020, 5, 4)]) == "f/{DailySales,drop=DailySales}_{05032020,05042020}_*.csv"
+    assert drops_glob("f", [D(2020, 5, 3), None]) == drops_glob("f") == "f/{DailySales,drop=DailySales}_*_*.csv"
+    write_drops(read_daily_sales(spark, str(folder), D(2020, 5, 4)).drop("source_file").withColumn("drop", F.lit("DailySales_05062020_r3.csv")), str(folder))
+    assert sorted(rows(list_drops(spark, str(folder), [D(2020, 5, 3)]), "file_day")) == [(D(2020, 5, 3),)] * 2
+    assert rows(list_drops(spark, str(folder), [D(2020, 5, 6), D(1999, 1, 1)]), "file_day") == [(D(2020, 5, 6),)]
+    assert list_drops(spark, str(folder), [D(1999, 1, 1)]).isEmpty() and list_drops(spark, str(folder), []).isEmpty()
+    assert rows(list_drops(spark, str(folder)), "file_day") == sorted(
+        [(D(2020, 5, 3),), (D(2020, 5, 3),), (D(2020, 5, 4),), (D(2020, 5, 6),), (None,)], key=repr
+    )
+    many = [D(2020, 5, 3) + (D(2020, 5, 4) - D(2020, 5, 3)) * i for i in range(MAX_DAYS_IN_GLOB + 1)]
+    assert rows(read_daily_sales(spark, str(folder), days=many), S.TRANSACTION_ID) == [("1",)] * 4 + [("2",)]
+
+
+def test_the_tasks_of_a_listing_do_not_grow_with_the_bytes(spark, tmp_path):
+    def tasks(folder) -> int:
+        with scoped_settings(spark, {"spark.sql.files.maxPartitionBytes": "20KB", "spark.sql.files.openCostInBytes": "0"}):
+            with scoped_settings(spark, LISTING_SETTINGS):
+                return list_drops(spark, str(folder)).rdd.getNumPartitions()
+
+    for size, name in ((1, "small"), (400, "large")):
+        for i in range(30):
+            put_drop(tmp_path / name, "05032020", f"r{i}", [drop_line(str(n), "2020-05-03") for n in range(size)])
+    assert tasks(tmp_path / "large") <= 2 * spark.sparkContext.defaultParallelism
+    assert tasks(tmp_path / "small") <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_marked_rows_keep_header_lines_without_cells(spark, folder):
+    cells = parsed_lines(drop_lines(spark, str(folder)))
+    marked = drop_rows(cells, marked=True)
+    check_widths(marked)
+    assert marked.where("is_header").count() == 4
+    assert marked.where("is_header").select(F.coalesce(*[F.col(f"`{name}`") for name in S.NARROW_LAYOUT]).alias("cell")).where("cell IS NOT NULL").isEmpty()
+    plain = read_daily_sales(spark, str(folder))
+    assert rows(marked.where("NOT is_header"), *plain.columns) == rows(plain)

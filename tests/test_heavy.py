@@ -1,0 +1,91 @@
+"""Keys that hold a large share of all facts."""
+
+from __future__ import annotations
+
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import rows
+from ticketmart.datagen import drop_lines, generate_tables, row_counts
+from ticketmart.operators.heavy import heavy_keys, lookup_heavy
+from ticketmart.operators.lookup import lookup_nullable
+from ticketmart.operators.own_sales import enrich_own_sales
+from ticketmart.operators.third_party import enrich_third_party, normalise
+from ticketmart.session import scoped_settings
+
+# Adaptive execution may neither split nor merge partitions, and nothing is broadcast.
+PLAIN = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    made = generate_tables(spark, scale=4.0, heaviest=1 / 3)
+    return {name: frame.cache() for name, frame in made.items()}
+
+
+def share(frame, key):
+    counts = [row["count"] for row in frame.groupBy(key).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def rows_of_tasks(frame):
+    found = {row["task"]: row["n"] for row in frame.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()}
+    return sorted(found.values())
+
+
+def test_made_up_keys_have_the_share_asked_for(spark, tables):
+    counts = row_counts(4.0)
+    assert share(tables["sales"], "customer_id") == pytest.approx(1 / 3, abs=0.01)
+    assert tables["sales"].select("customer_id").distinct().count() > counts["customers"] // 4
+    assert share(tables["sales"], "event_id") == pytest.approx(1 / 3, abs=0.02)
+    for key, table in (("customer_id", "customers"), ("event_id", "events")):
+        assert tables["sales"].join(tables[table], key, "left_anti").isEmpty()
+    assert share(drop_lines(spark, 40, 4.0, heaviest=0.5), "Event Name") == pytest.approx(0.5, abs=0.03)
+    even = generate_tables(spark, scale=4.0)["sales"]
+    assert share(even, "customer_id") < 0.01
+    for wrong in (0.01, 1.0):
+        with pytest.raises(ValueError, match="heaviest"):
+            generate_tables(spark, heaviest=wrong)
+
+
+def test_heavy_keys_are_found(spark):
+    facts = spark.range(0, 30_000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "if(id % 5 = 0, null, 'x') as l")
+    hot = spark.sql("SELECT xxhash64('hot') AS a, xxhash64('hot', 'x') AS b").first()
+    assert hot["a"] in heavy_keys(facts, ["k"], 0.05) and len(heavy_keys(facts, ["k"], 0.05)) <= 20
+    assert hot["b"] in heavy_keys(facts, ["k", "l"], 0.05)
+    assert heavy_keys(facts.limit(0), ["k"], 0.05) == []
+
+
+def test_a_heavy_key_is_dealt_over_many_tasks(spark, tables):
+    sales, customers = tables["sales"].select("sale_id", "customer_id"), tables["customers"]
+    with scoped_settings(spark, PLAIN):
+        plain = lookup_nullable(sales, customers, "customer_id", spread_by="sale_id")
+        dealt = lookup_heavy(sales, customers, "customer_id", spread_by="sale_id", share=0.02)
+        assert max(rows_of_tasks(plain)) > 4 * statistics.median(rows_of_tasks(plain))
+        assert max(rows_of_tasks(dealt)) < 2.5 * statistics.median(rows_of_tasks(dealt))
+        assert dealt.columns == [*sales.columns, "customer_name"] and rows(dealt, *plain.columns) == rows(plain)
+
+
+def test_keys_that_match_several_rows_or_none(spark):
+    facts = spark.range(0, 3000, 1, 4).selectExpr(
+        "cast(id as string) as id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null when id % 2 = 0 then 'gone' else cast(id % 7 as string) end as k"
+    )
+    dimension = spark.createDataFrame([("hot", 1), ("hot", 2), ("3", 3), (None, 4)], "k string, v int")
+    found = lookup_heavy(facts, dimension, "k", spread_by="id", share=0.1)
+    assert rows(found, "id", "k", "v") == rows(lookup_nullable(facts, dimension, "k", spread_by="id"), "id", "k", "v")
+    assert rows(lookup_heavy(facts, dimension.limit(0), "k", spread_by="id", share=0.1)) == rows(facts.withColumn("v", F.lit(None).cast("int")))
+
+
+def test_enrichments_with_heavy_keys_give_the_same_rows(spark, tables):
+    own = enrich_own_sales(tables["sales"], tables)
+    lines = normalise(drop_lines(spark, 30, 4.0, heaviest=0.5).withColumnRenamed("drop", "source_file"))
+    third_party = enrich_third_party(lines, tables)
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert rows(enrich_own_sales(tables["sales"], tables, heavy_share=0.05)) == rows(own)
+        assert rows(enrich_third_party(lines, tables, heavy_share=0.05)) == rows(third_party)

@@ -90,3 +90,13 @@ def test_ranges_are_even():
     cuts = uuid_ranges("k", 4)
     counts = [duckdb.sql(f"SELECT count(*) FROM (SELECT unnest({keys}) AS k) WHERE {cut}").fetchall()[0][0] for cut in cuts]
     assert sum(counts) == 2000 and min(counts) > 400
+
+
+def test_fingerprints_of_days_are_made_by_the_database():
+    assert JdbcSource(Session(), OPTIONS).sales_fingerprints() is None
+    source = JdbcSource(Session(), OPTIONS, schema="main", row_hash="hash(sale_id) % 1000")
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE sales (sale_id VARCHAR, ticket_quantity INT, total_amount DECIMAL(10,2), sale_date TIMESTAMP)")
+    connection.execute("INSERT INTO sales VALUES ('a', 2, 1.50, '2020-01-01 10:00'), ('b', 3, 2.25, '2020-01-01 23:59'), ('c', 1, 1, NULL)")
+    found = connection.execute(source.fingerprint_query()).fetchall()
+    assert sorted((str(row[0]), row[1], row[2], float(row[3])) for row in found) == [("2020-01-01", 2, 5, 3.75), ("None", 1, 1, 1.0)]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import dataclasses
+import os
 from decimal import Decimal
 from pathlib import Path
 
@@ -11,6 +13,7 @@ from ticketmart.plans import loads
 from ticketmart.plans.mart import Mart
 from ticketmart.plans.refresh import daily_refresh, initial_load
 from ticketmart.session import scoped_settings
+from ticketmart.sources.catalog import folder_beside
 
 OWN = [
     own_sale("s1", T(2020, 1, 1, 9), "r1"),
@@ -386,3 +389,70 @@ def test_the_time_of_own_sales_can_be_stored(spark, database, source, tmp_path):
     daily_refresh(mart)
     times = {row.sale_id: row.sale_datetime for row in mart.table("sales").collect()}
     assert times["s4"] == T(2020, 1, 8, 23, 59, 59) and times["1"] is None
+
+
+def test_a_load_scans_the_text_once(mart, monkeypatch):
+    deliver(mart, 1, "r1", "1")
+    deliver(mart, 2, "r2", "2", layout=S.WIDE_LAYOUT)
+    loads.refresh_dimensions(mart)
+    scans = []
+    drop_lines = loads.drop_lines
+    monkeypatch.setattr(loads, "drop_lines", lambda *args, **more: scans.append(1) or drop_lines(*args, **more))
+    with loads.staged_drops(mart, "load") as drops:
+        assert "FileScan text" not in plan_of(loads.enriched_drops(mart, drops)) and len(scans) == 1
+        assert rows(drops, "sale_id", "reseller_id") == [("1", "r1"), ("2", "r2")]
+    loads.load_third_party(mart)
+    assert len(scans) == 2 and mart.table("sales_csv").count() == 4
+    assert not Path(folder_beside(mart.spark, mart.name(loads.STAGED_DROPS)).removeprefix("file:")).exists()
+
+
+def test_a_load_of_an_unsound_drop_publishes_nothing(mart):
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    before = state(mart)
+    path = put_drop(Path(mart.drops), "01022020", "r2", [drop_line("2", "2020-01-02")])
+    deliver(mart, 3, "r1", "3")
+    text = path.read_text()
+    path.write_text(text + "4,Gala,2,30.5,web,Kim,Berg,,extra,2020-01-02\r\n")
+    with pytest.raises(ValueError, match="another width than its header"):
+        daily_refresh(mart)
+    assert {**state(mart)} == before
+    path.write_text(text)
+    daily_refresh(mart)
+    assert {row.sale_id for row in mart.table("sales_csv").collect()} == {"1", "2", "3"}
+
+
+def test_a_redelivery_of_the_same_time_and_another_length_is_found(mart):
+    deliver(mart, 1, "r1", "1")
+    initial_load(mart)
+    (path,) = Path(mart.drops).iterdir()
+    times = path.stat().st_mtime_ns
+    deliver(mart, 1, "r1", "1", "2")
+    os.utime(path, ns=(times, times))
+    daily_refresh(mart)
+    assert {row.sale_id for row in mart.table("sales").where("data_source = '3rd party'").collect()} == {"1", "2"}
+
+
+def test_a_time_column_can_be_added_later(mart, source, spark, tmp_path):
+    deliver(mart, 1, "r1", "1")
+    initial_load(at_time(mart, source, "2020-01-07 00:00:00"))
+    timed = dataclasses.replace(mart, keep_sale_time=True)
+    daily_refresh(timed)
+    times = {row.sale_id: row.sale_datetime for row in mart.table("sales").collect()}
+    assert times["s1"] is None and times["s4"] == T(2020, 1, 8, 23, 59, 59) and times["s2"] == T(2020, 1, 7)
+    with pytest.raises(ValueError, match="sale_datetime"):
+        loads.load_sales_daily(mart)  # and not be lost again
+
+
+def test_ten_late_drops_leave_a_day_with_one_file(mart, spark):
+    deliver(mart, 12, "r1", "1")
+    for i in range(1, 12):
+        deliver(mart, i, "r1", str(i), created=1)
+    with scoped_settings(spark, {"spark.sql.files.maxPartitionBytes": "1KB"}):  # a task for each stored file
+        initial_load(mart)
+    before, data = third_party_files(mart), rows(mart.table("sales"))
+    assert len([day for day, _ in before if day == D(2020, 1, 1)]) > 3
+    loads.compact_sales(mart)
+    after = third_party_files(mart)
+    assert len(after) == 2 and rows(mart.table("sales")) == data
+    assert {name for day, name in after & before} == {name for day, name in before if day == D(2020, 1, 12)}

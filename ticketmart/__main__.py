@@ -29,6 +29,7 @@ COMMANDS: dict[str, Callable[[Mart], None]] = {
     "third-party-daily": third_party_step,
     "sales-initial": loads.load_sales,
     "sales-daily": loads.load_sales_daily,
+    "compact": loads.compact_sales,
 }
 
 
@@ -46,6 +47,10 @@ def parser() -> argparse.ArgumentParser:
     result.add_argument("--customer-parts", type=int, help="parallel reads of customers, if others than --parts")
     result.add_argument("--fetch-size", type=int, help="rows that are fetched from the database at a time")
     result.add_argument("--keep-sale-time", action="store_true", help="store the time of own sales as sale_datetime")
+    result.add_argument("--agreements-in-force", action="store_true", help="only agreements of the day of the sale")
+    result.add_argument("--reconcile-sales", action="store_true", help="find own sales that came, changed or went on any day")
+    result.add_argument("--last-deliveries", action="store_true", help="take a sale of several drops from the last one")
+    result.add_argument("--row-hash", help="SQL of the database: a whole number of all columns of a sale")
     return result
 
 
@@ -58,8 +63,18 @@ def mart_from(spark: SparkSession, args: argparse.Namespace) -> Mart:
         options["password"] = password
     splits = {"sales": "sale_id", "customers": "customer_id"}
     table_parts = {"customers": args.customer_parts} if args.customer_parts else {}
-    source = JdbcSource(spark, options, args.jdbc_schema, splits, args.parts, table_parts)
-    return Mart(spark, args.database, source, args.drops, args.checkpoint, args.keep_sale_time)
+    source = JdbcSource(spark, options, args.jdbc_schema, splits, args.parts, table_parts, args.row_hash)
+    return Mart(
+        spark,
+        args.database,
+        source,
+        args.drops,
+        args.checkpoint,
+        args.keep_sale_time,
+        args.agreements_in_force,
+        args.reconcile_sales,
+        args.last_deliveries,
+    )
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

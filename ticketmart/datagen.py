@@ -7,6 +7,8 @@ computed from the number of the row it points to, without a join.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,25 @@ MAX_DROP_ROWS = 300
 class _Values:
     """Hash-based values of one seed."""
 
-    def __init__(self, seed: int) -> None:
-        self.seed = seed
+    def __init__(self, seed: int, heaviest: float | None = None) -> None:
+        self.seed, self.heaviest = seed, heaviest
+
+    def key(self, label: str, row: Column, below: int) -> Column:
+        """Number of another table's row: uniform, or skewed with ``heaviest`` as row 0's share.
+
+        The other rows share the rest by a power law, row r about 1 / r: the inverse of its
+        distribution turns a uniform number into a row, so no row is looked up. Row 1 has
+        the most of them; too small a share for row 0 is refused.
+        """
+        if self.heaviest is None or below < 2:
+            return self.number(label, row, below)
+        rest = math.log(2) / math.log(below) * (1 - self.heaviest)
+        if not rest <= self.heaviest < 1:
+            raise ValueError(f"the heaviest of {below} keys needs a share from {rest:.3f} up to 1")
+        uniform = (self.number(label, row, 1 << 40) + 0.5) / float(1 << 40)
+        lot = (uniform - self.heaviest) / (1 - self.heaviest)
+        other = F.least(F.floor(F.pow(F.lit(float(below)), lot)), F.lit(below - 1))
+        return F.when(uniform < self.heaviest, F.lit(0)).otherwise(other).cast("long")
 
     def number(self, label: str, row: Column, below: int) -> Column:
         return F.pmod(F.xxhash64(F.lit(self.seed), F.lit(label), row), F.lit(below))
@@ -63,9 +82,15 @@ def _named(kind: str, row: Column) -> Column:
     return F.concat(F.lit(f"{kind} "), row.cast("string"))
 
 
-def generate_tables(spark: SparkSession, scale: float = 1.0, seed: int = 0) -> dict[str, DataFrame]:
-    """All source tables with consistent keys; every third sale has no reseller."""
-    rows, v, row = row_counts(scale), _Values(seed), F.col("id")
+def generate_tables(
+    spark: SparkSession, scale: float = 1.0, seed: int = 0, heaviest: float | None = None
+) -> dict[str, DataFrame]:
+    """All source tables with consistent keys; every third sale has no reseller.
+
+    ``heaviest`` is the share of sales that the most frequent customer has, and the most
+    frequent event; without it customers and events are even.
+    """
+    rows, v, row = row_counts(scale), _Values(seed, heaviest), F.col("id")
 
     def table(name: str, count: int | None = None, **columns: Column) -> DataFrame:
         schema = S.SOURCE_SCHEMAS[name]
@@ -75,7 +100,7 @@ def generate_tables(spark: SparkSession, scale: float = 1.0, seed: int = 0) -> d
     def other(name: str, label: str) -> Column:
         return v.uuid(name, v.number(label, row, rows[name]))
 
-    event = v.number("sale event", row, rows["events"])
+    event = v.key("sale event", row, rows["events"])
     start = F.date_add(F.lit("2017-01-01").cast("date"), v.number("start", row, 730).cast("int"))
     first_second = F.unix_seconds(F.lit(FIRST_DAY).cast("timestamp"))
     return {
@@ -126,7 +151,7 @@ def generate_tables(spark: SparkSession, scale: float = 1.0, seed: int = 0) -> d
             venue_id=v.uuid("venues", _venue_of(v, event, rows)),
             organizer_id=other("organizers", "sale organizer"),
             reseller_id=F.when(row % 3 != 0, other("resellers", "sale reseller")),
-            customer_id=other("customers", "sale customer"),
+            customer_id=v.uuid("customers", v.key("sale customer", row, rows["customers"])),
             sales_channel_id=v.uuid("sales_channels", v.number("sale channel", row, len(CHANNELS))),
             ticket_quantity=v.between("tickets", row, 1, 10),
             total_amount=_hundredths(v.between("amount", row, 1, 9_999_999), S.MONEY),
@@ -139,9 +164,14 @@ def _venue_of(v: _Values, event: Column, rows: dict[str, int]) -> Column:
     return v.number("event venue", event, rows["venues"])
 
 
-def drop_lines(spark: SparkSession, n_files: int, scale: float = 1.0, seed: int = 0) -> DataFrame:
-    """Lines of ``n_files`` drops of 10 to 300 rows each, with the name of their drop."""
-    rows, v, file = row_counts(scale), _Values(seed), F.col("file")
+def drop_lines(
+    spark: SparkSession, n_files: int, scale: float = 1.0, seed: int = 0, heaviest: float | None = None
+) -> DataFrame:
+    """Lines of ``n_files`` drops of 10 to 300 rows each, with the name of their drop.
+
+    ``heaviest`` is the share of lines that the most frequent event has.
+    """
+    rows, v, file = row_counts(scale), _Values(seed, heaviest), F.col("file")
     line = F.col("line")
     channel = v.choice("drop channel", line, DROP_CHANNELS)
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), v.number("drop day", file, DROP_DAYS).cast("int"))
@@ -154,7 +184,7 @@ def drop_lines(spark: SparkSession, n_files: int, scale: float = 1.0, seed: int
     )
     return lines.select(
         line.cast("string").alias(S.TRANSACTION_ID),
-        _named("Show", v.number("drop event", line, rows["events"])).alias(S.EVENT_NAME),
+        _named("Show", v.key("drop event", line, rows["events"])).alias(S.EVENT_NAME),
         v.between("drop tickets", line, 1, 5).cast("string").alias(S.TICKETS),
         _hundredths(v.between("drop amount", line, 2000, 20000), S.MONEY).cast("string").alias(S.AMOUNT),
         channel.alias(S.CHANNEL),
@@ -168,5 +198,7 @@ def drop_lines(spark: SparkSession, n_files: int, scale: float = 1.0, seed: int
     )
 
 
-def generate_daily_files(spark: SparkSession, folder: str, n_files: int, scale: float = 1.0, seed: int = 0) -> None:
-    write_drops(drop_lines(spark, n_files, scale, seed), folder)
+def generate_daily_files(
+    spark: SparkSession, folder: str, n_files: int, scale: float = 1.0, seed: int = 0, heaviest: float | None = None
+) -> None:
+    write_drops(drop_lines(spark, n_files, scale, seed, heaviest), folder)

@@ -3,6 +3,7 @@
 from ticketmart.functions.columns import (
     any_of,
     drop_day,
+    drop_path,
     full_name,
     normal_channel,
     reseller_from_file,
@@ -10,4 +11,4 @@ from ticketmart.functions.columns import (
     seller_type,
 )
 
-__all__ = ["any_of", "drop_day", "full_name", "normal_channel", "reseller_from_file", "sale_day", "seller_type"]
+__all__ = ["any_of", "drop_day", "drop_path", "full_name", "normal_channel", "reseller_from_file", "sale_day", "seller_type"]

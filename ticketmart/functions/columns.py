@@ -20,6 +20,13 @@ def drop_day(source_file: Column) -> Column:
     return F.try_to_timestamp(digits, F.lit(S.DROP_DAY_FORMAT)).cast("date")
 
 
+def drop_path(source_file: Column) -> Column:
+    """Path of the drop that a file is, or lies in; both forms of a local path are one."""
+    path = F.regexp_replace(source_file, "^file:/+", "file:/")
+    found = F.regexp_extract(path, f"^.*{S.DROP_NAME_PATTERN}", 0)
+    return F.when(found != "", found).otherwise(path)
+
+
 def full_name(first: Column, last: Column) -> Column:
     """Both parts with a space between; NULL as soon as one part is NULL."""
     return F.concat(first, F.lit(" "), last)

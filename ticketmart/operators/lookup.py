@@ -27,30 +27,37 @@ def lookup_nullable(facts: DataFrame, dimension: DataFrame, *keys: str, spread_b
     them to one task. A second join key spreads them by ``spread_by``; it is 0 on
     both sides wherever the keys are set, so the matches stay the same.
     """
-    spread_facts = facts.withColumn(
-        _SPREAD, F.when(_any_null(facts, keys), F.xxhash64(spread_by)).otherwise(F.lit(0).cast("long"))
-    )
+    spread_facts = facts.withColumn(_SPREAD, spread_key(any_null(facts, keys), spread_by))
     # Not a plain literal: the optimizer would fold it out of the join keys.
-    flat_dimension = dimension.withColumn(_SPREAD, _any_null(dimension, keys).cast("long"))
+    flat_dimension = dimension.withColumn(_SPREAD, any_null(dimension, keys).cast("long"))
     return spread_facts.join(flat_dimension, on=[*keys, _SPREAD], how="left").drop(_SPREAD)
 
 
-def _any_null(frame: DataFrame, keys: Sequence[str]) -> Column:
+def spread_key(unmatched: Column, spread_by: str) -> Column:
+    """Join key that is 0 for facts that may match and spreads the others."""
+    return F.when(unmatched, F.xxhash64(spread_by)).otherwise(F.lit(0).cast("long"))
+
+
+def any_null(frame: DataFrame, keys: Sequence[str]) -> Column:
     found = frame[keys[0]].isNull()
     for key in keys[1:]:
         found = found | frame[key].isNull()
     return found
 
 
+def broadcast_limit(frame: DataFrame) -> int:
+    """Bytes below which Spark broadcasts a side of a join."""
+    return frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def known_small(*frames: DataFrame) -> bool:
     """Whether all frames together are known to stay below the broadcast threshold.
 
     Uses the planner's own estimate, which for stored tables comes from file sizes
     and for sources of unknown size is above any threshold.
     """
-    conf = frames[0].sparkSession._jsparkSession.sessionState().conf()
     sizes = [
         int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         for frame in frames
     ]
-    return sum(sizes) <= conf.autoBroadcastJoinThreshold()
+    return sum(sizes) <= broadcast_limit(frames[0])

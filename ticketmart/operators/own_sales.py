@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ticketmart import functions as C
 from ticketmart import schemas as S
+from ticketmart.operators.heavy import lookup_heavy
+from ticketmart.operators.in_force import Periods, by_month, lookup_in_force
 from ticketmart.operators.layout import clustered
 from ticketmart.operators.lookup import known_small, lookup, lookup_nullable
 
@@ -56,6 +58,15 @@ def with_agreement(sales: DataFrame, partnerships: DataFrame) -> DataFrame:
     return lookup_nullable(sales, partnerships, "organizer_id", "reseller_id", spread_by="sale_id")
 
 
+def agreement_periods(partnerships: DataFrame) -> Periods:
+    return by_month(partnerships, "start_date", "end_date")
+
+
+def with_agreement_in_force(sales: DataFrame, agreements: Periods) -> DataFrame:
+    """As ``with_agreement``, but only agreements that hold on the day of the sale."""
+    return lookup_in_force(sales, agreements, "organizer_id", "reseller_id", day="sale_date", spread_by="sale_id")
+
+
 def with_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
     return lookup(sales, customers, "customer_id")
 
@@ -68,10 +79,19 @@ def with_sale_day(sales: DataFrame, keep_time: bool = False) -> DataFrame:
 
 
 def enrich_own_sales(
-    sales: DataFrame, tables: Tables, cluster_by: Sequence[str] = (), *, keep_time: bool = False
+    sales: DataFrame,
+    tables: Tables,
+    cluster_by: Sequence[str] = (),
+    *,
+    keep_time: bool = False,
+    in_force: bool = False,
+    heavy_share: float | None = None,
 ) -> DataFrame:
     """All lookups. Customers, the one large dimension, come while rows are narrow;
-    agreements, which may multiply rows, come last.
+    agreements, which may multiply rows, come last; with ``in_force`` just those that hold
+    on the day of the sale. ``heavy_share`` deals customers with more than that share of all
+    sales over many tasks, where customers are too many to be broadcast; it takes one more
+    pass over the sales' customers.
 
     ``cluster_by`` names the partition columns of the table to be written. When the
     lookups after the customers are all broadcast, rows are brought together before
@@ -79,15 +99,23 @@ def enrich_own_sales(
     small is broadcast even where the planner counts the columns of a join as well.
     """
     rows = with_seller_type(with_sale_day(sales, keep_time))
-    rows = with_customer(rows, tables["customers"])
-    names = ("events", "sales_channels", "resellers", "partnerships")
-    cluster_early = all(known_small(tables[name]) for name in names)
+    customers = tables["customers"]
+    if heavy_share is not None and not known_small(customers):
+        rows = lookup_heavy(rows, customers, "customer_id", spread_by="sale_id", share=heavy_share)
+    else:
+        rows = with_customer(rows, customers)
+    agreements = agreement_periods(tables["partnerships"]) if in_force else None
+    names = ["events", "sales_channels", "resellers", *([] if in_force else ["partnerships"])]
+    cluster_early = all(known_small(tables[name]) for name in names) and (agreements is None or agreements.is_small)
     if cluster_early:
         rows = clustered(rows, cluster_by)
-        tables = {name: F.broadcast(tables[name]) for name in names}
+        tables = {**tables, **{name: F.broadcast(tables[name]) for name in names}}
     rows = with_event_type(rows, tables["events"])
     rows = with_channel(rows, tables["sales_channels"])
     rows = with_reseller(rows, tables["resellers"])
-    rows = with_agreement(rows, tables["partnerships"])
+    if agreements is None:
+        rows = with_agreement(rows, tables["partnerships"])
+    else:
+        rows = with_agreement_in_force(rows, agreements)
     rows = rows.select(*S.OWN_COLUMNS, *(["sale_datetime"] if keep_time else []))
     return rows if cluster_early else clustered(rows, cluster_by)

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ticketmart import functions as C
 from ticketmart import schemas as S
+from ticketmart.operators.heavy import lookup_heavy
+from ticketmart.operators.in_force import Periods, lookup_in_force
 from ticketmart.operators.layout import clustered
 from ticketmart.operators.lookup import known_small, lookup, lookup_nullable
-from ticketmart.operators.own_sales import reseller_columns
+from ticketmart.operators.own_sales import agreement_periods, reseller_columns
 
 Tables = Mapping[str, DataFrame]
 
@@ -41,6 +43,11 @@ def with_agreements(rows: DataFrame, partnerships: DataFrame) -> DataFrame:
     return lookup(rows, partnerships, "reseller_id")
 
 
+def with_agreements_in_force(rows: DataFrame, agreements: Periods) -> DataFrame:
+    """As ``with_agreements``, but only agreements that hold on the day of the sale."""
+    return lookup_in_force(rows, agreements, "reseller_id", day="sale_date", spread_by="sale_id")
+
+
 def with_reseller(rows: DataFrame, resellers: DataFrame) -> DataFrame:
     return lookup(rows, reseller_columns(resellers), "reseller_id")
 
@@ -71,20 +78,39 @@ def with_reseller_profile(rows: DataFrame, resellers: DataFrame, partnerships: D
     return lookup(rows, profile, "reseller_id")
 
 
-def enrich_third_party(rows: DataFrame, tables: Tables, cluster_by: Sequence[str] = ()) -> DataFrame:
+def enrich_third_party(
+    rows: DataFrame,
+    tables: Tables,
+    cluster_by: Sequence[str] = (),
+    *,
+    in_force: bool = False,
+    heavy_share: float | None = None,
+) -> DataFrame:
     """The stored third-party columns plus ``file_day``.
 
     The organizer's name is not among them, so organizers are not joined. As with
     own sales, rows are brought together for ``cluster_by`` before the lookups add
-    columns and rows, unless a lookup is too large to be broadcast.
+    columns and rows, unless a lookup is too large to be broadcast. With ``in_force``
+    only agreements that hold on the day of the sale are taken; a sale on a day without
+    one keeps its reseller and has no organizer. ``heavy_share`` deals events with more than
+    that share of all lines over many tasks, where events are too many to be broadcast.
     """
     events, resellers, partnerships = tables["events"], tables["resellers"], tables["partnerships"]
-    cluster_early = known_small(events) and known_small(resellers, partnerships)
+    agreements = agreement_periods(partnerships) if in_force else None
+    small = known_small(resellers) and agreements.is_small if agreements else known_small(resellers, partnerships)
+    cluster_early = known_small(events) and small
     if cluster_early:
         rows = clustered(rows, cluster_by)
         events = F.broadcast(events)
-    rows = with_event(rows, events)
-    rows = with_reseller_profile(rows, resellers, partnerships)
+    if heavy_share is not None and not known_small(events):
+        rows = lookup_heavy(rows, events, "event_name", spread_by="sale_id", share=heavy_share)
+    else:
+        rows = with_event(rows, events)
+    if agreements is None:
+        rows = with_reseller_profile(rows, resellers, partnerships)
+    else:
+        rows = with_reseller(rows, F.broadcast(resellers) if cluster_early else resellers)
+        rows = with_agreements_in_force(rows, agreements)
     rows = rows.withColumn("seller_type", F.lit(S.SOLD_BY_RESELLER))
     rows = rows.select(*S.THIRD_PARTY_COLUMNS, "file_day")
     return rows if cluster_early else clustered(rows, cluster_by)

@@ -7,6 +7,7 @@ table it wrote.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -72,15 +73,23 @@ def new_mart(spark: SparkSession, sf_dir: str, drops: str = "", streamed: bool =
 
 
 def deliver_drops(
-    spark: SparkSession, sf_dir: str, folder: str, when: Column | None = None, shift_days: int = 0
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    when: Column | None = None,
+    shift_days: int = 0,
+    name: Column | None = None,
 ) -> None:
     """Write the drops role as CSV drops, one region's in the wide layout.
 
-    ``shift_days`` moves the lines, but not their drops, to later days.
+    ``shift_days`` moves the lines, but not their drops, to later days; ``name`` gives the
+    drops other names.
     """
     lines = role(spark, sf_dir, "drops")
     if when is not None:
         lines = lines.where(when)
+    if name is not None:
+        lines = lines.withColumn("source_file", name)
     if shift_days:
         lines = lines.withColumn("created", F.date_add(F.to_date("created"), shift_days).cast("string"))
     lines = lines.withColumn(S.EVENT_ID, F.lit(None).cast("string")).withColumnRenamed("source_file", "drop")
@@ -246,6 +255,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# An agreement's days count from the first to the last; a missing one leaves that side open.
+_IN_FORCE = "coalesce(p.start_date <= {day}, TRUE) AND coalesce({day} <= p.end_date, TRUE) AND {day} IS NOT NULL"
+_OWN_IN_FORCE = _OWN_SELECT.replace(
+    "p.reseller_id = s.reseller_id", "p.reseller_id = s.reseller_id AND " + _IN_FORCE.format(day="CAST(s.sale_date AS DATE)")
+)
+
+
+@_query("own_sales_in_force", _with_roles(_OWN_IN_FORCE, *_OWN_ROLES))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only agreements that hold on the day of the sale."""
+    sales = role(spark, sf_dir, "sales")
+    return own_sales.enrich_own_sales(sales, shared_dimensions(spark, sf_dir), in_force=True)
+
+
 @_query(
     "own_sales_customer",
     _with_roles(
@@ -414,6 +437,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*S.THIRD_PARTY_COLUMNS)
 
 
+_THIRD_PARTY_IN_FORCE = _third_party_select("r_drop_lines").replace(
+    "p.reseller_id = n.reseller_id", "p.reseller_id = n.reseller_id AND " + _IN_FORCE.format(day="n.sale_date")
+)
+
+
+@_query("third_party_in_force", _with_roles(_THIRD_PARTY_IN_FORCE, "drop_lines", *_THIRD_PARTY_ROLES))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only agreements that hold on the day of the sale; without one there is no organizer."""
+    rows = third_party.enrich_third_party(_normal_lines(spark, sf_dir), shared_dimensions(spark, sf_dir), in_force=True)
+    return rows.select(*S.THIRD_PARTY_COLUMNS)
+
+
 # Union.
 
 
@@ -562,6 +597,44 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_sales(mart)
 
 
+@_query("sales_reconciled", _sales_oracle("drops"))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source whose old sales come late, change and go: the daily load brings in all of it.
+
+    The initial load sees a source without some sales, with other amounts for some, and with
+    sales that are taken away later, some of them on days that have no others.
+    """
+    final = mart_in(spark, sf_dir, new_database(spark), shared_drops(spark, sf_dir))
+
+    def source_before(name: str) -> DataFrame:
+        table = final.source(name)
+        if name != "sales":
+            return table
+        lot = F.crc32("sale_id") % 50
+        gone = table.where(lot == 2).withColumn("sale_id", F.concat("sale_id", F.lit("-gone")))
+        alone = gone.withColumn("sale_date", F.col("sale_date") - F.expr("INTERVAL '9' DAY"))
+        amount = F.when(lot == 1, F.col("total_amount") + 1).otherwise(F.col("total_amount")).cast(S.MONEY)
+        return table.where(lot != 0).withColumn("total_amount", amount).unionByName(gone).unionByName(alone)
+
+    initial_load(dataclasses.replace(final, source=source_before, reconcile_sales=True))
+    daily_refresh(dataclasses.replace(final, reconcile_sales=True))
+    return _stored_sales(final)
+
+
+_SECOND_NAME = "substr(source_file, 1, 13) || '02' || substr(source_file, 16)"
+_TWICE_DELIVERED = f"(SELECT * REPLACE (CASE WHEN is_wide = 1 THEN {_SECOND_NAME} ELSE source_file END AS source_file) FROM r_drops)"
+
+
+@_query("sales_last_deliveries", _with_roles(_sales_select(_TWICE_DELIVERED), "drops", "organizers", *_OWN_ROLES))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region's drops come again, a day later by their names; each sale is kept once, from these."""
+    mart = dataclasses.replace(new_mart(spark, sf_dir), last_deliveries=True)
+    deliver_drops(spark, sf_dir, mart.drops)
+    deliver_drops(spark, sf_dir, mart.drops, F.col("is_wide") == 1, name=F.expr(_SECOND_NAME))
+    initial_load(mart)
+    return _stored_sales(mart)
+
+
 # Partitions and watermarks.
 
 
@@ -588,6 +661,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@_query(
+    "partition_new_column",
+    _with_roles(
+        """SELECT sale_id, CAST(sale_date AS DATE) AS sale_date, total_amount,
+            CASE WHEN CAST(sale_date AS DATE) = (SELECT max(CAST(sale_date AS DATE)) FROM r_sales)
+                THEN ticket_quantity END AS ticket_quantity
+        FROM r_sales""",
+        "sales",
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store all sales without a column, then the last day again with it."""
+    table = new_mart(spark, sf_dir).name("amounts")
+    rows = own_sales.with_sale_day(role(spark, sf_dir, "sales")).select("sale_date", "sale_id", "total_amount", "ticket_quantity")
+    upsert_partitions(rows.drop("ticket_quantity"), table, ["sale_date"])
+    last_day = rows.agg(F.max("sale_date")).scalar()
+    upsert_partitions(rows.where(F.col("sale_date") == last_day), table, ["sale_date"])
+    return spark.table(table)
+
+
 _DAYS = """
     SELECT 'B2B platform' AS data_source, CAST(sale_date AS DATE) AS sale_date FROM r_sales
     UNION ALL SELECT '3rd party', CAST(created AS DATE) FROM r_drops"""

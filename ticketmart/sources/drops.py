@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas as S
@@ -25,24 +25,46 @@ _QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted cell is doub
 _CELL_SCHEMA = ", ".join(f"{name} STRING" for name in _CELLS)
 
 
-def drops_glob(folder: str, day: dt.date | None = None) -> str:
-    stamp = day.strftime("%m%d%Y") if day else "*"
-    return f"{folder.rstrip('/')}/{{DailySales,drop=DailySales}}_{stamp}_*.csv"
+# More days than these are looked for by one pattern for all, and filtered.
+MAX_DAYS_IN_GLOB = 400
+
+
+def drops_glob(folder: str, days: Sequence[dt.date | None] | None = None) -> str:
+    """Pattern of all drops, or of those of some days: the others' folders are not listed."""
+    stamps = "*"
+    if days and None not in days and len(days) <= MAX_DAYS_IN_GLOB:
+        stamps = "{" + ",".join(day.strftime("%m%d%Y") for day in days) + "}"
+    return f"{folder.rstrip('/')}/{{DailySales,drop=DailySales}}_{stamps}_*.csv"
 
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+# A listing reads no content, so its files are dealt to tasks by number and not by bytes:
+# with a limit that no size reaches, there are as many tasks as the cluster runs at once.
+LISTING_SETTINGS = {"spark.sql.files.maxPartitionBytes": str(1 << 60)}
 
-def list_drops(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per drop file: ``source_file``, ``modified_at``, ``file_day``. No content is read."""
+
+def _read_drops(reader: DataFrameReader, folder: str, days: Sequence[dt.date | None] | None) -> DataFrame | None:
+    """The drops of some days or of all, or None where there is no such file."""
+    if days is not None and not days:
+        return None
     try:
-        files = spark.read.format("binaryFile").load(drops_glob(folder))
+        return reader.load(drops_glob(folder, days))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def list_drops(spark: SparkSession, folder: str, days: Sequence[dt.date | None] | None = None) -> DataFrame:
+    """One row per drop file: ``source_file``, ``modified_at``, ``length``, ``file_day``. No content is read."""
+    files = _read_drops(spark.read.format("binaryFile"), folder, days)
+    if files is None:
         files = spark.createDataFrame([], FILE_SCHEMA)
     path = F.col("path")
-    return files.select(path.alias("source_file"), F.col("modificationTime").alias("modified_at"), drop_day(path).alias("file_day"))
+    return files.select(
+        path.alias("source_file"), F.col("modificationTime").alias("modified_at"), "length", drop_day(path).alias("file_day")
+    )
 
 
 def of_days(day: Column, since: dt.date | None, days: Sequence[dt.date | None] | None) -> Column:
@@ -55,6 +77,23 @@ def of_days(day: Column, since: dt.date | None, days: Sequence[dt.date | None] |
     return wanted
 
 
+def drop_lines(
+    spark: SparkSession,
+    folder: str,
+    *,
+    since: dt.date | None = None,
+    days: Sequence[dt.date | None] | None = None,
+) -> DataFrame:
+    """Lines of the drops: ``value`` and ``source_file``. Files of other days are not opened."""
+    lines = _read_drops(spark.read.format("text"), folder, days)
+    if lines is None:
+        lines = spark.createDataFrame([], "value string").withColumn(
+            "_metadata", F.struct(F.lit("").alias("file_path"))
+        )
+    path = F.col("_metadata.file_path")
+    return lines.where(of_days(drop_day(path), since, days)).select("value", path.alias("source_file"))
+
+
 def read_daily_sales(
     spark: SparkSession,
     folder: str,
@@ -68,19 +107,11 @@ def read_daily_sales(
     ``day`` takes the drops of one day, ``since`` those of that day and later and
     those whose names have no day, ``days`` those of the listed days (None stands
     for no day). All three leave out the other files before the scan. No drop gives
-    no row.
+    no row. Widths are checked in a pass of its own; a load does so on what it stages.
     """
-    try:
-        lines = spark.read.text(drops_glob(folder, day))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lines = spark.createDataFrame([], "value string").withColumn(
-            "_metadata", F.struct(F.lit("").alias("file_path"))
-        )
-    path = F.col("_metadata.file_path")
-    lines = lines.where(of_days(drop_day(path), since, days))
-    cells = parsed_lines(lines.select("value", path.alias("source_file")))
+    if day is not None:
+        days = [day] if days is None else [d for d in days if d == day]
+    cells = parsed_lines(drop_lines(spark, folder, since=since, days=days))
     check_widths(cells)
     return drop_rows(cells)
 
@@ -115,8 +146,8 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
 def check_widths(cells: DataFrame) -> None:
     """Stop if a file has no header or a line of another width than its header has.
 
-    A pass of its own, since a line can lie in another split than its file's header:
-    a narrow line with a stray comma looks like a wide one.
+    A line can lie in another split than its file's header, so this is told from all
+    lines of a file: a narrow line with a stray comma looks like a wide one.
     """
     files = cells.groupBy("source_file").agg(
         F.min("width").alias("narrowest"), F.max("width").alias("widest"), F.max("is_header").alias("headed")
@@ -127,16 +158,24 @@ def check_widths(cells: DataFrame) -> None:
         raise ValueError(f"{what} in {odd['source_file']}")
 
 
-def drop_rows(cells: DataFrame) -> DataFrame:
-    """Give the cells of each line their header names and leave the header lines out."""
-    wide = F.col("width") == len(S.WIDE_LAYOUT)
+def drop_rows(cells: DataFrame, *, marked: bool = False) -> DataFrame:
+    """Give the cells of each line their header names and leave the header lines out.
+
+    ``marked`` keeps header lines, all cells NULL, and what ``check_widths`` needs.
+    """
+    wide, is_row = F.col("width") == len(S.WIDE_LAYOUT), ~F.col("is_header")
 
     def cell(header: str) -> Column:
         at_wide = F.col(_CELLS[S.WIDE_LAYOUT.index(header)])
         at_narrow = F.col(_CELLS[S.NARROW_LAYOUT.index(header)])
+        if marked:
+            return F.when(is_row & wide, at_wide).when(is_row, at_narrow).alias(header)
         return F.when(wide, at_wide).otherwise(at_narrow).alias(header)
 
-    return cells.where(~F.col("is_header")).select(*[cell(header) for header in S.NARROW_LAYOUT], "source_file")
+    names = [cell(header) for header in S.NARROW_LAYOUT]
+    if marked:
+        return cells.select(*names, "source_file", "width", "is_header")
+    return cells.where(is_row).select(*names, "source_file")
 
 
 def _stop(what: str) -> Column:

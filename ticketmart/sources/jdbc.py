@@ -70,6 +70,8 @@ class JdbcSource:
 
     ``uuid_splits`` names the key column of each table that is read in parallel, and
     ``table_parts`` the number of reads where a table's differs from ``parts``.
+    ``row_hash`` is an expression of the database that makes a whole number of all columns
+    of a sale; with it, the fingerprints of days are computed there.
     """
 
     spark: SparkSession
@@ -78,6 +80,7 @@ class JdbcSource:
     uuid_splits: Mapping[str, str] = field(default_factory=dict)
     parts: int = 64
     table_parts: Mapping[str, int] = field(default_factory=dict)
+    row_hash: str | None = None
 
     def __call__(self, name: str) -> DataFrame:
         key = self.uuid_splits.get(name)
@@ -87,3 +90,18 @@ class JdbcSource:
             f"{self.schema}.{name}",
             predicates=uuid_ranges(key, self.table_parts.get(name, self.parts)) if key else None,
         )
+
+    def fingerprint_query(self) -> str:
+        return (
+            "SELECT CAST(sale_date AS DATE) AS sale_date, COUNT(*) AS n, SUM(ticket_quantity) AS tickets, "
+            f"SUM(total_amount) AS amount, SUM({self.row_hash}) AS digest "
+            f"FROM {self.schema}.sales GROUP BY CAST(sale_date AS DATE)"
+        )
+
+    def sales_fingerprints(self) -> DataFrame | None:
+        """As ``day_fingerprints`` of the sales, aggregated by the database; a row per day comes back."""
+        if self.row_hash is None:
+            return None
+        types = {"sale_date": "date", "n": "long", "tickets": "long", "amount": "decimal(38,2)", "digest": "decimal(38,0)"}
+        found = read_jdbc(self.spark, self.options, f"({self.fingerprint_query()}) AS days")
+        return found.selectExpr(*[f"CAST({name} AS {kind}) AS {name}" for name, kind in types.items()])
