@@ -34,10 +34,24 @@ def build_session(name: str = "ticketmart", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
+def _effective(spark: SparkSession, key: str) -> str | None:
+    value = spark.conf.get(key, None)
+    if value is None:
+        try:
+            value = spark.conf.get(key)
+        except Exception:  # no such setting, or one without a default
+            return None
+    return None if value.startswith("<") else value
+
+
 @contextmanager
 def scoped_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Apply session settings for one block and put the old ones back."""
-    before = {key: spark.conf.get(key, None) for key in settings}
+    """Apply session settings for one block and put the old ones back.
+
+    A setting that was not made gets its default, where it has one, rather than being
+    taken away: a thread of an earlier job may be reading it at that moment.
+    """
+    before = {key: _effective(spark, key) for key in settings}
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
