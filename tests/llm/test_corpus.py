@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import itertools
 import json
@@ -278,6 +279,67 @@ def test_toxic_words_are_found(spark):
     assert any("blarg" in text[s["start"] : s["stop"]].lower() for s in found[20]["spans"])
 
 
+def test_toxic_words_are_found_inside_long_ones(spark):
+    """Behind 64 bytes of a comma-joined run, and in a run without any punctuation."""
+    pick = random.Random(4)
+    clean = ["".join(pick.choices("aeiost", k=5)) for _ in range(200)]
+    rows = [(i, " ".join([*pick.choices(clean, k=40), *(["grumble", "blarg"] if i % 4 == 0 else [])])) for i in range(240)]
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.learned(spark.createDataFrame(rows, "doc_id long, text string"), known)
+    run = ",".join(clean[:30])
+    texts = ["blarg", f"{run},blarg", f"{run},blarg,{run} {run}", run, f"{run} {run}", "x" * 5000, ("é" * 70) + ",grumble"]
+    found = {r["doc_id"]: r for r in toxicity.tagged(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()}
+    assert [found[i]["predicted"] for i in range(len(texts))] == [1, 1, 1, 0, 0, 0, 1]
+    (span,) = found[2]["spans"]
+    assert texts[2][span["start"] : span["stop"]] == f"{run},blarg,{run}"
+
+
+@pytest.mark.parametrize("word", [b"a" * 64, b"a" * 65, b"ab," * 40, b"," * 100, b"z" * 97, "é".encode() * 50 + b"." + b"q" * 200])
+def test_stretches_cover_a_word(word):
+    found = toxicity.stretches(word)
+    for piece in re.findall(rb"[^!-/:-@\[-`{-~]+", word) or [word]:
+        for i in range(0, len(piece), 8):  # any eight bytes of a piece lie in one stretch
+            assert any(piece[i : i + 8] in stretch for stretch in found)
+
+
+def test_slopes_equal_differences_of_the_likelihood(monkeypatch):
+    monkeypatch.setattr(toxicity, "BUCKETS", 64)
+    made = toxicity.packed_batch(["aa bb cc", "", "bb dd", "ee"], [True, False, True, False]).labelled(np.zeros(0, np.int64))
+    made = dataclasses.replace(made, gold=np.array([True, False, True, False, True, False]))
+    pick = np.random.default_rng(3)
+    model = toxicity.Model(pick.normal(0, 0.3, 64), -0.4, pick.normal(0, 0.5, (2, 2)), np.zeros(3))
+
+    def likelihood(model):
+        score = np.add.reduceat(model.weights[made.flat], made.starts) + model.bias
+        at, total = 0, 0.0
+        for size in made.sizes:
+            emission, gold = score[made.ids[at : at + size]], made.gold[at : at + size].astype(int)
+            at += size
+            weight = lambda way: sum(e * y for e, y in zip(emission, way)) + sum(model.pairs[a, b] for a, b in zip(way, way[1:]))  # noqa: E731, B023
+            total += weight(gold) - math.log(sum(math.exp(weight(way)) for way in itertools.product((0, 1), repeat=size)))
+        return total
+
+    found, step = toxicity.slopes(made, model), 1e-5
+    for i in range(64 + 5):
+        def moved(by, i=i):
+            weights, bias, pairs = model.weights.copy(), model.bias, model.pairs.copy()
+            if i < 64:
+                weights[i] += by
+            elif i == 64:
+                bias += by
+            else:
+                pairs.ravel()[i - 65] += by
+            return likelihood(dataclasses.replace(model, weights=weights, bias=bias, pairs=pairs))
+        assert found[i] == pytest.approx((moved(step) - moved(-step)) / (2 * step), abs=1e-6)
+
+
+def test_copies_of_a_toxic_text_count_once(spark):
+    rows = [(i, "the same text of a few words") for i in range(50)] + [(50, "another text that differs")] + [(60, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    picked = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, toxic int")
+    assert toxicity.training_rows(docs, picked, "doc_id", "text").count() == 2
+
+
 def test_without_labels_nothing_is_toxic(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     model = toxicity.learned(frame, spark.createDataFrame([], "doc_id long, toxic int"))

@@ -5,6 +5,10 @@ in many toxic and hardly any clean training documents are markers, and the words
 toxic document that contain one are its toxic tokens. The chain (two labels, features of
 the word and its character n-grams, four transitions) is fitted to those tokens.
 
+The labelled texts are prepared by tasks and stored. Markers are counted by an aggregate,
+and each step's gradient is the sum of what the tasks make of their texts; the driver has
+the parameters alone, however long the texts are.
+
 Forward-backward gives the marginal of every token. The recursion of two labels is a
 chain of 2x2 matrices, which is read in blocks: the products of all blocks at once, then
 the messages from block to block, then all places at once.
@@ -13,8 +17,8 @@ the messages from block to block, then all places at once.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from ticketmart.llm.common import annotate, split_lower_words, texts_of
+from ticketmart.llm.common import annotate, slices, split_lower_words, stored, texts_of
 
 # The classifier is fitted on at most so many labelled documents of each label, the
 # first by a hash of the key. Everything else covers all documents.
@@ -34,6 +38,10 @@ STEPS = 40
 BLOCK = 64
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LIMIT = 25.0
+# A longer word is cut at punctuation, and what is still longer into stretches that overlap.
+LONGEST = 64
+STRETCH = 32
+_PUNCTUATION = re.compile(rb"[^!-/:-@\[-`{-~]+")
 
 
 @dataclass
@@ -44,12 +52,25 @@ class Model:
     readout: np.ndarray  # from (1, log-odds of the likeliest token, log of expected tokens) to log-odds
 
 
+def stretches(word: bytes) -> list[bytes]:
+    """What the chain has as tokens: the word itself, or all of a long word in pieces."""
+    if len(word) <= LONGEST:
+        return [word]
+    found = []
+    for piece in _PUNCTUATION.findall(word) or [word]:
+        if len(piece) <= LONGEST:
+            found.append(piece)
+        else:
+            found += [piece[i : i + STRETCH] for i in range(0, len(piece) - STRETCH // 2, STRETCH // 2)]
+    return found
+
+
 def parts(word: bytes) -> list[bytes]:
     """The word without punctuation around it, and its n-grams with marked ends."""
     core = word.strip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") or word
     text = b"^" + core + b"$"
-    found = {text[i : i + n] for n in GRAMS for i in range(min(len(text), 64) - n + 1)}
-    found.add(b"=" + core[:64])
+    found = {text[i : i + n] for n in GRAMS for i in range(len(text) - n + 1)}
+    found.add(b"=" + core)
     return sorted(found)
 
 
@@ -118,86 +139,190 @@ def forward_backward(emission: np.ndarray, sizes: np.ndarray, pairs: np.ndarray)
 
 
 class Tokens:
-    """Texts as numbers of distinct words."""
+    """Texts as numbers of distinct tokens; a long word is several of them."""
 
     def __init__(self, texts: list[str]) -> None:
         numbers: dict[bytes, int] = {}
-        found = [[numbers.setdefault(w, len(numbers)) for w in split_lower_words(text)] for text in texts]
+        found, word_of = [], []
+        for text in texts:
+            tokens = split_lower_words(text)
+            places: range | list[int] = range(len(tokens))
+            if tokens and max(map(len, tokens)) > LONGEST:
+                cut = [(nth, token) for nth, word in enumerate(tokens) for token in stretches(word)]
+                places, tokens = [nth for nth, _ in cut], [token for _, token in cut]
+            found.append([numbers.setdefault(token, len(numbers)) for token in tokens])
+            word_of.append(places)
         self.sizes = np.array([len(f) for f in found], np.int64)
         self.ids = np.array([i for f in found for i in f], np.int64)
+        self.word_of = word_of  # for each text, the word that each token is of
         self.words = list(numbers)
 
 
-def markers(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
-    """For each distinct word, whether it has a part that marks toxic documents."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    of_word = [parts(word) for word in tokens.words]
-    for ids, label in zip(np.split(tokens.ids, np.cumsum(tokens.sizes)[:-1]), toxic, strict=True):
-        counts[int(label)].update({part for i in np.unique(ids).tolist() for part in of_word[i]})
-    n_toxic, n_clean = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
-    least = max(3, 0.02 * n_toxic)
-    marks = {p for p, n in counts[1].items() if n >= least and n / n_toxic >= 20 * (counts[0][p] + 0.5) / n_clean}
-    return np.array([not marks.isdisjoint(of) for of in of_word], bool)
-
+# Fit, over stored rows of packed tokens.
 
-def without_copies(texts: list[str]) -> list[int]:
-    """Places of the texts that share their least 3-word shingle with none before them.
 
-    Copies of one toxic document would make markers of all its words.
-    """
-    seen, kept = set(), []
-    for i, text in enumerate(texts):
-        words = split_lower_words(text)
-        shingles = zip(words, words[1:], words[2:], strict=False) if len(words) > 2 else [tuple(words)]
-        least = min(xxhash.xxh3_64_intdigest(b" ".join(s)) for s in shingles)
-        if least not in seen:
-            seen.add(least)
-            kept.append(i)
-    return kept
+_KINDS = {"labels": bool, "sizes": np.int64, "ids": np.int64, "flat": np.int64, "starts": np.int64, "codes": np.int64, "gold": bool}
+_PACKED = ", ".join(f"{name} binary" for name in _KINDS)
 
 
-def fitted(texts: list[str], toxic: list[bool], rate: float) -> Model:
-    """Fit the chain, then the readout, to whole labelled documents.
+@dataclass
+class Batch:
+    """Labelled texts as tokens, features of the distinct ones, and the hashes of their parts."""
+
+    labels: np.ndarray
+    sizes: np.ndarray
+    ids: np.ndarray
+    flat: np.ndarray
+    starts: np.ndarray
+    codes: np.ndarray  # of the part that each feature is of; none once the tokens are labelled
+    gold: np.ndarray  # whether a token is toxic
+
+    @property
+    def type_of(self) -> np.ndarray:
+        """The distinct token of each feature."""
+        return np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.flat))))
+
+    def labelled(self, marks: np.ndarray) -> Batch:
+        """With its toxic tokens: those in a toxic text, with a part that is a marker."""
+        marked = np.zeros(len(self.starts), bool)
+        marked[self.type_of[np.isin(self.codes, marks)]] = True
+        return replace(self, codes=self.codes[:0], gold=marked[self.ids] & np.repeat(self.labels, self.sizes))
+
+    def row(self) -> pa.RecordBatch:
+        cells = [pa.array([getattr(self, name).astype(kind).tobytes()], pa.binary()) for name, kind in _KINDS.items()]
+        return pa.RecordBatch.from_arrays(cells, names=list(_KINDS))
+
+    def inner(self) -> np.ndarray:
+        """Places of tokens that another of the same text follows."""
+        inside = np.ones(len(self.ids), bool)
+        ends = np.cumsum(self.sizes)
+        inside[ends[ends > 0] - 1] = False
+        return np.flatnonzero(inside)
+
+
+def packed_batch(texts: list[str], labels: list[bool]) -> Batch:
+    tokens = Tokens(texts)
+    codes, starts = [], []
+    for word in tokens.words:
+        starts.append(len(codes))
+        codes += [xxhash.xxh3_64_intdigest(part) for part in parts(word)]
+    code = np.array(codes, np.uint64)
+    flat = (code % np.uint64(BUCKETS)).astype(np.int64)
+    gold = np.zeros(len(tokens.ids), bool)
+    return Batch(np.array(labels, bool), tokens.sizes, tokens.ids, flat, np.array(starts, np.int64), code.view(np.int64), gold)
+
+
+def _stored_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            yield Batch(*(np.frombuffer(cell, kind) for cell, kind in zip(row, _KINDS.values(), strict=True)))
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", 1 << 20):
+            yield packed_batch(texts_of(part), part.column("toxic").to_pylist()).row()
+
+
+def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts each part occurs."""
+    for made in _stored_batches(batches):
+        ends, cuts = np.cumsum(made.sizes), np.append(made.starts, len(made.flat))
+        codes, numbers = np.unique(made.codes, return_inverse=True)
+        toxic, clean = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        for label, size, end in zip(made.labels, made.sizes, ends, strict=True):
+            if size:
+                used = np.unique(made.ids[end - size : end]).tolist()
+                found = np.unique(np.concatenate([numbers[cuts[i] : cuts[i + 1]] for i in used]))
+                (toxic if label else clean)[found] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (codes, toxic, clean)], names=["code", "toxic", "clean"])
+
+
+def markers(rows: DataFrame, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Hashes of the parts that mark toxic texts; each is in a fixed share of them."""
+    n_toxic, n_clean = max(n_toxic, 1), max(n_clean, 1)
+    least = max(3, 0.02 * n_toxic)
+    counts = rows.mapInArrow(_count_parts, "code long, toxic long, clean long").groupBy("code")
+    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    much = F.col("toxic") / n_toxic >= (F.col("clean") + 0.5) * 20 / n_clean
+    return np.array(sorted(row["code"] for row in counts.where((F.col("toxic") >= least) & much).select("code").collect()), np.int64)
+
+
+def slopes(made: Batch, model: Model) -> np.ndarray:
+    """Gradient of a batch's log-likelihood: by bucket, of the bias, and of the label pairs."""
+    if not len(made.ids):
+        return np.zeros(BUCKETS + 5)
+    gold = made.gold
+    score = np.add.reduceat(model.weights[made.flat], made.starts) + model.bias
+    ahead, behind, chance = forward_backward(score[made.ids], made.sizes, model.pairs)
+    error = gold - chance
+    by_type = np.bincount(made.ids, error, len(made.starts))
+    slope = np.bincount(made.flat, by_type[made.type_of], BUCKETS)
+    a = made.inner()
+    b = a + 1
+    wanted = np.array([[((gold[a] == i) & (gold[b] == j)).sum() for j in (False, True)] for i in (False, True)], float)
+    table = np.exp(model.pairs)
+    weight = np.exp(np.clip(score[made.ids], -_LIMIT, _LIMIT))[b] * behind[b]
+    joint = np.array([[table[0, 0] + 0 * weight, table[0, 1] * weight], [ahead[a] * table[1, 0], ahead[a] * table[1, 1] * weight]])
+    pairs = wanted - (joint / joint.sum((0, 1))).sum(-1)
+    return np.concatenate([slope, [error.sum()], pairs.ravel()])
+
+
+def _summed(rows: DataFrame, of_batch, size: int) -> np.ndarray:
+    """Sum over all batches of a vector of fixed size; one vector a task comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for made in _stored_batches(batches):
+            total += of_batch(made)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    total = np.zeros(size)
+    for row in rows.mapInArrow(run, "total binary").collect():
+        total += np.frombuffer(row["total"])
+    return total
+
+
+def fitted(rows: DataFrame, n_toxic: int, n_clean: int, rate: float) -> Model:
+    """Fit the chain, then the readout, to stored batches of whole labelled texts.
 
     `rate` is the share of toxic documents among all labelled ones.
     """
-    kept = without_copies(texts)
-    label = np.array([toxic[i] for i in kept], bool)
-    tokens = Tokens([texts[i] for i in kept])
-    flat, starts = features(tokens.words)
-    marked = markers(tokens, label) if len(tokens.words) else np.zeros(0, bool)
-    gold = marked[tokens.ids] & np.repeat(label, tokens.sizes)
-    weights, bias = np.zeros(BUCKETS), np.log((gold.sum() + 1.0) / (len(gold) + 2.0))
-    pairs = np.zeros((2, 2))
-    rates = [np.full(BUCKETS, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
-    n_types = len(tokens.words)
-    inner = np.ones(max(len(gold) - 1, 0), bool)
-    cuts = np.cumsum(tokens.sizes)[:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(gold))]
-    inner[cuts - 1] = False
-    a, b = np.flatnonzero(inner), np.flatnonzero(inner) + 1
-    wanted = np.array([[(gold[a] == i) & (gold[b] == j) for j in (False, True)] for i in (False, True)]).sum(-1) if len(a) else np.zeros((2, 2))
-    type_of = np.repeat(np.arange(n_types), np.diff(np.append(starts, len(flat))))
-    for _ in range(STEPS if len(gold) else 0):
-        score = np.add.reduceat(weights[flat], starts) + bias
-        ahead, behind, chance = forward_backward(score[tokens.ids], tokens.sizes, pairs)
-        error = gold - chance
-        by_type = np.bincount(tokens.ids, error, n_types)
-        slope = np.bincount(flat, by_type[type_of], BUCKETS) - 0.02 * weights
-        table = np.exp(pairs)
-        weight = np.exp(np.clip(score[tokens.ids], -_LIMIT, _LIMIT))[b] * behind[b]
-        joint = np.array([[table[0, 0] + 0 * weight, table[0, 1] * weight], [ahead[a] * table[1, 0], ahead[a] * table[1, 1] * weight]])
-        slopes = (slope, error.sum(), wanted - (joint / joint.sum((0, 1))).sum(-1))
-        moved = []
-        for i, s in enumerate(slopes):
-            rates[i] = rates[i] + s * s
-            moved.append(0.3 * s / np.sqrt(rates[i]))
-        weights, bias, pairs = weights + moved[0], bias + moved[1], pairs + moved[2]
-    model = Model(weights, float(bias), pairs, np.zeros(3))
-    score = np.add.reduceat(weights[flat], starts) + bias if n_types else np.zeros(0)
-    readout = aggregates(forward_backward(score[tokens.ids], tokens.sizes, pairs)[2], tokens.sizes)
-    model.readout = _logistic(readout, label, rate)
-    return model
+    marks = markers(rows, n_toxic, n_clean)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in _stored_batches(batches):
+            yield made.labelled(marks).row()
+
+    rows = stored(rows.mapInArrow(label, _PACKED), "labelled_tokens")
+    tokens, gold = _summed(rows, lambda made: np.array([len(made.ids), made.gold.sum()], float), 2)
+    model = Model(np.zeros(BUCKETS), float(np.log((gold + 1.0) / (tokens + 2.0))), np.zeros((2, 2)), np.zeros(3))
+    rates = np.full(BUCKETS + 5, 1e-8)
+    for _ in range(STEPS if tokens else 0):
+        now = model
+        slope = _summed(rows, lambda made: slopes(made, now), BUCKETS + 5)
+        slope[:BUCKETS] -= 0.02 * model.weights
+        rates += slope * slope
+        moved = 0.3 * slope / np.sqrt(rates)
+        model = replace(
+            model,
+            weights=model.weights + moved[:BUCKETS],
+            bias=model.bias + float(moved[BUCKETS]),
+            pairs=model.pairs + moved[BUCKETS + 1 :].reshape(2, 2),
+        )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in _stored_batches(batches):
+            score = np.add.reduceat(model.weights[made.flat], made.starts) + model.bias if len(made.starts) else np.zeros(0)
+            chance = forward_backward(score[made.ids], made.sizes, model.pairs)[2]
+            _, most, total = aggregates(chance, made.sizes).T
+            yield pa.RecordBatch.from_arrays([pa.array(made.labels), pa.array(most), pa.array(total)], names=["toxic", "most", "total"])
+
+    # Three numbers for each of the bounded number of labelled texts.
+    found = rows.mapInArrow(read, "toxic boolean, most double, total double").collect()
+    numbers = np.array(sorted((row["toxic"], row["most"], row["total"]) for row in found), float).reshape(-1, 3)
+    readout = np.column_stack((np.ones(len(numbers)), numbers[:, 1:]))
+    return replace(model, readout=_logistic(readout, numbers[:, 0] > 0, rate))
 
 
 def aggregates(chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -224,25 +349,60 @@ def _logistic(rows: np.ndarray, label: np.ndarray, rate: float) -> np.ndarray:
     return solved
 
 
+def _least_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        least = []
+        for text in texts_of(batch):
+            words = split_lower_words(text)
+            shingles = zip(words, words[1:], words[2:], strict=False) if len(words) > 2 else [tuple(words)]
+            least.append(min(xxhash.xxh3_64_intdigest(b" ".join(s)) for s in shingles) - (1 << 63))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("toxic"), batch.column("text"), pa.array(least, pa.int64())], names=["key", "toxic", "text", "least"])
+
+
+def training_rows(docs: DataFrame, picked: DataFrame, key: str, text: str) -> DataFrame:
+    """Label and text of the picked documents, without copies.
+
+    Of texts that share their least 3-word shingle the one with the least key stays, as
+    copies of one toxic document would make markers of all its words.
+    """
+    chosen = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    chosen = chosen.join(picked.select(F.col(key).alias("key"), F.col("toxic").cast("boolean").alias("toxic")), "key")
+    one = chosen.groupBy("key").agg(F.min_by("toxic", F.xxhash64("text")).alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    kind = one.schema["key"].dataType.simpleString()
+    marked = stored(one.select("key", "toxic", "text").mapInArrow(_least_shingles, f"key {kind}, toxic boolean, text string, least long"), "labelled")
+    firsts = marked.groupBy("least").agg(F.min("key").alias("key"))
+    return marked.join(firsts, ["least", "key"], "left_semi").select("toxic", "text")
+
+
+# Text bytes for which the fit has a task, and how many tasks at most send their sums.
+_TASK_BYTES = 1 << 20
+_MAX_TASKS = 32
+
+
 def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", bound: int = MAX_TRAINING) -> Model:
     """Fit to documents with a label in `labels` (key, toxic).
 
     A key with several labels is toxic if one of them says so; null labels and null
-    texts are left out. At most `bound` documents of each label are read.
+    texts are left out. At most `bound` documents of each label are read; a key with
+    several texts counts with one of them.
     """
     one = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max("toxic").alias("toxic"))
-    known = one.join(docs.select(F.col(key)).distinct(), key, "left_semi")
+    known = stored(one.join(docs.select(F.col(key)).distinct(), key, "left_semi"), "labels")
     size = known.agg(F.count("*").alias("n"), F.sum((F.col("toxic") == 1).cast("int")).alias("toxic")).first()
     picked = None
     for value in (1, 0):
         some = known.where(F.col("toxic").cast("int") == value).orderBy(F.xxhash64(key), key).limit(bound)
         picked = some if picked is None else picked.union(some)
-    rows = {row[key]: row["toxic"] for row in picked.collect()}
-    if not rows:
+    rows = stored(training_rows(docs, stored(picked, "picked"), key, text), "training")
+    used = rows.agg(
+        F.count_if("toxic").alias("toxic"), F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")
+    ).first()
+    if not used["n"]:
         return Model(np.zeros(BUCKETS), 0.0, np.zeros((2, 2)), np.array([-5.0, 0.0, 0.0]))
-    chosen = docs.where(F.col(key).isin(list(rows)) & F.col(text).isNotNull()).select(key, text)
-    found = sorted(chosen.dropDuplicates([key]).collect())
-    return fitted([row[1] for row in found], [bool(rows[row[0]]) for row in found], size["toxic"] / size["n"])
+    tasks = max(1, min(used["n"], _MAX_TASKS, -(-(used["bytes"] or 0) // _TASK_BYTES)))
+    dealt = rows.repartition(tasks, F.xxhash64("text"))
+    batches = stored(dealt.mapInArrow(_pack, _PACKED), "tokens")
+    return fitted(batches, used["toxic"], used["n"] - used["toxic"], size["toxic"] / size["n"])
 
 
 SPANS = ArrayType(
@@ -254,7 +414,10 @@ SPANS = ArrayType(
 
 
 def spans_of(text: str, chance: np.ndarray, threshold: float) -> list[dict]:
-    """Runs of words at or above the threshold, as character offsets and the highest marginal."""
+    """Runs of words at or above the threshold, as character offsets and the highest marginal.
+
+    `chance` has one value a word: of a long word, that of its likeliest stretch.
+    """
     found: list[dict] = []
     last = -2
     for i, match in enumerate(_WORD.finditer(text)):
@@ -295,10 +458,16 @@ def tagged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             chance = forward_backward(emission, tokens.sizes, model.pairs)[2]
             odds = aggregates(chance, tokens.sizes) @ model.readout
             scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-            spans = [
-                spans_of(content, own, threshold) if (own >= threshold).any() else []
-                for content, own in zip(texts, np.split(chance, np.cumsum(tokens.sizes)[:-1]), strict=True)
-            ]
+            spans = []
+            ends = np.cumsum(tokens.sizes)
+            for content, begin, end, words in zip(texts, ends - tokens.sizes, ends, tokens.word_of, strict=True):
+                own = chance[begin:end]
+                if not (own >= threshold).any():
+                    spans.append([])
+                    continue
+                of_word = np.zeros(len(split_lower_words(content)))
+                np.maximum.at(of_word, list(words), own)
+                spans.append(spans_of(content, of_word, threshold))
             return [scores, (scores >= 0.5).astype(np.int32), spans]
 
         return compute
