@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from ticketmart.llm.common import annotate, slices, split_lower_words, stored, texts_of
+from ticketmart.llm.common import annotate, discard, slices, split_lower_words, stored, texts_of
 
 CLASSES = 32
 CONTEXTS = 32  # hashed neighbours on each side
@@ -208,7 +208,9 @@ def classed(training: DataFrame, partitions: int, sweeps: int = SWEEPS) -> DataF
                 [batch.column("word"), batch.column("n"), pa.array(classes.astype(np.int32))], names=["word", "n", "class"]
             )
 
-    return stored(lexicon.mapInArrow(place, "word string, n long, class int"), "classes")
+    classes = stored(lexicon.mapInArrow(place, "word string, n long, class int"), "classes")
+    discard(lexicon)
+    return classes
 
 
 def _coded(docs: DataFrame, lexicon: DataFrame, blocks: int, base: dict, emit: np.ndarray) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from ticketmart.session import scratch_folder
+from ticketmart.sources.files import delete_folder
 
 # Words of most operators: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -35,7 +37,21 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{scratch_folder(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    _PLACES[found] = path
+    return found
+
+
+# Where frames given by `stored` lie.
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored frames from which nothing will be computed any more."""
+    for frame in frames:
+        path = _PLACES.pop(frame, None)
+        if path is not None:
+            delete_folder(frame.sparkSession, path)
 
 
 def fold(key: str, folds: int) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from ticketmart.llm.common import annotate, mixed, slices, split_lower_words, stored, texts_of
+from ticketmart.llm.common import annotate, discard, mixed, slices, split_lower_words, stored, texts_of
 from ticketmart.llm.graph import components, merged
 
 MAX_WORDS = 300_000
@@ -181,7 +181,9 @@ def confirmed(edges: DataFrame, docs: DataFrame, banding: Banding, key: str, tex
                     {"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())}
                 )
 
-    return stored(sides.select("a", "b", "one", "two").mapInArrow(check, "a long, b long"), "links")
+    links = stored(sides.select("a", "b", "one", "two").mapInArrow(check, "a long, b long"), "links")
+    discard(numbered, needed)
+    return links
 
 
 def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,6 +210,7 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
     keys = _keys(classes, banding)
     leads = stored(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("lead")).where("n > 1").select("key", "lead"), "leads")
     buckets = stored(keys.join(leads, "key").select("key", "class", "lead"), "buckets")
+    discard(leads)
 
     # First round: each class with the least one that it meets.
     first = buckets.where(F.col("class") != F.col("lead")).groupBy("class").agg(F.min("lead").alias("b"))
@@ -225,6 +228,7 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
         tries = now.where(F.col("component") != F.col("least")).join(anchors, "key")
         chosen = _allowed(tries.select(F.col("class").alias("a"), "b").distinct(), features, banding, nearest=True)
         more = confirmed(chosen, content, banding, "doc", "text")
+        discard(now, anchors)
         if more.isEmpty():
             break
         labels = merged(labels, more)
@@ -237,6 +241,7 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
         F.col("x.class").alias("a"), F.col("y.class").alias("b")
     )
     last = confirmed(pairs.distinct(), content, banding, "doc", "text")
+    discard(buckets, now, full)
     if not last.isEmpty():
         labels = merged(labels, last)
     joined = members.join(labels, members["class"] == labels["node"], "left")
@@ -275,4 +280,7 @@ def _mixed_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     )
     member = stored(member, "member")
     spread = member.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return stored(member.join(stored(spread.where("least <> most").select("key", "least"), "spread"), "key"), "mixed")
+    spread = stored(spread.where("least <> most").select("key", "least"), "spread")
+    mixed_ones = stored(member.join(spread, "key"), "mixed")
+    discard(member, spread)
+    return mixed_ones
