@@ -17,6 +17,7 @@ import pytest
 
 from ticketmart.llm import brown, decontaminate, minhash, pii, toolcalls, toxicity
 from ticketmart.llm.graph import components
+from ticketmart.llm.queries import tool_messages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -518,6 +519,55 @@ def test_calls_are_linked_ordered_and_checked(exchange):
     assert all(json.loads(r["json"]) for r in exchange if r["json"])
 
 
+def link(spark, calls, results=(), tools=None):
+    frame = spark.createDataFrame
+    return toolcalls.linked(
+        frame(list(calls), "conv_id string, call_id string, turn int, position int, name string, arguments string"),
+        frame(list(results), "conv_id string, call_id string, turn int, content string"),
+        frame([], "conv_id string, call_id string, needs string"),
+        {"t": TOOL} if tools is None else tools,
+    ).collect()
+
+
+def test_different_calls_and_results_of_one_id_all_stay(spark):
+    calls = [("c", "a", 1, 0, "t", '{"n": 1}'), ("c", "a", 1, 0, "t", '{"n": 2}'), ("c", "a", 1, 0, "t", '{"n": 2}'), ("c", "a", None, 0, None, None), ("c", "b", 1, 0, "t", '{"n": 1}')]
+    results = [("c", "a", 2, "x"), ("c", "a", 2, "y"), ("c", "a", 3, None), ("c", "b", 2, "z"), ("c", "b", 2, "z"), ("c", "o", 2, "1"), ("c", "o", 2, "2")]
+    found = link(spark, calls, results)
+    assert sorted((r["call_id"], r["json"] or "", r["status"], r["n_calls"], r["n_results"]) for r in found) == sorted([
+        ("a", "", "duplicate", 4, 3),  # the first call: no turn, no arguments
+        ("a", '{"arguments":{"n":1},"id":"a","name":"t","result":null}', "duplicate", 4, 3),
+        ("a", '{"arguments":{"n":2},"id":"a","name":"t","result":null}', "duplicate", 4, 3),
+        ("a", '{"id":"a","result":"y"}', "duplicate", 4, 3), ("a", '{"id":"a","result":null}', "duplicate", 4, 3),
+        ("b", '{"arguments":{"n":1},"id":"b","name":"t","result":"z"}', "duplicate", 1, 2),
+        ("o", '{"id":"o","result":"1"}', "orphan", 0, 2), ("o", '{"id":"o","result":"2"}', "duplicate", 0, 2),
+    ])
+
+
+def test_a_hot_id_loses_nothing(spark):
+    calls = [("c", "hot", i, 0, "t", f'{{"n": {i % 5}}}') for i in range(2000)] + [("c", str(i), 0, 0, "t", '{"n": 1}') for i in range(2000)]
+    found = link(spark, calls)
+    assert len(found) == 4000 and sum(r["status"] == "duplicate" for r in found) == 2000
+
+
+def test_unusual_arguments_and_schemas(spark):
+    calls = [("c", str(i), 0, 0, "t", text) for i, text in enumerate(['{"n": 1, "q": "\\ud800"}', '{"n": 1, "\\udfff": 2}', '{"n": 1.0}', '{"n": 1e0}', '{"n": -0.0}'])]
+    found = {r["call_id"]: r for r in link(spark, calls)}
+    assert [found[str(i)]["status"] for i in range(5)] == ["invalid", "invalid", "pending", "pending", "pending"]
+    assert found["0"]["json"] is None and found["0"]["errors"] == ["arguments are no JSON"]
+    assert found["2"]["json"].replace('"2"', '"3"') == found["3"]["json"] and '"n":0}' in found["4"]["json"]
+    assert toolcalls.violations(True, {"enum": [1]}) and not toolcalls.violations(1.0, {"enum": [1]})
+    for wrong in ({"pattern": "x"}, {"type": "text"}, {"items": {"oneOf": []}}, {"properties": {"a": {"type": ["string", "date"]}}}, {"additionalProperties": {}}):
+        with pytest.raises(ValueError, match="schema at"):
+            link(spark, [], tools={"t": wrong})
+
+
+def test_turns_without_a_number_are_not_merged(spark):
+    turns = [("c", None, "assistant", "one\ntwo"), ("c", None, "assistant", "three\nfour"), ("c", None, "user", "x"), ("c", 0, "user", "y"), ("c", 1, "assistant", "five")]
+    calls, results, _ = tool_messages(spark.createDataFrame(turns, "conv_id string, turn int, role string, text string"))
+    assert sorted((r["call_id"] or "", r["turn"] or 0) for r in calls.collect()) == [("", 0)] * 4 + [("call-1-0", 1)]
+    assert [(r["call_id"], r["content"]) for r in results.collect()] == [(None, "x")]
+
+
 def test_no_calls(spark):
     frame = spark.createDataFrame
     none = toolcalls.linked(

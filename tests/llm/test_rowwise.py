@@ -155,6 +155,31 @@ def test_counts_of_languages_equal_brute_force(spark):
     assert np.allclose(logs[-1], np.log([2 / 3, 1 / 3]))
 
 
+def test_many_languages_are_told_apart_within_bounded_memory(spark, monkeypatch):
+    """300 invented languages: rounds of a few texts give what one round gives."""
+    pick = random.Random(2)
+    sounds = {f"l{i:03d}": pick.sample("abcdefghijklmnopqrstuvwxyzäöüéñøåß", 6) for i in range(300)}
+
+    def text(name):
+        return " ".join("".join(pick.choices(sounds[name], k=5)) for _ in range(60))
+
+    training = [(i, text(name), name) for i, name in enumerate([*sounds] * 2)]
+    model = langid.learned(spark.createDataFrame(training, "doc_id long, text string, lang string"))
+    assert model[0] == sorted(sounds)
+    asked = spark.createDataFrame([(i, text(name)) for i, name in enumerate(sounds)], "doc_id long, text string").coalesce(1)
+    found = by_id(langid.identified(asked, model))
+    assert sum(found[i]["lang_pred"] == name for i, name in enumerate(sounds)) >= 290
+    monkeypatch.setattr(langid, "_CELLS", 1 << 30)
+    assert by_id(langid.identified(asked, model)) == found
+
+
+def test_rare_labels_beyond_the_bound_do_not_stop_the_job(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    rows = [(i, "abc abc", "x") for i in range(5)] + [(i, "xyz zyx", "y") for i in range(4)] + [(i, f"dirt {i}", f"dirt{i}") for i in range(20)]
+    model = langid.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model[0] == ["x", "y"]
+
+
 def test_texts_without_letters(docs, spark):
     model = langid.learned(spark.createDataFrame([(1, "abc", "x")], "doc_id long, text string, lang string"))
     found = by_id(langid.identified(docs, model))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,11 @@ BUCKETS = 1 << 14
 ORDERS = (2, 3)
 SMOOTHING = 0.1
 UNDETERMINED = "und"
-# The matrix has a row per language. More labels than this are no languages.
+# The classifier learns at most so many labels, those of the most documents: its matrix
+# has a column for each. Of more labels the rarer ones are taken for dirt, not languages.
 MAX_LANGS = 1000
+# Products of counts and log-probabilities that are held at a time.
+_CELLS = 1 << 22
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +52,7 @@ def learned(docs: DataFrame, label: str = "lang", text: str = "text") -> tuple[l
 
     Counts cover all documents with a label and a text. Each task adds up its own
     documents; what is shuffled is one row for each language, bucket and task, and
-    what reaches the driver one number for each language and bucket.
+    what reaches the driver one row of counts for each of at most `MAX_LANGS` languages.
     """
     known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text")
@@ -82,13 +86,17 @@ def learned(docs: DataFrame, label: str = "lang", text: str = "text") -> tuple[l
     counted = known.mapInArrow(count, "label string, bucket int, n long")
     rows = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     rows = stored(rows, "grams")
-    names = sorted(row["label"] for row in rows.where(F.col("bucket") == BUCKETS).limit(MAX_LANGS + 1).collect())
-    if len(names) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} labels; so many languages can't be told apart")
-    found = rows.toPandas()
-    counts = np.zeros((BUCKETS + 1, len(names)))
-    at = {name: i for i, name in enumerate(names)}
-    counts[found["bucket"].to_numpy(int), [at[name] for name in found["label"]]] = found["n"]
+    docs_of_label = rows.where(F.col("bucket") == BUCKETS).orderBy(F.col("n").desc(), "label")
+    names = sorted(row["label"] for row in docs_of_label.limit(MAX_LANGS).collect())
+
+    def vector(cells: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(BUCKETS + 1)
+        counts[cells["bucket"].to_numpy(int)] = cells["n"]
+        return pd.DataFrame({"label": [cells["label"].iloc[0]], "counts": [counts.tobytes()]})
+
+    kept = rows.where(F.col("label").isin(names)).groupBy("label").applyInPandas(vector, "label string, counts binary")
+    vectors = {row["label"]: np.frombuffer(row["counts"]) for row in kept.collect()}
+    counts = np.array([vectors[name] for name in names]).T
     if not names:
         return [], np.zeros((BUCKETS + 1, 0))
     docs_of, counts = counts[BUCKETS], counts[:BUCKETS] + SMOOTHING
@@ -117,7 +125,13 @@ def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str =
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             if not names:
                 return [[UNDETERMINED] * len(texts), [0.0] * len(texts)]
-            sums = np.add.reduceat(logs[hits] * n[:, None], starts, axis=0) + logs[BUCKETS]
+            # So many texts at a time that their products stay small with many languages too.
+            rounds = np.flatnonzero(np.diff(starts * len(names) // _CELLS, prepend=-1)).tolist()
+            sums = np.empty((len(texts), len(names)))
+            for low, high in zip(rounds, [*rounds[1:], len(texts)], strict=True):
+                cells = slice(starts[low], starts[high] if high < len(texts) else len(hits))
+                products = logs[hits[cells]] * n[cells, None]
+                sums[low:high] = np.add.reduceat(products, starts[low:high] - starts[low], axis=0) + logs[BUCKETS]
             best = sums.argmax(1)
             odds = np.exp(sums - sums.max(1, keepdims=True))
             score = 1.0 / odds.sum(1)

@@ -100,13 +100,14 @@ def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Calls, results and references that stand for the turns of conversations.
 
     Each line of an assistant's turn is a call, and line i of the next turn, if a user's,
-    its result. Line i refers to line (i - 1) / 2 of its turn.
+    its result. Line i refers to line (i - 1) / 2 of its turn. A turn without a number has
+    calls and results without an id.
     """
     lines = turns.select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("position", "line"))
     lines = lines.where(F.trim("line") != "")
 
     def call_id(turn: Column, position: Column) -> Column:
-        return F.concat_ws("-", F.lit("call"), turn.cast("string"), position.cast("string"))
+        return F.concat(F.lit("call-"), turn.cast("string"), F.lit("-"), position.cast("string"))
 
     position, turn = F.col("position"), F.col("turn")
     needs = F.when(position > 0, call_id(turn, F.floor((position - 1) / 2)))
@@ -121,7 +122,7 @@ def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     arguments = F.to_json(F.struct(F.size(F.split("line", " ")).alias("limit"), F.col("needs").alias("after"), F.col("line").alias("query")))
     calls = said.select("conv_id", "call_id", "turn", "position", "name", arguments.alias("arguments"))
-    results = lines.where("role = 'user' AND turn > 0").select(
+    results = lines.where("role = 'user' AND coalesce(turn > 0, true)").select(
         "conv_id", call_id(turn - 1, position).alias("call_id"), "turn", F.col("line").alias("content")
     )
     return calls, results, said.where("needs IS NOT NULL").select("conv_id", "call_id", "needs")

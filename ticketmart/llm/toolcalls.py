@@ -1,7 +1,8 @@
 """Tool calls linked with their results, ordered, validated and written as canonical JSON.
 
 Calls and results meet in one join on (conversation, call id). Each side is brought to
-one row per id first, so that an id that occurs very often costs no more than others.
+one row per id first, so that an id that occurs very often costs no more than others; rows
+of the id that differ from that one come out by themselves, so no content is lost.
 Calls may refer to other calls; a call's level is one more than the highest level among
 those it refers to. Sorting by (level, turn, position) is a topological order. Levels
 are found round by round for all conversations together, so that no conversation, however
@@ -23,8 +24,24 @@ ID = ["conv_id", "call_id"]
 
 
 def canonical_json(value: object) -> str:
-    """Sorted names, no blanks, characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Sorted names, no blanks, characters as they are, and one form for each number.
+
+    A lone surrogate has no UTF-8 form; it raises a ValueError.
+    """
+    text = json.dumps(_one_form(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    text.encode()
+    return text
+
+
+def _one_form(value: object) -> object:
+    """1.0 and 1e0 as 1, -0.0 as 0; a float that has no exact whole number stays as it is."""
+    if isinstance(value, float) and value.is_integer() and abs(value) < 1 << 53:
+        return int(value)
+    if isinstance(value, list):
+        return [_one_form(item) for item in value]
+    if isinstance(value, dict):
+        return {name: _one_form(item) for name, item in value.items()}
+    return value
 
 
 def _no_repeats(pairs: list[tuple[str, object]]) -> dict:
@@ -59,6 +76,31 @@ def _is(value: object, kind: str) -> bool:
     return isinstance(value, _TYPES[kind])
 
 
+_KEYWORDS = {"type", "enum", "minimum", "maximum", "properties", "required", "additionalProperties", "items"}
+
+
+def check_schema(schema: dict, at: str = "$") -> None:
+    """Refuse a schema that says what `violations` would not look at."""
+    unknown = sorted(set(schema) - _KEYWORDS)
+    if unknown:
+        raise ValueError(f"schema at {at} has unknown keywords {unknown}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in {*_TYPES, "integer", "number"}:
+            raise ValueError(f"schema at {at} has an unknown type {kind!r}")
+    if not isinstance(schema.get("additionalProperties", False), bool):
+        raise ValueError(f"schema at {at}: additionalProperties is true or false here")
+    for name, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
+def _same(one: object, two: object) -> bool:
+    """Equality of JSON: true is not 1, but 1.0 is."""
+    return canonical_json(one) == canonical_json(two)
+
+
 def violations(value: object, schema: dict, at: str = "$") -> list[str]:
     """What speaks against a value, in the order of the schema; empty if it is valid.
 
@@ -69,7 +111,7 @@ def violations(value: object, schema: dict, at: str = "$") -> list[str]:
     if kinds and not any(_is(value, kind) for kind in kinds):
         return [f"{at}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same(value, allowed) for allowed in schema["enum"]):
         found.append(f"{at}: not one of the allowed values")
     if isinstance(value, int | float) and not isinstance(value, bool):
         if "minimum" in schema and value < schema["minimum"]:
@@ -117,20 +159,25 @@ def levels(calls: DataFrame, references: DataFrame) -> DataFrame:
 
 
 def linked(calls: DataFrame, results: DataFrame, references: DataFrame, tools: dict[str, dict]) -> DataFrame:
-    """One row for each call id, and one for each result id without a call.
+    """One row for each call id, one for each result id without a call, and further rows.
 
     `calls`: conv_id, call_id, turn, position, name, arguments (JSON text). `results`:
     conv_id, call_id, turn, content. `references`: conv_id, call_id, needs. `tools`: a
     schema of the arguments for each name. Other columns are not used.
 
-    Of calls with one id the first by (turn, position, name, arguments) counts, of results
-    the first by (turn, content); `n_calls` and `n_results` tell how many there were.
+    Of calls with one id the first by (turn, position, name, arguments) is linked, of results
+    the first by (turn, content); `n_calls` and `n_results` tell how many there were. Calls
+    and results of the id that differ from these have rows of their own, without the other
+    side and without a level; equal ones are one row.
     Rows whose conversation or id is null can't be linked; they come out, one row each,
     as `unlinked`. `errors` lists what is wrong: unknown tool, arguments that are no JSON
-    or don't fit the schema, references to unknown calls, circles. `status` is the first
-    that fits of unlinked, orphan (no call), duplicate, circular, invalid, pending (no
-    result), ok. `json` is null for arguments that are no JSON.
+    or don't fit the schema, references to unknown calls, circles. Arguments with a lone
+    surrogate count as no JSON. A schema with a keyword or a type that is not known here is
+    refused. `status` is the first that fits of unlinked, orphan (no call), duplicate,
+    circular, invalid, pending (no result), ok. `json` is null for arguments that are no JSON.
     """
+    for schema in tools.values():
+        check_schema(schema)
     has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     call = F.struct("turn", "position", "name", "arguments")
     first_calls = stored(
@@ -173,7 +220,19 @@ def linked(calls: DataFrame, results: DataFrame, references: DataFrame, tools: d
     lone_results = results.where(~has_id).select(
         *ID, "turn", F.col("turn").alias("result_turn"), "content", F.lit(False).alias("called"), F.lit(1).cast("long").alias("n_results")
     )
-    whole = shaped.unionByName(lone_calls, allowMissingColumns=True).unionByName(lone_results, allowMissingColumns=True)
+    counts = [F.coalesce("n_calls", F.lit(0)).alias("n_calls"), F.coalesce("n_results", F.lit(0)).alias("n_results")]
+    both = first_calls.join(first_results, ID, "full")
+    # Only ids that occur more than once are looked through again.
+    again = calls.where(has_id).join(both.where("n_calls > 1").select(*ID, "call", "n_calls", "n_results"), ID)
+    further_calls = again.where(~F.struct("turn", "position", "name", "arguments").eqNullSafe(F.col("call"))).select(
+        *ID, "turn", "position", "name", "arguments", F.lit(True).alias("called"), F.lit(True).alias("further"), *counts
+    )
+    again = results.where(has_id).join(both.where("n_results > 1").select(*ID, "result", "n_calls", "n_results"), ID)
+    further_results = again.where(~F.struct("turn", "content").eqNullSafe(F.col("result"))).select(
+        *ID, "turn", F.col("turn").alias("result_turn"), "content", F.lit(False).alias("called"), F.lit(True).alias("further"), *counts
+    )
+    further = further_calls.distinct().unionByName(further_results.distinct(), allowMissingColumns=True)
+    whole = further.unionByName(shaped, allowMissingColumns=True).unionByName(lone_calls, allowMissingColumns=True).unionByName(lone_results, allowMissingColumns=True)
 
     def start():
         def compute(batch: pa.RecordBatch) -> list:
@@ -198,7 +257,8 @@ def linked(calls: DataFrame, results: DataFrame, references: DataFrame, tools: d
                     errors.append(f"{row['n_unknown']} unknown references, {row['unknown']} the first")
                 if row["circular"]:
                     errors.append("circular references")
-                problems.append(errors)
+                # A name with a lone surrogate can't be written as it is.
+                problems.append([error.encode("utf-8", "backslashreplace").decode() for error in errors])
                 written.append(text)
             return [problems, written]
 
@@ -208,6 +268,7 @@ def linked(calls: DataFrame, results: DataFrame, references: DataFrame, tools: d
     checked = annotate(whole, start, fields, "arguments")
     status = (
         F.when(~has_id, "unlinked")
+        .when(F.col("further"), "duplicate")
         .when(~F.col("called"), "orphan")
         .when((F.col("n_calls") > 1) | (F.col("n_results") > 1), "duplicate")
         .when(F.col("circular"), "circular")
