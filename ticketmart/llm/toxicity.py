@@ -143,19 +143,33 @@ class Tokens:
 
     def __init__(self, texts: list[str]) -> None:
         numbers: dict[bytes, int] = {}
-        found, word_of = [], []
-        for text in texts:
-            tokens = split_lower_words(text)
-            places: range | list[int] = range(len(tokens))
-            if tokens and max(map(len, tokens)) > LONGEST:
-                cut = [(nth, token) for nth, word in enumerate(tokens) for token in stretches(word)]
-                places, tokens = [nth for nth, _ in cut], [token for _, token in cut]
-            found.append([numbers.setdefault(token, len(numbers)) for token in tokens])
-            word_of.append(places)
+        found = [[numbers.setdefault(w, len(numbers)) for w in split_lower_words(text)] for text in texts]
         self.sizes = np.array([len(f) for f in found], np.int64)
         self.ids = np.array([i for f in found for i in f], np.int64)
-        self.word_of = word_of  # for each text, the word that each token is of
+        self.word_of: list[np.ndarray] | None = None  # for each text, the word of each token, where they differ
         self.words = list(numbers)
+        long = [i for i, word in enumerate(self.words) if len(word) > LONGEST]
+        if long:
+            self._cut(numbers, long)
+
+    def _cut(self, numbers: dict[bytes, int], long: list[int]) -> None:
+        """Put the stretches of long words in their place."""
+        cut = [[numbers.setdefault(token, len(numbers)) for token in stretches(self.words[i])] for i in long]
+        counts, first = np.ones(len(numbers), np.int64), np.arange(len(numbers))
+        pieces = np.concatenate([np.arange(len(numbers)), *cut])
+        counts[long] = [len(tokens) for tokens in cut]
+        first[long] = len(numbers) + np.cumsum([0, *counts[long][:-1]])
+        times = counts[self.ids]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        text_of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        word = np.arange(len(self.ids)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.ids = pieces[np.repeat(first[self.ids], times) + nth]
+        self.sizes = np.bincount(text_of, times, len(self.sizes)).astype(np.int64)
+        self.word_of = np.split(np.repeat(word, times), np.cumsum(self.sizes)[:-1])
+        # A long word is no token any more.
+        self.words = list(numbers)
+        for i in long:
+            self.words[i] = b""
 
 
 # Fit, over stored rows of packed tokens.
@@ -460,14 +474,15 @@ def tagged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             spans = []
             ends = np.cumsum(tokens.sizes)
-            for content, begin, end, words in zip(texts, ends - tokens.sizes, ends, tokens.word_of, strict=True):
-                own = chance[begin:end]
+            for i, content in enumerate(texts):
+                own = chance[ends[i] - tokens.sizes[i] : ends[i]]
                 if not (own >= threshold).any():
                     spans.append([])
                     continue
-                of_word = np.zeros(len(split_lower_words(content)))
-                np.maximum.at(of_word, list(words), own)
-                spans.append(spans_of(content, of_word, threshold))
+                if tokens.word_of is not None:
+                    of_token, own = own, np.zeros(len(split_lower_words(content)))
+                    np.maximum.at(own, tokens.word_of[i], of_token)
+                spans.append(spans_of(content, own, threshold))
             return [scores, (scores >= 0.5).astype(np.int32), spans]
 
         return compute
