@@ -137,3 +137,19 @@ def test_amounts_stay_exact(spark):
     tables = small_source(spark, [own_sale("s1", T(2018, 6, 1), "r1")])
     (row,) = agreement_periods(tables["partnerships"]).rows.where("partnership_id = 'p1'").select("commission_rate").distinct().collect()
     assert row["commission_rate"] == Decimal("10.50")
+
+
+def test_few_periods_a_key_are_broadcast_without_months(spark, tmp_path):
+    facts, periods = frames(spark)
+    periods = of_known_size(spark, periods, tmp_path)
+    laid_out = by_month(periods, "since", "until", ["k"])
+    assert laid_out.is_plain_small and laid_out.is_broadcast
+    found = lookup_in_force(facts, laid_out, "k", day="day", spread_by="id")
+    assert found.columns == ["id", "k", "day", "p", "since", "until"]
+    assert rows(found) == brute(FACTS, PERIODS)
+    assert "_month" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_periods_a_key_keep_their_months(spark, tmp_path):
+    periods = spark.createDataFrame([("p", "k", D(2020, 1, 1), D(2020, 1, 2))] * 65, "p string, k string, since date, until date")
+    assert not by_month(of_known_size(spark, periods, tmp_path), "since", "until", ["k"]).is_plain_small

@@ -209,3 +209,26 @@ def test_filter_bound_has_the_columns_type_and_reaches_the_scan(spark, tmp_path)
     found = own_sales.sold_since(spark.read.parquet(f"{tmp_path}/sales"), D(2020, 1, 2))
     assert rows(found, "sale_id") == [("b",)]
     assert "GreaterThanOrEqual(sale_date,2020-01-02" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_low_threshold_does_not_shuffle_the_facts(spark, large):
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        assert known_small(large[1])
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert not known_small(large[1])
+
+
+def test_rows_are_brought_together_between_shuffled_and_broadcast_lookups(spark, tables, tmp_path):
+    """A large dimension does not move the agreements, which multiply rows, before the shuffle."""
+    stored = {}
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    mixed = {**stored, "events": tables["events"], "customers": tables["customers"]}  # of unknown size
+    own = own_sales.enrich_own_sales(tables["sales"], mixed, ["sale_date"])
+    third = third_party.enrich_third_party(third_party_lines(spark), mixed, ["file_day", "sale_date"])
+    for found in (own, third):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL") < plan.index("SortMergeJoin")
+    assert rows(own) == rows(own_sales.enrich_own_sales(tables["sales"], tables))
+    assert rows(third) == rows(third_party.enrich_third_party(third_party_lines(spark), tables))
