@@ -212,3 +212,16 @@ def test_marked_rows_keep_header_lines_without_cells(spark, folder):
     assert marked.where("is_header").select(F.coalesce(*[F.col(f"`{name}`") for name in S.NARROW_LAYOUT]).alias("cell")).where("cell IS NOT NULL").isEmpty()
     plain = read_daily_sales(spark, str(folder))
     assert rows(marked.where("NOT is_header"), *plain.columns) == rows(plain)
+
+
+def test_drops_written_without_a_shuffle_give_the_same_rows(spark, tmp_path):
+    lines = spark.range(0, 300, 1, 3).select(
+        *[F.concat(F.lit(f'{name}, "'), F.col("id").cast("string")).alias(name) for name in S.WIDE_LAYOUT],
+        F.concat(F.lit("DailySales_05032020_r"), (F.col("id") % 5).cast("string"), F.lit(".csv")).alias("drop"),
+    )
+    for shuffled in (True, False):
+        write_drops(lines, f"{tmp_path}/{shuffled}", shuffled=shuffled)
+    read = [rows(read_daily_sales(spark, f"{tmp_path}/{shuffled}"), *S.NARROW_LAYOUT) for shuffled in (True, False)]
+    assert read[0] == read[1] and len(read[0]) == 300
+    assert {path.suffix for path in (tmp_path / "False").glob("drop=*/part-*")} == {".gz"}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

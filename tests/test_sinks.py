@@ -220,3 +220,11 @@ def test_compaction_takes_partition_values_as_text(spark, database):
         data.write.mode("append").insertInto(table)
     assert compact(spark, table) == 3
     assert rows(spark.table(table)) == sorted([("a", "007"), ("b", "7"), ("c", None)] * 3, key=repr)
+
+
+def test_tables_and_later_partitions_are_stored_compact(spark, database, tmp_path):
+    table = f"{database}.packed"
+    upsert_partitions(spark.createDataFrame([("a", 1)], "name string, day int"), table, ["day"])
+    upsert_partitions(spark.createDataFrame([("b", 2)], "name string, day int"), table, ["day"])
+    stored = spark.table(table).select("_metadata.file_name", "day").collect()
+    assert {row["day"] for row in stored} == {1, 2} and all(".zstd." in row["file_name"] for row in stored)
