@@ -21,8 +21,10 @@ BANDING = minhash.Banding(words=5, percent=80)
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that a model of all labelled documents takes for toxic."""
     model = toxicity.learned(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    found = toxicity.tagged(docs.withColumn("_text", F.col("text")).select("_text", F.struct(*docs.columns).alias("_doc")), model, "_text")
-    return found.where("predicted = 0").select("_doc.*")
+    # Under other names, so that the operator's columns replace none. Each text goes to Python once.
+    renamed = docs.select(F.col("text").alias("_text"), F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc"))
+    found = toxicity.tagged(renamed, model, "_text").where("predicted = 0")
+    return found.select(*[F.col("_text" if c == "text" else f"_doc.{c}").alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

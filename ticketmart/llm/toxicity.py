@@ -445,6 +445,22 @@ def spans_of(text: str, chance: np.ndarray, threshold: float) -> list[dict]:
     return found
 
 
+# Text bytes that the tagging reads at a time, and words whose scores a task keeps.
+_TAG_BYTES = 1 << 20
+_MAX_SCORES = 600_000
+# Words whose features are held at a time.
+_FEATURED = 10_000
+
+
+def word_scores(words: list[bytes], model: Model) -> list[float]:
+    """Log-odds of words by themselves."""
+    scores = []
+    for at in range(0, len(words), _FEATURED):
+        flat, starts = features(words[at : at + _FEATURED])
+        scores += (np.add.reduceat(model.weights[flat], starts) + model.bias).tolist()
+    return scores
+
+
 def tagged(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """Add `score` (0 to 1), `predicted` (1 from 0.5 on) and `spans`, the toxic offsets.
 
@@ -461,12 +477,10 @@ def tagged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             texts = texts_of(batch, text)
             tokens = Tokens(texts)
             new = [word for word in tokens.words if word not in cache]
-            if len(cache) + len(new) > 600_000:
+            if len(cache) + len(new) > _MAX_SCORES:
                 cache.clear()
                 new = tokens.words
-            if new:
-                flat, starts = features(new)
-                cache.update(zip(new, (np.add.reduceat(model.weights[flat], starts) + model.bias).tolist(), strict=True))
+            cache.update(zip(new, word_scores(new, model), strict=True))
             score = np.array([cache[word] for word in tokens.words])
             emission = score[tokens.ids] if len(score) else np.zeros(0)
             chance = forward_backward(emission, tokens.sizes, model.pairs)[2]
@@ -488,4 +502,4 @@ def tagged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
         return compute
 
     fields = [StructField("score", DoubleType(), False), StructField("predicted", IntegerType(), False), StructField("spans", SPANS, False)]
-    return annotate(docs, start, fields, text)
+    return annotate(docs, start, fields, text, _TAG_BYTES)
