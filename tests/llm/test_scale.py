@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql.types import StringType, StructType
 
 import corpus_pipeline
-from ticketmart.llm import toxicity
+from ticketmart.llm import pieces, toxicity
 
 
 def strings(kind, name=""):
@@ -43,3 +44,21 @@ def test_features_are_held_for_a_bounded_number_of_words(monkeypatch):
     assert toxicity.word_scores(words, model) == expected
     assert held == [10, 10, 5]
     assert toxicity.word_scores([], model) == []
+
+
+def test_a_lattice_looks_no_further_than_pieces_go():
+    lattice = pieces.Lattice(pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    segments = ["▁" + "" * 200, "▁theory", "the", ""]
+    with np.errstate(over="ignore"):
+        first_node, first_edge, tail, piece, upto = lattice.filtered(segments, np.array([len(s) for s in segments]))
+        alone = lattice.filtered(["▁theory"], np.array([7]))
+    # Characters without a piece have one edge each.
+    assert (piece == -1 - 0xE000).sum() == 201
+    # The nodes of a segment have the same edges and chances whatever stands beside it.
+    for depth in range(1, 8):
+        node = first_node[depth] + 1
+        a, b = first_edge[node], first_edge[node + 1]
+        x = alone[1][depth]
+        y = np.append(alone[1], len(alone[3]))[depth + 1]
+        assert piece[a:b].tolist() == alone[3][x:y].tolist()
+        assert upto[a:b].tolist() == alone[4][x:y].tolist()

@@ -34,7 +34,7 @@ _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 TEMPERATURE = 1500.0
 _BATCH = 2 << 20
-# Of a piece's hash, the leading 17 bits find it in its table.
+# Of a piece's hash, the leading 17 bits find it in its table, those of a prefix its mark.
 _SHIFT = np.uint64(47)
 
 
@@ -64,17 +64,29 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+class _Numbers(dict):
+    """Numbers for segments in the order of their appearance."""
+
+    def __missing__(self, segment: str) -> int:
+        self[segment] = number = len(self)
+        return number
+
+
 class Lattice:
     """Samples segmentations of batches of texts."""
 
     def __init__(self, pieces: Pieces, temperature: float = TEMPERATURE) -> None:
         self.first_byte = pieces.first_byte
         by_size: dict[int, list[tuple[int, int]]] = {}
+        # By size: whether a longer piece may begin with a hash that has these leading bits.
+        self.goes_on: dict[int, np.ndarray] = {}
         for i, name in enumerate(pieces.names):
             if pieces.normal[i]:
                 code = np.uint64(0)
                 with np.errstate(over="ignore"):
-                    for point in _codes(name):
+                    for at, point in enumerate(_codes(name)):
+                        if at:
+                            self.goes_on.setdefault(at, np.zeros(1 << 17, bool))[code >> _SHIFT] = True
                         code = (code + point + np.uint64(1)) * _BASE
                 by_size.setdefault(len(name), []).append((int(code), i))
         self.tables = {}
@@ -87,90 +99,121 @@ class Lattice:
         self.weights = np.maximum(np.array(pieces.scores) / temperature, -1e4)
         self.byte_weight = 2 * min(w for w, ok in zip(self.weights, pieces.normal, strict=True) if ok and w > -1e4)
 
-    def edges(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Pieces of segments laid end to end: first place, size, id, weight.
+    def edges(self, codes: np.ndarray, below: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pieces by size: first and last place of each, and its id.
 
-        `ends` has, for each place, the end of its segment. A character without a
-        piece gets an edge with id -1.
+        `below` has, for each place, the next one of its segment, or -1. A character
+        without a piece gets an edge with id -1 minus its code point.
+        """
+        found = []
+        at = last = np.arange(len(codes))
+        code = (codes + np.uint64(1)) * _BASE
+        for size in range(1, max(self.tables) + 1):
+            bucket = (code >> _SHIFT).astype(np.int64)
+            if size in self.tables:
+                keys, values, firsts = self.tables[size]
+                low, high = firsts[bucket], firsts[bucket + 1]
+                piece = np.full(len(at), -1, np.int32)
+                some = np.flatnonzero(low < high)
+                place, high = low[some], high[some]
+                while len(some):
+                    equal = keys[place] == code[some]
+                    piece[some[equal]] = values[place[equal]]
+                    on = ~equal & (place + 1 < high)
+                    some, place, high = some[on], place[on] + 1, high[on]
+                if size == 1:
+                    found.append((at, last, np.where(piece < 0, -1 - codes.astype(np.int32), piece)))
+                else:
+                    hit = np.flatnonzero(piece >= 0)
+                    found.append((at[hit], last[hit], piece[hit]))
+            if size in self.goes_on:
+                # Places at which a longer piece may begin.
+                on = np.flatnonzero(self.goes_on[size][bucket])
+                after = below[last[on]]
+                inside = after >= 0
+                on, last = on[inside], after[inside]
+                at, code = at[on], (code[on] + codes[last] + np.uint64(1)) * _BASE
+        return found
+
+    def filtered(self, segments: list[str], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The lattices of segments, the longest first, filtered forward.
+
+        Nodes lie by depth, so that those of one depth follow each other; node i of a
+        depth is that of segment i. Returns the first node of each depth, the first edge
+        of each node, and of each edge the node it comes from, its piece, and its
+        cumulative chance among the edges of its node.
         """
-        starts, sizes, ids = [], [], []
-        at = np.arange(len(codes), dtype=np.int32)
-        code = np.zeros(len(codes), np.uint64)
-        size = 0
-        for longest in self.tables:
-            while size < longest:
-                inside = at + size < ends[at]
-                at, code = at[inside], code[inside]
-                code = (code + codes[at + size] + np.uint64(1)) * _BASE
-                size += 1
-            keys, values, firsts = self.tables[size]
-            bucket = (code >> _SHIFT).astype(np.int32)
-            low, high = firsts[bucket], firsts[bucket + 1]
-            bare = np.ones(len(at), bool)
-            some = np.flatnonzero(low < high)
-            place = low[some]
-            while len(some):
-                equal = keys[place] == code[some]
-                hit = some[equal]
-                starts.append(at[hit])
-                ids.append(values[place[equal]])
-                sizes.append(np.full(len(hit), size, np.int32))
-                bare[hit] = False
-                on = ~equal & (place + 1 < high[some])
-                some, place = some[on], place[on] + 1
-            if size == 1:
-                starts.append(at[bare])
-                ids.append(np.full(bare.sum(), -1, np.int32))
-                sizes.append(np.full(bare.sum(), 1, np.int32))
-        start, size, piece = (np.concatenate(x).astype(np.int32) for x in (starts, sizes, ids))
-        return start, size, piece, np.where(piece < 0, self.byte_weight, self.weights[piece])
+        n = len(segments)
+        # Segments with a character at each depth; the place of one is `width` before the next.
+        wide = np.searchsorted(-sizes, -np.arange(sizes[0] + 1), side="left")
+        first_place = np.cumsum(wide) - wide
+        depth = np.repeat(np.arange(sizes[0]), wide[:-1])
+        places = np.arange(len(depth))
+        rank = places - first_place[depth]
+        codes = _codes("".join(segments))[(np.cumsum(sizes) - sizes)[rank] + depth]
+        below = np.where(rank < wide[depth + 1], places + wide[depth], -1)
+        # A piece goes from the node before its first place to the node of its last one.
+        before = np.where(depth > 0, n + places - wide[depth - 1], rank).astype(np.int32)
+        found = self.edges(codes, below)
+
+        times = np.zeros(len(places), np.int64)
+        for _, last, _ in found:
+            times[last] += 1
+        stops = np.cumsum(times)
+        first_edge = stops - times
+        tail, piece = np.empty(stops[-1], np.int32), np.empty(stops[-1], np.int32)
+        # Of a node's edges that with the longest piece comes first.
+        free = first_edge.copy()
+        while found:
+            at, last, ids = found.pop()
+            edge = free[last]
+            tail[edge], piece[edge] = before[at], ids
+            free[last] += 1
+
+        total = np.zeros(n + len(places))
+        chance = np.where(piece < 0, self.byte_weight, self.weights[np.maximum(piece, 0)])
+        bounds = np.append(first_edge, stops[-1])
+        for a, b in zip(first_place.tolist(), first_place[1:].tolist(), strict=False):
+            low, high = bounds[a], bounds[b]
+            groups = first_edge[a:b] - low
+            ways = total[tail[low:high]] + chance[low:high]
+            best = np.maximum.reduceat(ways, groups)
+            share = np.exp(ways - np.repeat(best, times[a:b]))
+            sums = np.add.reduceat(share, groups)
+            total[n + a : n + b] = best + np.log(sums)
+            chance[low:high] = share / np.repeat(sums, times[a:b])
+
+        # Cumulative chances are added up node by node, so that they do not depend on what
+        # else is in the batch; the last is certain.
+        at, ends = first_edge + 1, stops
+        while len(at):
+            on = at < ends
+            at, ends = at[on], ends[on]
+            chance[at] += chance[at - 1]
+            at = at + 1
+        chance[stops - 1] = 2.0
+        first_node = np.append(0, n + first_place)
+        return first_node, np.append(np.zeros(n, np.int64), first_edge), tail, piece, chance
 
     def sampled(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
         """Ids of one sampled segmentation of each text, drawn by its key."""
-        numbers: dict[str, int] = {}
+        numbers = _Numbers()
+        number = numbers.__getitem__
         found, counts = [], []
         for text in texts:
             parts = _SEGMENT.findall(text.replace(MARK, _TEXT_MARK).replace(" ", MARK))
-            found += [numbers.setdefault(part, len(numbers)) for part in parts]
+            found += map(number, parts)
             counts.append(len(parts))
         if not found:
             return [np.zeros(0, np.int32)] * len(texts)
         segments = list(numbers)
         sizes = np.array([len(s) for s in segments])
-        firsts = np.cumsum(sizes) - sizes
-        codes = _codes("".join(segments))
-        start, size, piece, weight = self.edges(codes, np.repeat(firsts + sizes, sizes))
-        segment_of = np.repeat(np.arange(len(segments), dtype=np.int32), sizes)[start]
-        # A segment of n characters has n + 1 nodes.
-        tail = start + segment_of
-        head = tail + size
-        depth = head - (firsts + np.arange(len(segments))).astype(np.int32)[segment_of]
-        # By depth, then by node, then the longest piece first.
-        order = np.argsort((depth.astype(np.int64) * (len(codes) + len(segments)) + head) * (max(self.tables) + 1) - size)
-        tail, head, piece, weight, depth = tail[order], head[order], piece[order], weight[order], depth[order]
-
-        total = np.zeros(len(codes) + len(segments))
-        chance = np.empty(len(head))
-        new_head = np.flatnonzero(np.append(True, head[1:] != head[:-1]))
-        bounds = np.searchsorted(depth, np.arange(1, depth[-1] + 2))
-        node_bounds = np.searchsorted(new_head, bounds)
-        for a, b, na, nb in zip(bounds, bounds[1:], node_bounds, node_bounds[1:], strict=False):
-            groups = new_head[na:nb]
-            ways = total[tail[a:b]] + weight[a:b]
-            best = np.maximum.reduceat(ways, groups - a)
-            times = np.diff(np.append(groups, b))
-            share = np.exp(ways - np.repeat(best, times))
-            sums = np.add.reduceat(share, groups - a)
-            total[head[groups]] = best + np.log(sums)
-            chance[a:b] = share / np.repeat(sums, times)
-
-        # Cumulative chances of a node's edges, the longest piece first; the last is certain.
-        times = np.diff(np.append(new_head, len(head)))
-        upto = np.cumsum(chance)
-        upto -= np.repeat((upto - chance)[new_head], times)
-        upto[np.append(new_head[1:], len(head)) - 1] = 2.0
-        first_edge = np.zeros(len(total), np.int32)
-        first_edge[head[new_head]] = new_head
+        longest = np.argsort(-sizes, kind="stable")
+        segments = [segments[i] for i in longest.tolist()]
+        rank = np.empty(len(longest), np.int64)
+        rank[longest] = np.arange(len(longest))
+        first_node, first_edge, tail, piece, upto = self.filtered(segments, sizes[longest])
+        depth_of = np.repeat(np.arange(len(first_node) - 1), np.diff(first_node))
 
         occurs = np.array(found)
         counts = np.array(counts)
@@ -180,39 +223,40 @@ class Lattice:
         begins = np.append(0, np.cumsum(widths))[np.cumsum(counts) - counts]
         place = place - begins[text_of]
         seed = np.asarray(keys, np.uint64)[text_of]
-        first_node = (firsts + np.arange(len(segments)))[occurs]
-        node = first_node + widths
         alive = np.arange(len(occurs))
+        node = first_node[widths] + rank[occurs]
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         while len(alive):
-            spot = (place[alive] + node[alive] - first_node[alive]).astype(np.uint64)
-            draw = (mixed(seed[alive] + mixed(spot + np.uint64(1))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-            edge = first_edge[node[alive]]
+            spot = (place + depth_of[node]).astype(np.uint64)
+            draw = (mixed(seed + mixed(spot + np.uint64(1))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+            edge = first_edge[node]
             on = np.flatnonzero(draw >= upto[edge])
             while len(on):
                 edge[on] += 1
                 on = on[draw[on] >= upto[edge[on]]]
             drawn.append((alive, edge))
-            node[alive] = tail[edge]
-            alive = alive[tail[edge] > first_node[alive]]
+            node = tail[edge]
+            # The first nodes are those of depth 0, where a segment begins.
+            more = np.flatnonzero(node >= len(segments))
+            alive, node, place, seed = alive[more], node[more], place[more], seed[more]
 
         steps = np.zeros(len(occurs), np.int64)
         for owners, _ in drawn:
             steps[owners] += 1
         stop = np.cumsum(steps)
-        chosen = np.empty(stop[-1], np.int64)
+        chosen = np.empty(stop[-1], np.int32)
         for i, (owners, edge) in enumerate(drawn):
             chosen[stop[owners] - 1 - i] = edge
-        ids = piece[chosen].astype(np.int32)
+        ids = piece[chosen]
         per_text = np.bincount(text_of, steps, len(texts)).astype(np.int64)
         bare = np.flatnonzero(ids < 0)
         if len(bare):
-            ids, per_text = self._with_bytes(ids, bare, per_text, codes, tail[chosen[bare]] - segment_of[order][chosen[bare]])
+            ids, per_text = self._with_bytes(ids, bare, per_text)
         return np.split(ids, np.cumsum(per_text)[:-1])
 
-    def _with_bytes(self, ids, bare, per_text, codes, places) -> tuple[np.ndarray, np.ndarray]:
+    def _with_bytes(self, ids, bare, per_text) -> tuple[np.ndarray, np.ndarray]:
         """Write characters that have no piece as byte pieces."""
-        written = [(MARK if c == ord(_TEXT_MARK) else chr(c)).encode() for c in codes[places].tolist()]
+        written = [(MARK if c == ord(_TEXT_MARK) else chr(c)).encode() for c in (-1 - ids[bare]).tolist()]
         widths = np.array([len(w) for w in written])
         text_of = np.searchsorted(np.cumsum(per_text), bare, side="right")
         repeats = np.ones(len(ids), np.int64)
