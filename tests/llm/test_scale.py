@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql.types import StringType, StructType
 
 import corpus_pipeline
-from ticketmart.llm import pieces, toxicity
+from ticketmart.llm import decontaminate, pieces, toxicity
 
 
 def strings(kind, name=""):
@@ -62,3 +62,15 @@ def test_a_lattice_looks_no_further_than_pieces_go():
         y = np.append(alone[1], len(alone[3]))[depth + 1]
         assert piece[a:b].tolist() == alone[3][x:y].tolist()
         assert upto[a:b].tolist() == alone[4][x:y].tolist()
+
+
+def test_the_index_holds_no_neighbours_of_words_that_are_not_sought(spark):
+    docs = spark.createDataFrame([(1, "b a c"), (2, ""), (3, None), (4, "a")], "doc_id long, text string")
+    rows = decontaminate.with_row_key(docs, "doc_id", "text")
+    found = decontaminate.postings(rows, spark.createDataFrame([("a",), ("c",)], "term string"))
+    places = [tuple(r) for r in found.select("term", "pos", "before", "after").collect()]
+    assert sorted(places) == [("a", 0, "", ""), ("a", 1, "b", "c"), ("c", 2, "a", "")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan
+    # Once for the words, not again to leave out texts without any.
+    assert plan.count("split(") <= 1

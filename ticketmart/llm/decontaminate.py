@@ -52,20 +52,20 @@ def items_of(benchmark: DataFrame, key: str = "item_id", text: str = "text") ->
 
 def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of the terms occurs in the training texts."""
-    tokens = rows.select(F.explode("words").alias("term"))
+    # The outer form, as for the plain one the planner would split the texts again to leave out
+    # those without words; an empty place joins with no term.
+    tokens = rows.select(F.explode_outer("words").alias("term"))
     return tokens.join(bounded(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def postings(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """The positional index of the given terms: term, row, pos, before, after."""
-    words = F.col("words")
-    blank = F.array(F.lit("").cast("string"))
-    before = F.concat(blank, F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))))
-    after = F.concat(F.slice(words, 2, F.size(words)), blank)
-    # Columns first, since the generator below would compute them for each word again.
-    zipped = rows.select("row", F.arrays_zip(words.alias("term"), before.alias("before"), after.alias("after")).alias("z"))
-    tokens = zipped.select("row", F.posexplode("z").alias("pos", "z")).select("row", "pos", "z.term", "z.before", "z.after")
-    return tokens.join(bounded(terms), "term")
+    tokens = rows.select("row", "words", F.posexplode_outer("words").alias("pos", "term"))
+    found = tokens.join(bounded(terms), "term")
+    # Neighbours are looked up for what is left, and not written for all words.
+    before = F.when(F.col("pos") > 0, F.get("words", F.col("pos") - 1)).otherwise("")
+    after = F.coalesce(F.get("words", F.col("pos") + 1), F.lit(""))
+    return found.select("term", "row", "pos", before.alias("before"), after.alias("after"))
 
 
 def anchors_of(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
