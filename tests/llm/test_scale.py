@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from pyspark.sql.types import StringType, StructType
 
 import corpus_pipeline
@@ -74,3 +76,14 @@ def test_the_index_holds_no_neighbours_of_words_that_are_not_sought(spark):
     assert "arrays_zip" not in plan
     # Once for the words, not again to leave out texts without any.
     assert plan.count("split(") <= 1
+
+
+def test_lists_of_ids_are_joined_without_a_python_object_for_each():
+    spelling = pa.array(["é".encode()[:1], "é".encode()[1:], b"", b"the "], pa.binary())
+    ids = pa.array([[3], [0, 1, 3], None, [], [2], [3, 3]], pa.list_(pa.int32()))
+    assert pieces.joined(spelling, ids).to_pylist() == ["the ", "é" + "the ", "", "", "", "the the "]
+    assert pieces.joined(spelling, ids.slice(1, 3)).to_pylist() == ["éthe ", "", ""]
+    assert pieces.joined(spelling, ids.slice(2, 2)).to_pylist() == ["", ""]
+    assert pieces.joined(spelling, ids.slice(0, 0)).to_pylist() == []
+    with pytest.raises(pa.ArrowInvalid):
+        pieces.joined(spelling, pa.array([[0]], pa.list_(pa.int32())))
