@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql.types import StringType, StructType
 
 import corpus_pipeline
-from ticketmart.llm import decontaminate, pieces, toxicity
+from ticketmart.llm import brown, decontaminate, pieces, toxicity
 
 
 def strings(kind, name=""):
@@ -87,3 +87,24 @@ def test_lists_of_ids_are_joined_without_a_python_object_for_each():
     assert pieces.joined(spelling, ids.slice(0, 0)).to_pylist() == []
     with pytest.raises(pa.ArrowInvalid):
         pieces.joined(spelling, pa.array([[0]], pa.list_(pa.int32())))
+
+
+def test_class_model_shuffles_each_text_once(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} and word{i % 5} again", i % 10 == 0) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    ran = []
+    stored = brown.stored
+    monkeypatch.setattr(brown, "stored", lambda frame, name: ran.append((name, frame)) or stored(frame, name))
+    brown.scored(docs)
+    coded = dict(ran)["coded"]
+    coded.collect()
+    plan = coded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
+
+
+def test_words_of_a_block_have_the_same_numbers_in_any_order_of_texts():
+    texts = ["b a", "", "c B", "a", "b a"]
+    expected = brown._block_words(texts)
+    assert sorted(expected) == [b"a", b"b", b"c"]
+    assert brown._block_words(texts[::-1]) == expected
+    assert brown._numbered(sorted(texts))[0] == expected

@@ -15,7 +15,9 @@ the word in its class. Each class sets mass aside for one unseen word.
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,23 +39,24 @@ PRIOR = 50.0
 UNKNOWN, BEGIN = CLASSES, CLASSES + 1
 
 
-class _Numbers(dict):
+def _numbers() -> dict[bytes | str, int]:
     """Numbers for words in the order of their appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+    return defaultdict(itertools.count().__next__)
 
 
 def _numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the numbers of all words in order, and words per text."""
-    numbers = _Numbers()
+    numbers = _numbers()
     parts = [split_lower_words(text) for text in texts]
     sizes = np.array([len(part) for part in parts], np.int64)
-    ids = np.fromiter((numbers[word] for part in parts for word in part), np.int64, int(sizes.sum()))
+    ids = np.fromiter(map(numbers.__getitem__, itertools.chain.from_iterable(parts)), np.int64, int(sizes.sum()))
     return list(numbers), ids, sizes
 
 
+def _strings(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.binary()).cast(pa.string())
+
+
 def _packed(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
     """Values of each row side by side as bytes; `offsets` counts values."""
     ends = pa.py_buffer((offsets * values.itemsize).astype(np.int32).tobytes())
@@ -88,7 +91,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = np.searchsorted(pairs, np.arange(len(words) + 1) * (2 * CONTEXTS))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([word.decode() for word in words], pa.string()),
+                    _strings(words),
                     pa.array(np.bincount(ids, minlength=len(words)), pa.int64()),
                     _packed(offsets, (pairs % (2 * CONTEXTS)).astype(np.uint8)),
                     _packed(offsets, times.astype("<u4")),
@@ -107,7 +110,7 @@ def _flat(batch: pa.RecordBatch, kind: str) -> tuple[np.ndarray, np.ndarray, np.
 
 def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up the counts of a partition that has all rows of its words."""
-    numbers = _Numbers()
+    numbers = _numbers()
     totals: list[np.ndarray] = []
     found: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
@@ -117,7 +120,7 @@ def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found[:] = [(keys, np.bincount(back, np.concatenate([t for _, t in found])))]
 
     for batch in batches:
-        ids = np.fromiter(map(numbers.__getitem__, batch.column("word").to_pylist()), np.int64, batch.num_rows)
+        ids = np.fromiter(map(numbers.__getitem__, batch.column("word").to_numpy(zero_copy_only=False)), np.int64, batch.num_rows)
         totals.append(np.bincount(ids, batch.column("n").to_numpy()))
         rows, contexts, times = _flat(batch, "<u4")
         found.append((ids[rows] * (2 * CONTEXTS) + contexts, times.astype(np.float64)))
@@ -162,7 +165,7 @@ def placed(batch: pa.RecordBatch, tables: list[np.ndarray]) -> tuple[np.ndarray,
     classes = (counts[:, :CONTEXTS] + counts[:, CONTEXTS:]).argmax(1) % CLASSES
     if not tables:
         return classes, counts
-    half = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) & 1 for w in batch.column("word").to_pylist()), np.int64, len(classes))
+    half = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) & 1 for w in batch.column("word").to_numpy(zero_copy_only=False)), np.int64, len(classes))
     total = counts.sum(1)
     everyone = np.arange(len(classes))
     for sweep, table in enumerate(tables):
@@ -213,45 +216,61 @@ def classed(training: DataFrame, partitions: int, sweeps: int = SWEEPS) -> DataF
     return classes
 
 
+def _block_words(texts: list[str]) -> list[bytes]:
+    """Distinct words of texts, numbered as by `_numbered` of the sorted texts."""
+    return list(dict.fromkeys(itertools.chain.from_iterable(map(split_lower_words, sorted(texts)))))
+
+
 def _coded(docs: DataFrame, lexicon: DataFrame, blocks: int, base: dict, emit: np.ndarray) -> DataFrame:
     """Documents as classes, with what needs no transition already added up.
 
-    The texts are shuffled once, by block; both uses of that shuffle share it.
+    The texts are shuffled once, by block; both uses take all its columns, so that they
+    share it. Both number the words of a block alike, so answers come back without words.
     """
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = dealt.select("block", "doc_id", "held_out", "text")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set[bytes]] = {}
+        held: dict[int, list[str]] = {}
         for batch in batches:
             for block, text in zip(batch.column("block").to_pylist(), texts_of(batch), strict=True):
-                seen.setdefault(block, set()).update(split_lower_words(text))
-        for block, words in seen.items():
+                held.setdefault(block, []).append(text)
+        while held:
+            block, texts = held.popitem()
+            words = _block_words(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(words), pa.int32()), pa.array([w.decode() for w in words], pa.string())],
-                names=["block", "word"],
+                [
+                    pa.array(np.full(len(words), block, np.int32)),
+                    pa.array(np.arange(len(words), dtype=np.int32)),
+                    _strings(words),
+                ],
+                names=["block", "at", "word"],
             )
 
-    asked = dealt.select("block", "text").mapInArrow(distinct, "block int, word string")
-    known = asked.join(lexicon, "word").select("block", "word", "n", "class")
+    asked = dealt.mapInArrow(distinct, "block int, at int, word string")
+    known = asked.join(lexicon, "word").select("block", "at", "n", "class")
     floor = SMOOTHING * (base["V"] + 1)
 
     def code(texts: pa.Table, words: pa.Table) -> pa.Table:
-        at = {word.encode(): i for i, word in enumerate(words.column("word").to_pylist())}
-        n = np.append(words.column("n").to_numpy(), 0).astype(np.float64)
-        classes = np.append(words.column("class").to_numpy(), UNKNOWN).astype(np.int64)
+        contents = texts_of(texts)
+        order = sorted(range(len(contents)), key=contents.__getitem__)
+        found, ids, sizes = _numbered([contents[i] for i in order])
+        at = words.column("at").to_numpy()
+        n = np.zeros(len(found))
+        n[at] = words.column("n").to_numpy()
+        classes = np.full(len(found), UNKNOWN, np.int64)
+        classes[at] = words.column("class").to_numpy()
         logs = np.log10((n + SMOOTHING) / (base["N"] + floor))
-        emits = np.append(np.log10(n[:-1] + SMOOTHING) - emit[classes[:-1]], 0.0)
+        emits = np.where(classes == UNKNOWN, 0.0, np.log10(n + SMOOTHING) - np.append(emit, 0.0)[classes])
         last = math.log10((base["ends"] + SMOOTHING) / (base["N"] + floor))
-        rows = {"n_tokens": [], "n_known": [], "base_score": [], "emitted": [], "classes": []}
-        missing = len(n) - 1
-        for text in texts.column("text").to_pylist():
-            found = split_lower_words(text or "")
-            ids = np.fromiter((at.get(word, missing) for word in found), np.int64, len(found))
-            rows["n_tokens"].append(len(ids) + 1)
-            rows["n_known"].append(int((ids < missing).sum()) + (base["ends"] > 0))
-            rows["base_score"].append(float(logs[ids].sum()) + last)
-            rows["emitted"].append(float(emits[ids].sum()))
-            rows["classes"].append(classes[ids].astype(np.uint8).tobytes())
+        rows = {name: [None] * len(contents) for name in ("n_tokens", "n_known", "base_score", "emitted", "classes")}
+        for i, part in zip(order, np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [], strict=True):
+            chain = classes[part]
+            rows["n_tokens"][i] = len(part) + 1
+            rows["n_known"][i] = int((chain != UNKNOWN).sum()) + (base["ends"] > 0)
+            rows["base_score"][i] = float(logs[part].sum()) + last
+            rows["emitted"][i] = float(emits[part].sum())
+            rows["classes"][i] = chain.astype(np.uint8).tobytes()
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
         columns = [pa.array(values, kind) for values, kind in zip(rows.values(), kinds, strict=True)]
         return pa.Table.from_arrays([texts.column("doc_id"), texts.column("held_out"), *columns], names=["doc_id", "held_out", *rows])
@@ -259,7 +278,7 @@ def _coded(docs: DataFrame, lexicon: DataFrame, blocks: int, base: dict, emit: n
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, emitted double, classes binary"
     return stored(
-        dealt.select("block", "doc_id", "held_out", "text").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(code, schema),
+        dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(code, schema),
         "coded",
     )
 
