@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 import corpus_pipeline
-from ticketmart.llm import brown, decontaminate, pieces, toxicity
+from ticketmart.llm import brown, decontaminate, minhash, pieces, toxicity
 
 
 def strings(kind, name=""):
@@ -108,3 +112,27 @@ def test_words_of_a_block_have_the_same_numbers_in_any_order_of_texts():
     assert sorted(expected) == [b"a", b"b", b"c"]
     assert brown._block_words(texts[::-1]) == expected
     assert brown._numbered(sorted(texts))[0] == expected
+
+
+def test_a_pair_of_many_common_buckets_is_taken_from_few(spark):
+    pick = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(30):
+        text = list(base)
+        for k in pick.sample(range(400), pick.choice([10, 25, 90])):
+            text[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(text)))
+    # Without a limit on the similarity, so that no pair of a bucket is ruled out.
+    banding = minhash.Banding(words=2, percent=0)
+    signs = minhash.signed(spark.createDataFrame(rows, "class long, text string"), banding).drop("text")
+    members = minhash._keys(signs, banding).withColumn("component", F.col("class")).join(signs, "class")
+    members = members.withColumn("earlier", minhash._earlier(banding))
+    buckets = {}
+    for row in members.collect():
+        buckets.setdefault(row["key"], []).append(row["class"])
+    met = [(a, b) for bucket in buckets.values() for a in bucket for b in bucket if a < b]
+    found = [tuple(row) for row in minhash._pairs(members, banding).collect()]
+    assert set(found) == set(met)
+    assert max(Counter(found).values()) <= banding.tables < max(Counter(met).values())
+    assert len(found) < len(met) / 3

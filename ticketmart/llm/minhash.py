@@ -10,7 +10,8 @@ Candidates are confirmed on their full sets of shingles. Documents with one set
 class from the start. Of a bucket not all pairs are tried: members are compared with a
 few of the bucket first, and what is linked by then needs no further comparison. Only
 pairs whose ends are still in different components are then taken one by one, unless
-their sizes or their bitmaps rule the similarity out, which they do without error.
+their sizes or their bitmaps rule the similarity out, which they do without error. A pair
+of many common buckets is taken only in those of the first half band that it shares.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField
 
 from ticketmart.llm.common import annotate, discard, mixed, slices, split_lower_words, stored, texts_of
 from ticketmart.llm.graph import components, merged
@@ -96,6 +97,12 @@ def mixed_low(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def _coded(halves: np.ndarray) -> np.ndarray:
+    """Half bands as positive 32-bit numbers; those of different places are never equal."""
+    n = max(1, len(halves))
+    return ((halves.astype(np.uint64) % np.uint64(2**31 // n)).astype(np.int64) * n + np.arange(len(halves))).astype(np.int32)
+
+
 def signed(docs: DataFrame, banding: Banding, text: str = "text") -> DataFrame:
     """Add set size, two hashes of the set, half bands and bitmap."""
 
@@ -112,23 +119,34 @@ def signed(docs: DataFrame, banding: Banding, text: str = "text") -> DataFrame:
                     ones.append(mixed(found).sum().astype(np.uint64).view(np.int64))
                     twos.append(mixed(found ^ _STEP).sum().astype(np.uint64).view(np.int64))
                     half, bitmap = signature(found, banding, factors) if len(found) else (np.zeros(0), np.zeros(0))
-                    halves.append(half.astype(np.uint64).view(np.int64))
+                    halves.append(_coded(half))
                     bits.append(bitmap.astype(np.uint64).view(np.int64))
             return [sizes, ones, twos, halves, bits]
 
         return compute
 
     fields = [StructField(n, LongType(), False) for n in ("n_shingles", "set_one", "set_two")]
-    fields += [StructField(n, ArrayType(LongType(), False), False) for n in ("halves", "bits")]
+    fields += [StructField("halves", ArrayType(IntegerType(), False), False), StructField("bits", ArrayType(LongType(), False), False)]
     return annotate(docs, start, fields, text)
 
 
 def _keys(classes: DataFrame, banding: Banding) -> DataFrame:
-    """A row for each class and table: key and class."""
+    """A row for each class and table: key and class. A key modulo tables^2 is its table."""
     m = banding.tables
     one = classes.select("class", F.posexplode(F.slice("halves", 1, m)).alias("i", "one"), "halves")
     both = one.select("class", "i", "one", F.posexplode(F.slice("halves", m + 1, m)).alias("j", "two"))
-    return both.select(F.xxhash64("i", "one", "j", "two").alias("key"), "class")
+    hashed = F.shiftright(F.xxhash64("one", "two"), 1)
+    return both.select((hashed - F.pmod(hashed, F.lit(m * m)) + F.col("i") * m + F.col("j")).alias("key"), "class")
+
+
+def _earlier(banding: Banding) -> Column:
+    """Half bands of the first side before that of a key.
+
+    Of the buckets that two classes share, those of the first common half band of this
+    side are the ones in which they have none of these in common.
+    """
+    m = banding.tables
+    return F.slice("halves", 1, F.floor(F.pmod("key", F.lit(m * m)) / m).cast("int"))
 
 
 def _possible(one: str, two: str, percent: int) -> Column:
@@ -234,13 +252,9 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
         labels = merged(labels, more)
     # Then every pair that is still apart.
     now = _mixed_buckets(buckets, labels)
-    full = stored(now.join(features, "class"), "mixed")
-    x, y = full.alias("x"), full.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-    pairs = x.join(y, apart & _possible("x", "y", banding.percent)).select(
-        F.col("x.class").alias("a"), F.col("y.class").alias("b")
-    )
-    last = confirmed(pairs.distinct(), content, banding, "doc", "text")
+    full = now.join(classes, "class").select("key", "class", "component", "n_shingles", "bits", _earlier(banding).alias("earlier"))
+    full = stored(full, "mixed")
+    last = confirmed(_pairs(full, banding).distinct(), content, banding, "doc", "text")
     discard(buckets, now, full)
     if not last.isEmpty():
         labels = merged(labels, last)
@@ -258,6 +272,16 @@ def grouped(docs: DataFrame, banding: Banding = Banding(), key: str = "doc_id",
     )
 
 
+def _pairs(members: DataFrame, banding: Banding) -> DataFrame:
+    """Pairs of a bucket that are in different components and may be similar, at most `tables` times each."""
+    x, y = members.alias("x"), members.alias("y")
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
+    first = ~F.arrays_overlap("x.earlier", "y.earlier")
+    return x.join(y, apart & _possible("x", "y", banding.percent) & first).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b")
+    )
+
+
 def _allowed(edges: DataFrame, features: DataFrame, banding: Banding, nearest: bool = False) -> DataFrame:
     """Edges that sizes and bitmaps allow; `nearest`: only the best few of each class.
 
