@@ -37,6 +37,25 @@ def test_the_toxicity_stage_hands_each_text_over_once(spark, tmp_path, monkeypat
     assert sorted(map(tuple, kept.collect())) == rows
 
 
+def test_sums_of_the_fit_come_to_the_driver_as_one(spark, monkeypatch):
+    """From more partitions than tasks may have sums, and from none."""
+    texts = [f"word{i} other{i % 3}" * (i % 4) for i in range(60)]
+    made = [toxicity.packed_batch([text], [i % 2 == 0]) for i, text in enumerate(texts)]
+    rows = spark.createDataFrame([tuple(column[0].as_py() for column in one.row().columns) for one in made], toxicity._PACKED).repartition(20)
+    monkeypatch.setattr(toxicity, "_MAX_TASKS", 5)
+    sent, dealt = [], []
+    frame = type(rows)
+    collect, repartition = frame.collect, frame.repartition
+    monkeypatch.setattr(frame, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    monkeypatch.setattr(frame, "repartition", lambda self, *to: dealt.append(self) or repartition(self, *to))
+    found = toxicity._summed(rows, lambda one: np.array([len(one.ids), len(one.flat), 1.0]), 3)
+    none = toxicity._summed(rows.where("false"), lambda one: np.ones(3), 3)
+    assert found.tolist() == [sum(len(one.ids) for one in made), sum(len(one.flat) for one in made), 60.0]
+    assert none.tolist() == [0.0, 0.0, 0.0]
+    assert [len(rows) for rows in sent] == [1, 1]
+    assert [frame.count() for frame in dealt] == [5, 0]
+
+
 def test_features_are_held_for_a_bounded_number_of_words(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.Model(rng.normal(size=toxicity.BUCKETS), -1.0, np.zeros((2, 2)), np.zeros(3))

@@ -6,8 +6,9 @@ toxic document that contain one are its toxic tokens. The chain (two labels, fea
 the word and its character n-grams, four transitions) is fitted to those tokens.
 
 The labelled texts are prepared by tasks and stored. Markers are counted by an aggregate,
-and each step's gradient is the sum of what the tasks make of their texts; the driver has
-the parameters alone, however long the texts are.
+and each step's gradient is the sum of what the tasks make of their texts, taken by a task
+too; the driver has the parameters alone, however long the texts are and in however many
+files they lie.
 
 Forward-backward gives the marginal of every token. The recursion of two labels is a
 chain of 2x2 matrices, which is read in blocks: the products of all blocks at once, then
@@ -23,6 +24,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
@@ -282,19 +284,37 @@ def slopes(made: Batch, model: Model) -> np.ndarray:
     return np.concatenate([slope, [error.sum()], pairs.ravel()])
 
 
+# Text bytes for which the fit has a task, and how many tasks at most have sums.
+_TASK_BYTES = 1 << 20
+_MAX_TASKS = 32
+
+
 def _summed(rows: DataFrame, of_batch, size: int) -> np.ndarray:
-    """Sum over all batches of a vector of fixed size; one vector a task comes to the driver."""
+    """Sum over all batches of a vector of fixed size.
+
+    At most `_MAX_TASKS` tasks make a vector each, in however many files the rows lie. One
+    task adds these up, in the order of their numbers, so that a single one comes to the driver.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total, some = np.zeros(size), False
         for made in _stored_batches(batches):
             total += of_batch(made)
+            some = True
+        if some:
+            cells = [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cells, names=["task", "total"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True)]
+        total = np.zeros(size)
+        for _, part in sorted(found):
+            total += np.frombuffer(part)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    total = np.zeros(size)
-    for row in rows.mapInArrow(run, "total binary").collect():
-        total += np.frombuffer(row["total"])
-    return total
+    parts = rows.coalesce(_MAX_TASKS).mapInArrow(run, "task int, total binary")
+    found = parts.repartition(1).mapInArrow(add, "total binary").collect()
+    return np.frombuffer(found[0]["total"]).copy() if found else np.zeros(size)
 
 
 def fitted(rows: DataFrame, n_toxic: int, n_clean: int, rate: float) -> Model:
@@ -312,9 +332,12 @@ def fitted(rows: DataFrame, n_toxic: int, n_clean: int, rate: float) -> Model:
     tokens, gold = _summed(rows, lambda made: np.array([len(made.ids), made.gold.sum()], float), 2)
     model = Model(np.zeros(BUCKETS), float(np.log((gold + 1.0) / (tokens + 2.0))), np.zeros((2, 2)), np.zeros(3))
     rates = np.full(BUCKETS + 5, 1e-8)
+    context = rows.sparkSession.sparkContext
     for _ in range(STEPS if tokens else 0):
-        now = model
-        slope = _summed(rows, lambda made: slopes(made, now), BUCKETS + 5)
+        # Given up after the step, or the driver would keep the parameters of all steps.
+        now = context.broadcast(model)
+        slope = _summed(rows, lambda made, now=now: slopes(made, now.value), BUCKETS + 5)
+        now.destroy()
         slope[:BUCKETS] -= 0.02 * model.weights
         rates += slope * slope
         moved = 0.3 * slope / np.sqrt(rates)
@@ -388,11 +411,6 @@ def training_rows(docs: DataFrame, picked: DataFrame, key: str, text: str) -> Da
     return marked.join(firsts, ["least", "key"], "left_semi").select("toxic", "text")
 
 
-# Text bytes for which the fit has a task, and how many tasks at most send their sums.
-_TASK_BYTES = 1 << 20
-_MAX_TASKS = 32
-
-
 def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", bound: int = MAX_TRAINING) -> Model:
     """Fit to documents with a label in `labels` (key, toxic).
 
