@@ -3,6 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import D, T, drop_line, mart_of, own_sale, put_drop, rows, small_source
 from ticketmart.operators.in_force import by_month, lookup_in_force
@@ -153,3 +154,15 @@ def test_few_periods_a_key_are_broadcast_without_months(spark, tmp_path):
 def test_many_periods_a_key_keep_their_months(spark, tmp_path):
     periods = spark.createDataFrame([("p", "k", D(2020, 1, 1), D(2020, 1, 2))] * 65, "p string, k string, since date, until date")
     assert not by_month(of_known_size(spark, periods, tmp_path), "since", "until", ["k"]).is_plain_small
+
+
+def test_the_size_check_counts_long_rows(spark, tmp_path, monkeypatch):
+    from ticketmart.operators import lookup
+
+    _, periods = frames(spark)
+    periods = of_known_size(spark, periods.withColumn("p", F.repeat("p", 1000)), tmp_path)
+    assert by_month(periods, "since", "until", ["k"]).is_plain_small
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 8 * 2000)
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        laid_out = by_month(periods, "since", "until", ["k"])
+        assert not laid_out.is_small and not laid_out.is_plain_small

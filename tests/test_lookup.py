@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tests.helpers import D, T, drop_line, own_sale, rows, small_source
 from ticketmart import schemas as S
 from ticketmart.operators import own_sales, third_party
-from ticketmart.operators.lookup import known_small, lookup_nullable
+from ticketmart.operators import lookup as lookups
+from ticketmart.operators.lookup import known_small, lookup_nullable, small_dimensions, unpacked_bytes
 from ticketmart.session import scoped_settings
 
 SALES = [
@@ -232,3 +233,65 @@ def test_rows_are_brought_together_between_shuffled_and_broadcast_lookups(spark,
         assert plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL") < plan.index("SortMergeJoin")
     assert rows(own) == rows(own_sales.enrich_own_sales(tables["sales"], tables))
     assert rows(third) == rows(third_party.enrich_third_party(third_party_lines(spark), tables))
+
+
+def stored(tables, folder, **others):
+    found = {}
+    for name, table in {**tables, **others}.items():
+        table.write.parquet(f"{folder}/{name}")
+        found[name] = table.sparkSession.read.parquet(f"{folder}/{name}")
+    return found
+
+
+def test_a_dimension_with_small_files_and_large_rows_is_not_broadcast(spark, tables, tmp_path):
+    long = tables["customers"].withColumn("customer_name", F.repeat("customer_name", 100))
+    tables = stored(tables, tmp_path, customers=long)
+    plain = own_sales.enrich_own_sales(tables["sales"], tables)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and known_small(tables["customers"])
+    size = unpacked_bytes({"customers": tables["customers"]})["customers"]
+    assert size > 2 * 300
+    with pytest.MonkeyPatch.context() as patch, scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        patch.setattr(lookups, "BROADCAST_BYTES", size - 1)
+        found = own_sales.enrich_own_sales(tables["sales"], tables)
+        assert not known_small(tables["customers"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall("SortMergeJoin", plan)) >= 1 and "customer_id" in plan[plan.index("SortMergeJoin") :][:60]
+        assert rows(found) == rows(plain)
+    # Nor by the planner, which knows the size of the files only.
+    limit = lookups.planned_bytes(tables["customers"]) + 1
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": str(limit)}):
+        hinted = own_sales.with_customer(tables["sales"], lookups.sized(tables["customers"], False))
+        assert "SortMergeJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dimensions_are_broadcast_together_while_they_fit(spark, tables, tmp_path, monkeypatch):
+    tables = stored({name: tables[name] for name in ("resellers", "events", "customers")}, tmp_path)
+    sizes = unpacked_bytes(tables)
+    # Eight for the row, and a text's length and twelve for each column.
+    assert sizes["customers"] == 2 * (8 + 12 + 12) + len("c1" "Ann" "c2" "Bob")
+    assert small_dimensions(tables) == set(tables)
+    smallest, second, _ = sorted(sizes, key=sizes.get)
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        for limit, found in ((sizes[smallest] - 1, set()), (sizes[smallest] + sizes[second], {smallest, second})):
+            monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
+            assert small_dimensions(tables) == found
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert small_dimensions(tables) == set()
+
+
+def test_resellers_of_the_files_are_broadcast_where_all_are_too_many(spark, tables, tmp_path, monkeypatch):
+    more = spark.range(2000).select(F.concat(F.lit("x"), "id").alias("reseller_id"), F.lit("n").alias("reseller_name"), F.lit("l").alias("location"))
+    tables = stored(tables, tmp_path, resellers=tables["resellers"].unionByName(more))
+    lines = third_party_lines(spark)
+    expected = rows(third_party.enrich_third_party(lines, tables))
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 5000)
+    with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        for in_force in (False, True):
+            whole = third_party.enrich_third_party(lines, tables, in_force=in_force)
+            some = third_party.enrich_third_party(lines, tables, in_force=in_force, files=lines.select("source_file"))
+            plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (whole, some)]
+            assert [bool(re.search("SortMergeJoin.*LeftOuter", plan)) for plan in plans] == [True, False]
+            assert rows(some) == rows(whole)
+            if not in_force:
+                assert rows(some) == expected
