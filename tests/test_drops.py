@@ -225,3 +225,14 @@ def test_drops_written_without_a_shuffle_give_the_same_rows(spark, tmp_path):
     assert read[0] == read[1] and len(read[0]) == 300
     assert {path.suffix for path in (tmp_path / "False").glob("drop=*/part-*")} == {".gz"}
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_few_tasks_write_drops_however_many_partitions_there_are(spark, tmp_path):
+    from ticketmart.sources import drops
+
+    lines = spark.range(0, 60, 1, 12).select(*[F.lit("1").alias(name) for name in S.NARROW_LAYOUT], F.lit("DailySales_05032020_r1.csv").alias("drop"))
+    write_drops(lines, str(tmp_path), shuffled=False, tasks=3)
+    assert len(list((tmp_path / "drop=DailySales_05032020_r1.csv").glob("part-*"))) == 3
+    assert read_daily_sales(spark, str(tmp_path)).count() == 60
+    cores = spark.sparkContext.defaultParallelism
+    assert drops.writing_tasks(spark, 1) == cores and drops.writing_tasks(spark, 100 * drops._WRITER_BYTES + 1) == max(cores, 101)
